@@ -85,9 +85,14 @@ def describe(ret: Column, ratio: Column, sentiment: Column, kind: Column, advice
     return F.when(_oversold(ret, sentiment), down).when(_overbought(ret, sentiment), up).otherwise(plain)
 
 
+def fixed(value: Column, decimals: int) -> Column:
+    """Number as text, ties to the even digit, without thousands separators."""
+    return F.call_function("format_number", value, F.lit("0." + "0" * decimals))
+
+
 def signed_pct(value: Column) -> Column:
     """A fraction as percent text with its sign, one decimal."""
-    return F.format_string("%+.1f%%", value * 100)
+    return F.concat(F.when(value < 0, "-").otherwise("+"), fixed(F.abs(value) * 100, 1), F.lit("%"))
 
 
 def title_code(code: Column) -> Column:

@@ -79,7 +79,7 @@ def detect_zscore(prices: DataFrame, **kw) -> DataFrame:
             F.lit(0.0).alias("sentiment_avg"),
             F.concat(
                 S.title_code(F.col("anomaly_type")), F.lit(": return="), S.signed_pct(ret),
-                F.lit(", vol_ratio="), F.format_string("%.1fx", ratio),
+                F.lit(", vol_ratio="), S.fixed(ratio, 1), F.lit("x"),
             ).alias("description"),
         )
     )

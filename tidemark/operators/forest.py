@@ -127,7 +127,9 @@ def forest_scores(featured: DataFrame, trees: int = 100, seed: int = SEED, piece
                 F.lit(False).alias("_own"), F.lit(True).alias("_pool"), F.col("_piece").cast("bigint").alias("_piece"))
     )
     kind = featured.schema["trade_date"].dataType.simpleString()
-    return own.unionByName(pool).groupBy("ticker", "_piece").applyInPandas(
+    # An explicit number keeps AQE from merging these small but compute-heavy groups into few tasks.
+    spread = int(featured.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return own.unionByName(pool).repartition(spread, "ticker", "_piece").groupBy("ticker", "_piece").applyInPandas(
         _score_piece(trees, seed), f"ticker string, trade_date {kind}, raw_score double")
 
 

@@ -76,7 +76,7 @@ def split_hot(df: DataFrame, key: str, order: str, look_back: int, hot_rows: int
 
 def over_series(
     df: DataFrame,
-    columns: Callable[[object], list[Column]],
+    columns: Callable[[object], list[list[Column]]],
     *,
     key: str = KEY,
     order: str = ORDER,
@@ -84,9 +84,10 @@ def over_series(
     hot_rows: int | None = None,
     grain: str = "hour",
 ) -> DataFrame:
-    """Append window columns built by `columns(spec)`; one exchange, one sort.
+    """Append window columns; one exchange, one sort.
 
-    `columns` may nest: it is called once per level as a list of lists.
+    `columns(spec)` returns one list per level; a level may use the columns of
+    the level before it.
     """
     parts, source = (key,), df
     if hot_rows is not None:

@@ -67,12 +67,13 @@ def tag_tickers(docs: DataFrame, keywords: DataFrame, key: str = "doc_id", text:
     # any place of a vocabulary word, then an exact check. At most four lengths occur.
     loose = anchors.filter(~F.col("exact")).withColumn("probe", F.substring("anchor", 1, SHORT))
     lengths = [row.n for row in loose.select(F.length("probe").alias("n")).distinct().collect()]
-    starts = F.sequence(F.lit(1), F.length("word"))
+
+    def parts(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substring(F.col("word"), i, F.lit(n)))
+
     grams = words.select("word").distinct().select(
         "word",
-        F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *[
-            F.transform(starts, lambda i, n=n: F.substring(F.col("word"), i, F.lit(n))) for n in lengths
-        ]))).alias("probe"),
+        F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *[parts(n) for n in lengths]))).alias("probe"),
     )
     inside = (
         grams.join(loose, "probe").filter(F.contains(F.col("word"), F.col("anchor")))
