@@ -1,11 +1,11 @@
 """Isolation forest per ticker.
 
-Every tree of an isolation forest sees at most 256 rows of its series. A
-ticker's forest is therefore grown from a bounded pool of rows, the ones with
-the smallest hashes; a series up to the pool size is its own pool. A longer
-series is scored in pieces: each piece gets a copy of the pool, grows the same
-forest from it and scores its own rows only. A task never holds more than one
-pool and one piece.
+Daily bars form one group per ticker, bounded by the calendar. Intraday series
+have no such bound. But every tree sees at most 256 rows, so a forest can be
+grown from a bounded pool of rows, the ones with the smallest hashes; a series
+up to the pool size is its own pool. A longer one is scored in pieces: each
+piece gets a copy of the pool, grows the same forest from it and scores its
+own rows only. A task never holds more than one pool and one piece.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators.series import FEATURES, strict_features
+from tidemark.session import materialize
 
 # Rows per tree, share of anomalies, seed, Euler's constant of the path-length norm.
 SAMPLE = 256
@@ -26,6 +27,7 @@ EULER = 0.5772156649
 # Fixed values end.
 
 PIECE = 200_000
+BLOCK = 5_000
 DIGITS = 6
 
 
@@ -80,73 +82,110 @@ def _walk(pool: np.ndarray, rows: np.ndarray, trees: int, rng: np.random.Generat
     return length.mean(axis=0)
 
 
-def _score_piece(trees: int, seed: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pool = pdf[pdf["_pool"]].sort_values("_hash", kind="stable")
-        mine = pdf[pdf["_own"]]
-        x = pool[FEATURES].to_numpy(float)
-        mean, std = x.mean(axis=0), x.std(axis=0)
-        std[std == 0] = 1.0
-        rng = np.random.default_rng([seed, int(pdf["_seed"].iloc[0])])
-        path = np.empty(len(mine))
-        y = (mine[FEATURES].to_numpy(float) - mean) / std
-        # Blocks bound the tree x row work arrays; a fresh generator gives each block the same trees.
-        state = rng.bit_generator.state
-        for start in range(0, len(y), 5_000):
-            rng.bit_generator.state = state
-            path[start:start + 5_000] = _walk((x - mean) / std, y[start:start + 5_000], trees, rng)
-        norm = max(float(_path_norm(np.array([min(SAMPLE, len(x))]))[0]), 1e-9)
-        return mine[["ticker", "trade_date"]].assign(raw_score=np.round(2.0 ** (-path / norm), DIGITS))
-    return run
-
-
-def forest_scores(featured: DataFrame, trees: int = 100, seed: int = SEED, piece: int = PIECE) -> DataFrame:
-    """`ticker, trade_date, raw_score` (near 1 = easy to isolate) of every row."""
-    pool_rows = trees * SAMPLE
-    rows = featured.select("ticker", "trade_date", *FEATURES).withColumns({
+def _scores(pool: np.ndarray, rows: np.ndarray, trees: int, seed: int, ticker_seed: int) -> np.ndarray:
+    """Anomaly score in (0, 1) of each row, near 1 where it is easy to isolate."""
+    mean, std = pool.mean(axis=0), pool.std(axis=0)
+    std[std == 0] = 1.0
+    pool, rows = (pool - mean) / std, (rows - mean) / std
+    path = np.empty(len(rows))
+    # Blocks bound the tree x row work arrays; an equal generator gives every block the same trees.
+    for start in range(0, len(rows), BLOCK):
+        rng = np.random.default_rng([seed, ticker_seed])
+        path[start:start + BLOCK] = _walk(pool, rows[start:start + BLOCK], trees, rng)
+    norm = max(float(_path_norm(np.array([min(SAMPLE, len(pool))]))[0]), 1e-9)
+    return np.round(2.0 ** (-path / norm), DIGITS)
+
+
+CARRIED = ["ticker", "trade_date", "close_price", "volume", *FEATURES]
+
+
+def _keyed(featured: DataFrame, seed: int) -> DataFrame:
+    return featured.select(*CARRIED).withColumns({
         "_hash": F.xxhash64("ticker", "trade_date", F.lit(seed)),
         "_seed": F.abs(F.xxhash64("ticker") % 1_000_003),
     })
+
+
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    # An explicit number keeps AQE from merging these small but compute-heavy groups into few tasks.
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def _output(featured: DataFrame, extra: str) -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in featured.schema.fields}
+    return ", ".join(f"{c} {kinds[c]}" for c in CARRIED) + f", {extra}"
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    return df.select(
+        "ticker", "trade_date", "close_price", "volume", "daily_return", "volume_ratio", "anomaly_score",
+        S.anomaly_type(F.col("daily_return"), F.col("volume_ratio")).alias("anomaly_type"),
+    )
+
+
+def detect_isoforest(prices: DataFrame, trees: int = 100, contamination: float = CONTAMINATION, seed: int = SEED,
+                     history: int = 30) -> DataFrame:
+    """The most isolated share of the daily bars of every ticker.
+
+    One group per ticker: daily bars are bounded by the calendar.
+    """
+    featured = strict_features(prices, history)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_hash", kind="stable")
+        x = pdf[FEATURES].to_numpy(float)
+        score = _scores(x, x, trees, seed, int(pdf["_seed"].iloc[0]))
+        limit = np.percentile(score, 100 * (1 - contamination))
+        return pdf[CARRIED].assign(anomaly_score=score - limit)[score > limit]
+
+    groups = _spread(_keyed(featured, seed), "ticker").groupBy("ticker")
+    return _typed(groups.applyInPandas(run, _output(featured, "anomaly_score double")))
+
+
+def forest_scores(featured: DataFrame, trees: int = 100, seed: int = SEED, pool_rows: int | None = None,
+                  piece: int = PIECE) -> DataFrame:
+    """Featured rows with their `raw_score`, for series of any length."""
+    pool_rows = pool_rows or trees * SAMPLE
+    rows = _keyed(featured, seed)
     counts = rows.groupBy("ticker").agg(F.count("*").alias("_n"))
+    short = F.col("_n") <= pool_rows
     sized = rows.join(counts, "ticker").withColumn(
-        "_pieces", F.when(F.col("_n") <= pool_rows, 1).otherwise(F.ceil(F.col("_n") / piece)).cast("int"))
-    own = sized.select(
-        "ticker", "trade_date", *FEATURES, "_hash", "_seed",
-        F.lit(True).alias("_own"), (F.col("_n") <= pool_rows).alias("_pool"),
-        F.pmod(F.xxhash64("trade_date", F.lit(seed + 1)), F.col("_pieces")).alias("_piece"),
-    )
-    # Pools of long series: thin by hash to about twice the pool first, so that ranking stays small.
-    share = F.lit(2.0 * pool_rows) / F.col("_n")
+        "_pieces", F.when(short, 1).otherwise(F.ceil(F.col("_n") / piece)).cast("int"))
+    own = sized.withColumns({
+        "_own": F.lit(True), "_pool": short,
+        "_piece": F.pmod(F.xxhash64("trade_date", F.lit(seed + 1)), F.col("_pieces")),
+    })
+    # Pools of long series: thinned by hash to about twice the pool first, so that ranking stays small.
     unit = F.pmod(F.col("_hash"), F.lit(1_000_003)) / 1_000_003.0
-    thin = sized.filter((F.col("_n") > pool_rows) & (unit < share))
     best = Window.partitionBy("ticker").orderBy(unit, "_hash", "trade_date")
     pool = (
-        thin.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= pool_rows)
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
-        .select("ticker", "trade_date", *FEATURES, "_hash", "_seed",
-                F.lit(False).alias("_own"), F.lit(True).alias("_pool"), F.col("_piece").cast("bigint").alias("_piece"))
+        sized.filter(~short & (unit < F.lit(2.0 * pool_rows) / F.col("_n")))
+        .withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= pool_rows).drop("_rank")
+        .withColumns({"_own": F.lit(False), "_pool": F.lit(True)})
+        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces").cast("bigint") - 1)))
     )
-    kind = featured.schema["trade_date"].dataType.simpleString()
-    # An explicit number keeps AQE from merging these small but compute-heavy groups into few tasks.
-    spread = int(featured.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return own.unionByName(pool).repartition(spread, "ticker", "_piece").groupBy("ticker", "_piece").applyInPandas(
-        _score_piece(trees, seed), f"ticker string, trade_date {kind}, raw_score double")
 
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pool = pdf[pdf["_pool"]].sort_values("_hash", kind="stable")
+        mine = pdf[pdf["_own"]]
+        score = _scores(pool[FEATURES].to_numpy(float), mine[FEATURES].to_numpy(float), trees, seed,
+                        int(pdf["_seed"].iloc[0]))
+        return mine[CARRIED].assign(raw_score=score)
 
-def detect_isoforest(prices: DataFrame, trees: int = 100, contamination: float = CONTAMINATION, seed: int = SEED,
-                     history: int = 30, featured: DataFrame | None = None) -> DataFrame:
-    """Rows whose score lies in the most isolated share of their ticker.
+    groups = _spread(own.unionByName(pool), "ticker", "_piece").groupBy("ticker", "_piece")
+    return groups.applyInPandas(run, _output(featured, "raw_score double"))
 
-    The threshold is the exact percentile of the ticker's scores. Scores have
-    six decimals, so the percentile keeps at most a million distinct values
-    per ticker however long the series is, and combines map-side.
+
+def detect_isoforest_long(featured: DataFrame, trees: int = 100, contamination: float = CONTAMINATION,
+                          seed: int = SEED, **kw) -> DataFrame:
+    """As detect_isoforest, for featured intraday series of any length.
+
+    Scores are computed once and kept in the shared folder, as they are read
+    twice. The threshold is the exact percentile per ticker: scores have six
+    decimals, so it keeps at most a million distinct values however long the
+    series is, and combines map-side.
     """
-    featured = strict_features(prices, history) if featured is None else featured
-    scores = forest_scores(featured, trees, seed)
+    scores = materialize(forest_scores(featured, trees, seed, **kw), "forest")
     limits = scores.groupBy("ticker").agg(F.percentile("raw_score", F.lit(1.0 - contamination)).alias("_limit"))
     flagged = scores.join(limits, "ticker").filter(F.col("raw_score") > F.col("_limit"))
-    return flagged.join(featured, ["ticker", "trade_date"]).select(
-        "ticker", "trade_date", "close_price", "volume", "daily_return", "volume_ratio",
-        (F.col("raw_score") - F.col("_limit")).alias("anomaly_score"),
-        S.anomaly_type(F.col("daily_return"), F.col("volume_ratio")).alias("anomaly_type"),
-    )
+    return _typed(flagged.withColumn("anomaly_score", F.col("raw_score") - F.col("_limit")))

@@ -6,6 +6,7 @@ fixes the presentation: six decimals, dates and times as text, long counts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from tidemark.functions import scalars as S
 from tidemark.operators import (aggregates, align, anomaly, clean, forest, fusion, momentum, sentiment, series,
                                 tagging, views)
 from tidemark.plans import fixtures as fx
+from tidemark.session import shared_folder
 from tidemark.sources import generate, sinks
+from tidemark.streaming import ingest as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -197,6 +200,13 @@ def iso_forest(spark, d):
     return publish(forest.detect_isoforest(fx.bars(spark, d)))
 
 
+@query
+def iso_forest_intraday(spark, d):
+    """Forest over intraday series of any length, in bounded pieces."""
+    featured = series.features(fx.intraday(spark, d), hot_rows=1_000_000)
+    return publish(forest.detect_isoforest_long(series.min_history(featured, 30), trees=50))
+
+
 @query
 def stored_or_dynamic(spark, d):
     outliers = _stored(spark, d).filter(F.col("anomaly_type") == "statistical_outlier")
@@ -761,6 +771,39 @@ def scalar_rules(spark, d):
         S.title_code(F.col("anomaly_type")).alias("title"), S.start_date(F.col("trade_date"), 30).alias("start_date")))
 
 
+# --- streaming: files that land are processed once, up to the last one available --------------------
+
+def _folders(spark):
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    return f"{root}/out", f"{root}/checkpoint"
+
+
+def _posts_stream(spark, d):
+    layout = fx.table(spark, d, "conversations").schema
+    landed = stream.read_landing(spark, d, layout, "parquet", "conversations.parquet")
+    # Every post is fetched twice, as by two sort modes of the same forum.
+    fetched = landed.withColumn("fetch", F.explode(F.array(F.lit("hot"), F.lit("new"))))
+    return fetched.select(
+        F.concat("conv_id", F.lit("_"), "turn").alias("post_id"), F.col("role").alias("subreddit"),
+        F.concat(F.lit("S"), "conv_id").alias("ticker"), fx.stamp(F.col("conv_id")).alias("event_ts"),
+        ((F.col("conv_id") * 37 % 201 - 100) / F.lit(100.0)).alias("sentiment_score"))
+
+
+@query
+def stream_ingest(spark, d):
+    return publish(stream.stream_ingest(_posts_stream(spark, d), *_folders(spark)), "post_id", "subreddit", "event_ts")
+
+
+@query
+def stream_daily_sentiment(spark, d):
+    """Days the watermark has passed; the newest days stay open."""
+    layout = fx.table(spark, d, "events").schema
+    landed = stream.read_landing(spark, d, layout, "parquet", "events.parquet").select(
+        F.concat(F.lit("U"), "user_id").alias("ticker"), F.col("ts").cast("timestamp").alias("event_ts"),
+        (F.col("value") - 20).alias("sentiment_score"))
+    return publish(stream.stream_daily_sentiment(landed, *_folders(spark)))
+
+
 # --- generators (properties are checked in the tests) --------------------------------------------------
 
 def _slots(spark, d):

@@ -58,7 +58,7 @@ def _tickers_of(spark: SparkSession, sf_dir: str, key: Column) -> Column:
     return F.when(key % 11 == 0, "GENERAL").otherwise(F.concat_ws(", ", first, second))
 
 
-def _stamp(key: Column) -> Column:
+def stamp(key: Column) -> Column:
     return _date_of(key).cast("timestamp") + F.make_dt_interval(hours=(key % 24).cast("int"))
 
 
@@ -68,7 +68,7 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", F.substring("text", 1, 80).alias("title"),
         F.expr("substring(text, 81)").alias("summary"), _date_of(key).alias("published_date"),
         key.cast("string").alias("link"), _tickers_of(spark, sf_dir, key).alias("matched_tickers"),
-        _stamp(key).alias("event_ts"), (_stamp(key) + F.expr("INTERVAL 1 HOUR")).alias("fetched_at"),
+        stamp(key).alias("event_ts"), (stamp(key) + F.expr("INTERVAL 1 HOUR")).alias("fetched_at"),
     )
 
 
@@ -84,8 +84,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select(
         F.col("role").alias("subreddit"), F.concat("conv_id", F.lit("_"), "turn").alias("post_id"),
         F.lit("").alias("title"), F.col("text").alias("selftext"), _date_of(key).alias("created_utc"),
-        _tickers_of(spark, sf_dir, key).alias("matched_tickers"), _stamp(key).alias("event_ts"),
-        (_stamp(key) + F.expr("INTERVAL 1 HOUR")).alias("fetched_at"), "conv_id", "turn",
+        _tickers_of(spark, sf_dir, key).alias("matched_tickers"), stamp(key).alias("event_ts"),
+        (stamp(key) + F.expr("INTERVAL 1 HOUR")).alias("fetched_at"), "conv_id", "turn",
     )
 
 

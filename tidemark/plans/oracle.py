@@ -217,8 +217,8 @@ _BOUNDARY = "[^\\p{L}\\p{N}_]"
 
 
 def _keyword_match() -> str:
-    return f"""CASE WHEN length(kw) <= 4 THEN regexp_matches(lower(text), '(^|{_BOUNDARY})' || kw || '($|{_BOUNDARY})')
-      ELSE contains(lower(text), kw) END"""
+    return f"""contains(lower(text), kw)
+      AND (length(kw) > 4 OR regexp_matches(lower(text), '(^|{_BOUNDARY})' || kw || '($|{_BOUNDARY})'))"""
 
 
 _STRICT = f"""
@@ -442,6 +442,10 @@ def oracle() -> dict[str, str]:
     q["filter_basket"] = _sql(f"""SELECT {bar}, close_price FROM fx_bars WHERE ticker IN ('S1', 'S2', 'S3', 'S5')
       AND trade_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'""", "close_price", "trade_date")
     q["run_columns"] = _sql("SELECT ticker, sector, '2024-01-01T00:00:00' AS processed_at, CAST(NULL AS DOUBLE) AS sentiment_avg FROM fx_dim")
+    q["stream_ingest"] = _sql("SELECT post_id, subreddit, event_ts FROM fx_posts", "", "", "event_ts")
+    q["stream_daily_sentiment"] = _sql("""SELECT ticker, event_day, avg(v) AS daily_sentiment, count(*) AS article_count FROM (
+        SELECT 'U' || user_id AS ticker, CAST(ts AS DATE) AS event_day, value - 20 AS v FROM events)
+      GROUP BY ticker, event_day HAVING CAST(event_day + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""", "daily_sentiment", "event_day")
     q["scalar_rules"] = _sql(f"""SELECT {bar}, CASE WHEN daily_return > 0.01 THEN 1.0 WHEN daily_return < -0.01 THEN -1.0 ELSE 0.0 END::DOUBLE AS proxy,
         price_range AS spread, {_label('daily_return', 0.05)} AS label,
         CASE WHEN daily_return > 0.05 THEN 'Bullish' WHEN daily_return < -0.05 THEN 'Bearish' ELSE 'Neutral' END AS mood,
