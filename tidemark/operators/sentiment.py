@@ -21,7 +21,7 @@ BUCKETS = 4096
 
 def words_of(text: Column) -> Column:
     """Lower-case words, split where the tokenizer of Spark ML splits."""
-    return F.filter(F.split(F.lower(text), r"\W+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"\W+"), "")
 
 
 def tokenize(df: DataFrame, text: str = "text", name: str = "words") -> DataFrame:
@@ -57,11 +57,9 @@ def term_tfidf(df: DataFrame, key: str = "doc_id", text: str = "text", smooth: b
     Counts combine map-side. The word table is a vocabulary; where it is too
     big to broadcast, AQE splits the words that occur in very many documents.
     """
-    cleaned = remove_stopwords(tokenize(df, text))
-    tf = cleaned.select(key, F.explode("filtered_words").alias("term")).groupBy(key, "term").agg(
-        F.count("*").alias("tf"))
-    freq = cleaned.select(F.explode(F.array_distinct("filtered_words")).alias("term")).groupBy("term").agg(
-        F.count("*").alias("df"))
+    words = df.select(key, F.explode(words_of(F.col(text))).alias("term"))
+    tf = words.filter(~F.col("term").isin(*W.STOP_WORDS)).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    freq = tf.groupBy("term").agg(F.count("*").alias("df"))
     total = df.agg(F.count("*").alias("n")).scalar()
     idf = F.log((total + 1) / (F.col("df") + 1)) + (1.0 if smooth else 0.0)
     return tf.join(freq.withColumn("idf", idf), "term").select(
@@ -84,12 +82,10 @@ def lexicon_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "doc_id", te
     in one task until partial aggregation has made one row of them.
     """
     tokens = words_of(F.col(text))
-    flagged = F.transform(
-        F.arrays_zip(tokens.alias("w"), F.concat(F.array(F.lit("")), tokens).alias("p")),
-        lambda x: F.struct(x["w"].alias("word"), x["p"].isin(*negators).alias("negated")),
-    )
-    hits = df.select(key, F.inline(flagged)).join(small(lexicon), "word")
-    polarity = F.col("polarity") * F.when(F.col("negated"), W.NEGATION_FACTOR).otherwise(1.0)
+    pairs = F.arrays_zip(tokens.alias("word"), F.concat(F.array(F.lit("")), tokens).alias("previous"))
+    hits = df.select(key, F.inline(pairs)).join(small(lexicon), "word")
+    negated = F.col("previous").isin(*negators)
+    polarity = F.col("polarity") * F.when(negated, W.NEGATION_FACTOR).otherwise(1.0)
     scores = hits.groupBy(key).agg(F.avg(polarity).alias("score"), F.avg("subjectivity").alias("subjectivity"))
     rest = [c for c in df.columns if c != text]
     return df.select(*rest).join(scores, key, "left").select(

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean as C
+from tidemark.operators.align import small
+from tidemark.session import materialize
 
 # A word is a run of letters, digits or underscore in any script;
 # keywords of at most this many characters must stand alone.
@@ -24,7 +26,7 @@ def explode_tickers(df: DataFrame, column: str = "matched_tickers", trim: bool =
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), NON_WORD), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), NON_WORD), "")
 
 
 def _regex_literal(text: Column) -> Column:
@@ -41,7 +43,7 @@ def keyword_anchors(keywords: DataFrame) -> DataFrame:
     kw = keywords.select(
         F.upper(F.trim("ticker")).alias("ticker"), F.lower(F.trim("keyword")).alias("kw")
     ).filter(F.length("kw") > 0).distinct()
-    words = F.filter(F.split("kw", NON_WORD), lambda w: w != "")
+    words = _words(F.col("kw"))
     by_length = F.array_sort(words, lambda a, b: F.length(b) - F.length(a))
     short = F.length("kw") <= SHORT
     one_word = (F.size(words) == 1) & (F.length(F.get(by_length, 0)) == F.length("kw"))
@@ -69,20 +71,32 @@ def tag_tickers(docs: DataFrame, keywords: DataFrame, key: str = "doc_id", text:
     lengths = [row.n for row in loose.select(F.length("probe").alias("n")).distinct().collect()]
 
     def parts(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substring(F.col("word"), i, F.lit(n)))
+        # A look-ahead matches at every character, so this yields all overlapping parts of n characters.
+        return F.regexp_extract_all("word", F.lit("(?=(.{%d}))" % n), F.lit(1))
 
     grams = words.select("word").distinct().select(
         "word",
         F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *[parts(n) for n in lengths]))).alias("probe"),
     )
     inside = (
-        grams.join(loose, "probe").filter(F.contains(F.col("word"), F.col("anchor")))
+        grams.join(small(loose), "probe").filter(F.contains(F.col("word"), F.col("anchor")))
         .select("ticker", "kw", "short", "sure", "word").distinct()
     )
-    hits = words.join(exact.unionByName(inside), "word").select(key, "ticker", "kw", "short", "sure")
+    # Written once: both branches below read it, and its size decides about broadcasting.
+    matches = materialize(exact.unionByName(inside), "keyword-words")
+    hits = words.join(small(matches), "word")
+    found = hits.filter("sure").select(key, "ticker")
+    if not matches.filter(~F.col("sure")).isEmpty():
+        candidates = hits.filter(~F.col("sure")).select(key, "ticker", "kw", "short").distinct()
+        found = found.unionByName(_in_text(docs, candidates, key, text))
+    tags = found.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("ticker")), ",").alias("matched_tickers"))
+    return docs.select(key).join(tags, key, "left").withColumn(
+        "matched_tickers", F.coalesce("matched_tickers", F.lit(C.GENERAL))
+    )
 
-    sure = hits.filter("sure").select(key, "ticker")
-    open_ = hits.filter(~F.col("sure")).select(key, "ticker", "kw", "short").distinct()
+
+def _in_text(docs: DataFrame, candidates: DataFrame, key: str, text: str) -> DataFrame:
+    """Candidates whose keyword of several words is really in the text."""
     edge, off = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
     lowered = F.lower(F.col(text))
     # A boundary is asked for on the word-character ends of a short keyword, its other ends are free.
@@ -91,18 +105,8 @@ def tag_tickers(docs: DataFrame, keywords: DataFrame, key: str = "doc_id", text:
         _regex_literal(F.col("kw")),
         F.when(F.rlike(F.col("kw"), F.lit(r"[\p{L}\p{N}_]$")), off).otherwise(r"(?=[\p{L}\p{N}_])"),
     )
-    checked = (
-        open_.join(docs.select(key, text), key)
-        .filter(F.when(F.col("short"), F.rlike(lowered, pattern)).otherwise(F.contains(lowered, F.col("kw"))))
-        .select(key, "ticker")
-    )
-    found = (
-        sure.unionByName(checked).groupBy(key)
-        .agg(F.array_join(F.array_sort(F.collect_set("ticker")), ",").alias("matched_tickers"))
-    )
-    return docs.select(key).join(found, key, "left").withColumn(
-        "matched_tickers", F.coalesce("matched_tickers", F.lit(C.GENERAL))
-    )
+    match = F.when(F.col("short"), F.rlike(lowered, pattern)).otherwise(F.contains(lowered, F.col("kw")))
+    return candidates.join(docs.select(key, text), key).filter(match).select(key, "ticker")
 
 
 # --- keyword tables ---------------------------------------------------------------------
