@@ -90,6 +90,11 @@ def fixed(value: Column, decimals: int) -> Column:
     return F.call_function("format_number", value, F.lit("0." + "0" * decimals))
 
 
+def round_even(value: Column, decimals: int) -> Column:
+    """Rounding of the binary value with ties to the even digit."""
+    return fixed(value, decimals).cast("double")
+
+
 def signed_pct(value: Column) -> Column:
     """A fraction as percent text with its sign, one decimal."""
     return F.concat(F.when(value < 0, "-").otherwise("+"), fixed(F.abs(value) * 100, 1), F.lit("%"))

@@ -75,7 +75,7 @@ def detect_zscore(prices: DataFrame, **kw) -> DataFrame:
         .withColumn("anomaly_type", kind)
         .select(
             "ticker", F.col("trade_date").alias("anomaly_date"), "close_price", "volume",
-            F.round(F.greatest(ratio, F.abs(z)), 2).alias("anomaly_score"), "anomaly_type",
+            S.round_even(F.greatest(ratio, F.abs(z)), 2).alias("anomaly_score"), "anomaly_type",
             F.lit(0.0).alias("sentiment_avg"),
             F.concat(
                 S.title_code(F.col("anomaly_type")), F.lit(": return="), S.signed_pct(ret),

@@ -153,11 +153,12 @@ def text_events(news: DataFrame | None, posts: DataFrame | None) -> DataFrame:
 
 
 def sentiment_by_ticker(news: DataFrame | None, posts: DataFrame | None, lexicon: DataFrame,
-                        processed_at: str | None = None, keep_general: bool = False) -> DataFrame:
+                        processed_at: str | None = None, keep_general: bool = False,
+                        negators: Iterable[str] = W.NEGATORS) -> DataFrame:
     """One scored row per text and ticker; every text is scored once, before tickers are exploded."""
     # Ids may repeat, so the text is part of the key. Copies of one text share a key and a mean.
     key = F.concat_ws(":", "source_type", "source_id", F.xxhash64("text").cast("string"))
-    scored = lexicon_sentiment(text_events(news, posts).withColumn("_key", key), lexicon, key="_key")
+    scored = lexicon_sentiment(text_events(news, posts).withColumn("_key", key), lexicon, key="_key", negators=negators)
     rows = explode_tickers(scored)
     out = rows.select(
         "source_type", "source_id", "ticker", "sentiment_score", "sentiment_label", "confidence", "event_date",

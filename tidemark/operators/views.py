@@ -45,7 +45,7 @@ def peer_table(prices: DataFrame, anomalies: DataFrame, dim: DataFrame, ticker:
     return (
         tail.join(align.small(known), "ticker").join(counts, "ticker", "left")
         .select(
-            "ticker", "sector", F.round("latest", 2).alias("current_price"), F.round(moved, 2).alias("return_pct"),
+            "ticker", "sector", S.round_even(F.col("latest"), 2).alias("current_price"), S.round_even(moved, 2).alias("return_pct"),
             F.coalesce("n", F.lit(0)).alias("total_anomalies"), status.alias("status"),
         )
         .orderBy(F.desc("return_pct"), "ticker")

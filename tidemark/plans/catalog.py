@@ -36,7 +36,8 @@ def publish(df: DataFrame, *columns: str) -> DataFrame:
     for name in columns or df.columns:
         kind, col = fields[name], F.col(name)
         if isinstance(kind, (T.DoubleType, T.FloatType)):
-            col = F.round(col, 6) + F.lit(0.0)
+            # The offset sends exact ties up, whatever the last bit of a sum is.
+            col = F.round(col + 1e-10, 6) + F.lit(0.0)
         elif isinstance(kind, T.DateType):
             col = col.cast("string")
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -550,7 +551,8 @@ def lexicon_sentiment(spark, d):
 
 @query
 def sentiment_by_ticker(spark, d):
-    out = sentiment.sentiment_by_ticker(fx.news(spark, d), fx.posts(spark, d), fx.lexicon(spark), "2024-01-01T00:00:00")
+    out = sentiment.sentiment_by_ticker(fx.news(spark, d), fx.posts(spark, d), fx.lexicon(spark), "2024-01-01T00:00:00",
+                                        negators=fx.FX_NEGATORS)
     return publish(out)
 
 

@@ -165,7 +165,7 @@ CTES = {
           CASE WHEN count(daily_return) OVER {_rows(20)} >= 5 THEN avg(daily_return) OVER {_rows(20)} END AS mean0,
           CASE WHEN count(daily_return) OVER {_rows(20)} >= 5 THEN stddev_samp(daily_return) OVER {_rows(20)} END AS std0
         FROM fx_all)) WHERE n >= 5""",
-    "fx_zanom": """SELECT ticker, trade_date AS anomaly_date, close_price, volume, round(greatest(volume_ratio, abs(z)), 2) AS anomaly_score,
+    "fx_zanom": """SELECT ticker, trade_date AS anomaly_date, close_price, volume, CAST(format('{:.2f}', greatest(volume_ratio, abs(z))) AS DOUBLE) AS anomaly_score,
         CASE WHEN volume_ratio > 2 AND abs(z) > 2 THEN 'price_volume_spike' WHEN volume_ratio > 2 THEN 'volume_surge' ELSE 'price_spike' END AS anomaly_type,
         0.0::DOUBLE AS sentiment_avg, coalesce(daily_return, 0) AS ret, volume_ratio FROM fx_z WHERE volume_ratio > 2 OR abs(z) > 2""",
     "fx_intraday": """SELECT 'U' || user_id AS ticker, ts AS trade_date, value + 1 AS close_price, value + 2 AS high_price, value AS low_price,
@@ -181,7 +181,7 @@ CTES = {
 
 def _sql(body: str, doubles: str = "", dates: str = "", times: str = "") -> str:
     """CTEs a query needs, the query, and the same presentation rules as `publish`."""
-    fixes = [f"round({c}, 6) + 0.0 AS {c}" for c in doubles.split()]
+    fixes = [f"round({c} + 1e-10, 6) + 0.0 AS {c}" for c in doubles.split()]
     fixes += [f"CAST({c} AS VARCHAR) AS {c}" for c in dates.split()]
     fixes += [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in times.split()]
     needed: dict[str, None] = {}
@@ -344,7 +344,7 @@ def oracle() -> dict[str, str]:
               count(*) FILTER (abs(coalesce(sentiment_avg, 0)) >= 0.05) AS moody FROM fx_stored), (SELECT avg(sentiment_score) AS m FROM fx_sentiment)""", "avg_sentiment")
     q["divergence_count"] = _sql("""SELECT count(*) FILTER (lower(description) LIKE '%divergence%') AS named,
       count(*) FILTER (abs(coalesce(sentiment_avg, 0)) >= 0.05) AS by_sentiment FROM fx_stored""")
-    peer = """SELECT t.ticker, sector, round(latest, 2) AS current_price, round((latest - nth) / nth * 100, 2) AS return_pct,
+    peer = """SELECT t.ticker, sector, CAST(format('{{:.2f}}', latest) AS DOUBLE) AS current_price, CAST(format('{{:.2f}}', (latest - nth) / nth * 100) AS DOUBLE) AS return_pct,
         coalesce(n, 0) AS total_anomalies, {} AS status
       FROM (SELECT ticker, max(CASE WHEN rk = 1 THEN close_price END) AS latest, arg_max(close_price, rk) AS nth, max(rk) AS seen
             FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY trade_date DESC) AS rk FROM fx_bars) WHERE rk <= 30 GROUP BY ticker) t
