@@ -190,15 +190,19 @@ def select_existing(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 # --- deduplication -------------------------------------------------------------------
 # "First row per key" keeps one row per key and map task before the shuffle, so a
-# group of copies of any size stays cheap. Every order ends in a full tie-break.
+# group of copies of any size stays cheap.
 
 def dedupe(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    rest = [F.col(c) for c in df.columns if c not in keys]
-    return top_per_key(df, keys, [*order, *rest])
+    """First row per key. What `order` leaves open a hash of the row decides, so the
+    survivor is the same in every run and unused text columns are not shuffled."""
+    rest = [c for c in df.columns if c not in keys]
+    return top_per_key(df, keys, [*order, F.xxhash64(*rest)])
 
 
 def dedupe_prices(df: DataFrame) -> DataFrame:
-    return dedupe(df, ["ticker", "trade_date"], [F.col("volume").desc_nulls_last()])
+    """The bar with the highest volume per ticker and day; of equal ones the lowest prices."""
+    prices = [F.col(c) for c in ("close_price", "open_price", "high_price", "low_price") if c in df.columns]
+    return dedupe(df, ["ticker", "trade_date"], [F.col("volume").desc_nulls_last(), *prices])
 
 
 def dedupe_news(df: DataFrame, keys: tuple[str, ...] = ("title", "published_date")) -> DataFrame:
