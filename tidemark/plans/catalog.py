@@ -18,8 +18,9 @@ from tidemark.functions import scalars as S
 from tidemark.operators import (aggregates, align, anomaly, clean, forest, fusion, momentum, sentiment, series,
                                 tagging, views)
 from tidemark.plans import fixtures as fx
+from tidemark.plans import jobs
 from tidemark.session import shared_folder
-from tidemark.sources import generate, sinks
+from tidemark.sources import generate, readers, sinks
 from tidemark.streaming import ingest as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -773,6 +774,87 @@ def scalar_rules(spark, d):
         S.title_code(F.col("anomaly_type")).alias("title"), S.start_date(F.col("trade_date"), 30).alias("start_date")))
 
 
+# --- landed files and batch jobs: tables are written as CSV to the shared folder, then read or run -------
+
+def _landing(spark, d, *names: str) -> jobs.Paths:
+    paths = jobs.Paths(f"{shared_folder(spark)}/landing-{uuid.uuid4().hex}")
+    if "prices" in names:
+        bars = fx.bars(spark, d).select(
+            F.col("trade_date").alias("Date"), F.col("close_price").alias("Close"), F.col("high_price").alias("High"),
+            F.col("low_price").alias("Low"), F.col("open_price").alias("Open"), F.col("volume").alias("Volume"),
+            F.col("ticker").alias("Ticker"))
+        # Two layouts in one folder, as from two fetchers.
+        first = F.month("Date") <= 6
+        sinks.write_dataset(bars.filter(first), paths.raw("prices/a"), fmt="csv")
+        sinks.write_dataset(bars.filter(~first).select(
+            "Date", "Open", "High", "Low", "Close", F.col("Close").alias("Adj Close"), "Volume", "Ticker",
+            F.lit("NSE").alias("Exchange")), paths.raw("prices/b"), fmt="csv")
+    if "news" in names:
+        sinks.write_dataset(fx.news_refetched(spark, d).select(
+            "title", "summary", "link", F.col("published_date").alias("published"), "source", "matched_tickers",
+            "fetched_at"), paths.raw("news"), fmt="csv")
+    if "reddit" in names:
+        sinks.write_dataset(fx.posts(spark, d).drop("event_ts", "conv_id", "turn"), paths.raw("reddit"), fmt="csv")
+    if "sentiment" in names:
+        sinks.write_dataset(fx.sentiment(spark, d), paths.processed("sentiment"))
+    return paths
+
+
+@query
+def read_prices_csv(spark, d):
+    out = readers.read_prices(spark, _landing(spark, d, "prices").raw("prices/*"))
+    return publish(out, "ticker", "trade_date", "open_price", "high_price", "low_price", "close_price", "volume")
+
+
+@query
+def read_news_csv(spark, d):
+    out = readers.read_news(spark, _landing(spark, d, "news").raw("news"))
+    return publish(out, "link", "source", "title", "summary", "published_date", "matched_tickers")
+
+
+@query
+def read_reddit_csv(spark, d):
+    out = readers.read_reddit(spark, _landing(spark, d, "reddit").raw("reddit"))
+    return publish(out, "post_id", "subreddit", "selftext", "created_utc", "matched_tickers")
+
+
+@query
+def read_ticker(spark, d):
+    """Point load of one symbol from a dataset partitioned by year; ticker filter and columns reach the scan."""
+    path = f"{shared_folder(spark)}/bars-{uuid.uuid4().hex}"
+    sinks.write_dataset(fx.bars(spark, d).withColumn("year", F.year("trade_date")), path, partition_by=["year"])
+    return publish(readers.read_ticker(spark, path, " s1.NS"), "ticker", "trade_date", "close_price", "year")
+
+
+@query
+def etl_job(spark, d):
+    paths = _landing(spark, d, "news")
+    sinks.write_dataset(fx.ticks(spark, d).select(
+        F.col("trade_date").alias("Date"), F.col("open_price").alias("Open"), F.col("high_price").alias("High"),
+        F.col("low_price").alias("Low"), F.col("close_price").alias("Close"), F.col("volume").alias("Volume"),
+        F.concat(F.lit(" "), F.lower("ticker")).alias("Ticker")), paths.raw("prices"), fmt="csv")
+    return publish(jobs.run_etl(spark, paths)["news_price_aligned"])
+
+
+@query
+def sentiment_job(spark, d):
+    out = jobs.run_sentiment(spark, _landing(spark, d, "news", "reddit"), "2024-01-01T00:00:00", fx.lexicon(spark))
+    return publish(out["sentiment"])
+
+
+@query
+def anomaly_job(spark, d):
+    paths = _landing(spark, d, "prices", "sentiment")
+    return publish(jobs.run_anomalies(spark, paths, folder="prices/*")["anomalies"].drop("year"))
+
+
+@query
+def momentum_job(spark, d):
+    paths = _landing(spark, d, "prices", "sentiment")
+    out = jobs.run_momentum(spark, paths, fx.dim(spark, d), "2024-01-01T00:00:00", folder="prices/*")
+    return publish(out["momentum"], *MOMENTUM_COLUMNS)
+
+
 # --- streaming: files that land are processed once, up to the last one available --------------------
 
 def _folders(spark):

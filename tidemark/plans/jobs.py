@@ -30,8 +30,8 @@ class Paths:
         return f"{self.root}/processed/{name}"
 
 
-def _prices(spark: SparkSession, paths: Paths) -> DataFrame:
-    raw = readers.read_prices(spark, paths.raw("prices"))
+def _prices(spark: SparkSession, paths: Paths, folder: str = "prices") -> DataFrame:
+    raw = readers.read_prices(spark, paths.raw(folder))
     return raw.withColumns({"ticker": C.clean_symbol(F.col("ticker")), "exchange": C.norm_key(F.col("exchange"))})
 
 
@@ -84,9 +84,10 @@ def _stored_sentiment(spark: SparkSession, paths: Paths) -> DataFrame | None:
     return None if scores.isEmpty() else scores
 
 
-def run_anomalies(spark: SparkSession, paths: Paths, strict: bool = False, trees: int = 100) -> dict[str, DataFrame]:
+def run_anomalies(spark: SparkSession, paths: Paths, strict: bool = False, trees: int = 100,
+                  folder: str = "prices") -> dict[str, DataFrame]:
     """Weighted score, or with `strict` the isolation forest with divergence types."""
-    prices, scores = clean_prices(_prices(spark, paths)), _stored_sentiment(spark, paths)
+    prices, scores = clean_prices(_prices(spark, paths, folder)), _stored_sentiment(spark, paths)
     if strict:
         found = forest.detect_isoforest(prices, trees)
         out = anomaly.divergences(found, scores) if scores is not None else anomaly.correlate_sentiment(found, None)
@@ -102,8 +103,8 @@ def run_anomalies(spark: SparkSession, paths: Paths, strict: bool = False, trees
 
 
 def run_momentum(spark: SparkSession, paths: Paths, dim: DataFrame, computed_at: str,
-                 strict: bool = False) -> dict[str, DataFrame]:
-    prices = clean_prices(_prices(spark, paths)).dropna(subset=["trade_date", "close_price", "ticker"])
+                 strict: bool = False, folder: str = "prices") -> dict[str, DataFrame]:
+    prices = clean_prices(_prices(spark, paths, folder)).dropna(subset=["trade_date", "close_price", "ticker"])
     scores = _stored_sentiment(spark, paths)
     daily = aggregates.daily_sentiment(scores) if scores is not None else None
     blended = align.with_sector(align.blend_sentiment(prices, daily), dim)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tidemark.functions.words import STOP_WORDS
+from tidemark.functions.words import NEGATORS, STOP_WORDS
 from tidemark.plans.fixtures import FX_KEYWORDS, FX_LEXICON, FX_NEGATORS
 
 
@@ -92,9 +92,9 @@ def _momentum(source: str, n: int, strict: bool) -> str:
 _LEXICON = _values((w, p, s) for w, (p, s) in FX_LEXICON.items())
 
 
-def _lexicon_scores(source: str, key: str, text: str) -> str:
+def _lexicon_scores(source: str, key: str, text: str, negators=FX_NEGATORS) -> str:
     return f"""
-  SELECT k AS {key}, avg(polarity * CASE WHEN previous IN ({_quoted(FX_NEGATORS)}) THEN -0.5 ELSE 1.0 END) AS score,
+  SELECT k AS {key}, avg(polarity * CASE WHEN previous IN ({_quoted(negators)}) THEN -0.5 ELSE 1.0 END) AS score,
          avg(subjectivity) AS subjectivity
   FROM (SELECT k, w[i] AS word, w[i - 1] AS previous
         FROM (SELECT k, w, unnest(generate_series(1, len(w))) AS i
@@ -384,12 +384,27 @@ def oracle() -> dict[str, str]:
     q["lexicon_sentiment"] = _sql(f"""SELECT *, {_label('sentiment_score')} AS sentiment_label FROM (
         SELECT doc_id, lang, {scored} FROM documents LEFT JOIN ({_lexicon_scores('documents', 'doc_id', 'text')}) USING (doc_id))""",
         "sentiment_score confidence")
-    q["sentiment_by_ticker"] = _sql(f"""SELECT source_type, source_id, ticker, sentiment_score, {_label('sentiment_score')} AS sentiment_label, confidence,
+    by_ticker = """SELECT source_type, source_id, ticker, sentiment_score, {} AS sentiment_label, confidence,
         event_date, '2024-01-01T00:00:00' AS processed_at FROM (
-          SELECT source_type, source_id, event_date, {scored}, trim(unnest(string_split(matched_tickers, ','))) AS ticker
-          FROM (SELECT *, source_type || source_id AS id FROM fx_texts) LEFT JOIN (
-            {_lexicon_scores("(SELECT source_type || source_id AS id, text FROM fx_texts)", "id", "text")}) USING (id))
-        WHERE ticker NOT IN ('', 'GENERAL')""", "sentiment_score confidence", "event_date")
+          SELECT source_type, source_id, event_date, {}, trim(unnest(string_split(matched_tickers, ','))) AS ticker
+          FROM (SELECT *, source_type || source_id AS id FROM {}) LEFT JOIN ({}) USING (id))
+        WHERE ticker NOT IN ('', 'GENERAL')"""
+    ids = "(SELECT source_type || source_id AS id, text FROM fx_texts)"
+    q["sentiment_by_ticker"] = _sql(by_ticker.format(_label("sentiment_score"), scored, "fx_texts", _lexicon_scores(ids, "id", "text")),
+                                    "sentiment_score confidence", "event_date")
+    # The job reads every fetch, so articles that were fetched twice count twice.
+    twice = """(SELECT * FROM fx_texts UNION ALL SELECT * FROM fx_texts WHERE source_type = 'news' AND CAST(source_id AS BIGINT) % 5 = 0)"""
+    q["sentiment_job"] = _sql(by_ticker.format(_label("sentiment_score"), scored, twice, _lexicon_scores(ids, "id", "text", NEGATORS)),
+                              "sentiment_score confidence", "event_date")
+    q["read_prices_csv"] = _sql(f"SELECT {bar}, open_price, high_price, low_price, close_price, volume FROM fx_bars",
+                                "open_price high_price low_price close_price volume", "trade_date")
+    q["read_news_csv"] = _sql("SELECT link, source, trim(title) AS title, nullif(trim(summary), '') AS summary, published_date, matched_tickers FROM fx_news_refetched", "", "published_date")
+    q["read_reddit_csv"] = _sql("SELECT post_id, subreddit, trim(selftext) AS selftext, created_utc, matched_tickers FROM fx_posts", "", "created_utc")
+    q["read_ticker"] = _sql(f"SELECT {bar}, close_price, year(trade_date) AS year FROM fx_bars WHERE ticker = 'S1'", "close_price", "trade_date")
+    q["etl_job"] = _sql(f"""SELECT n.ticker, n.published_date AS event_date, n.source AS news_source, trim(n.title) AS headline, nullif(trim(n.summary), '') AS summary,
+        p.close_price, p.volume, p.high_price, p.low_price FROM {join.format('')}""", "close_price volume high_price low_price", "event_date")
+    q["anomaly_job"] = q["correlate_sentiment"]
+    q["momentum_job"] = q["all_momentum"]
 
     q["rename"] = _sql("SELECT s_suppkey AS ticker_id, s_name, s_nationkey::BIGINT AS s_nationkey, s_acctbal AS close_price FROM supplier", "close_price")
     q["normalize_prices"] = _sql(f"""SELECT ticker, CAST(trade_date AS TIMESTAMP) AS trade_date, open_price, close_price,

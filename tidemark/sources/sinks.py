@@ -24,7 +24,8 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", files: int | N
         df = df.hint("rebalance", *keys)
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", header).option("escape", '"')
+        # White space and line ends inside a text are part of it.
+        writer = writer.options(header=header, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if keys:
         writer = writer.partitionBy(*keys)
     writer.save(path)
