@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
@@ -13,23 +13,16 @@ from tidemark.operators.clean import filter_basket, filter_view
 def price_summary(prices: DataFrame) -> DataFrame:
     """Latest close, its change, high, low and mean volume of every ticker.
 
-    Daily bars: the window partition is bounded by the calendar, and the
-    grouping reuses its partitioning.
+    The extremes combine map-side and the last two rows per ticker are kept
+    before the shuffle, so series of any length do.
     """
-    newest = Window.partitionBy("ticker").orderBy(F.col("trade_date").desc())
-    r = F.col("_rank")
-    latest = F.max(F.when(r == 1, F.col("close_price")))
-    before = F.coalesce(F.max(F.when(r == 2, F.col("close_price"))), latest)
-    return (
-        prices.withColumn("_rank", F.row_number().over(newest)).groupBy("ticker")
-        .agg(
-            latest.alias("latest_close"), before.alias("_before"), F.max("high_price").alias("high"),
-            F.min("low_price").alias("low"), F.avg("volume").alias("avg_volume"),
-        )
-        .withColumn("change_pct", F.coalesce(
-            S.simple_return(F.col("latest_close"), F.col("_before")) * 100, F.lit(0.0)))
-        .drop("_before")
-    )
+    spans = prices.groupBy("ticker").agg(
+        F.max("high_price").alias("high"), F.min("low_price").alias("low"), F.avg("volume").alias("avg_volume"))
+    last = series.nth_from_end(prices, 2)
+    change = S.simple_return(F.col("latest"), F.col("nth_value")) * 100
+    return spans.join(last, "ticker").select(
+        "ticker", F.col("latest").alias("latest_close"), F.coalesce(change, F.lit(0.0)).alias("change_pct"),
+        "high", "low", "avg_volume")
 
 
 def peer_table(prices: DataFrame, anomalies: DataFrame, dim: DataFrame, ticker: str | None = None,
