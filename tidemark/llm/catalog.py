@@ -5,7 +5,9 @@ from __future__ import annotations
 from tidemark.llm.language import op2_language
 from tidemark.llm.mixing import SQL as MIXING_SQL
 from tidemark.llm.mixing import op5_mix_sources
+from tidemark.llm.pieces import op10_sentencepiece
 from tidemark.llm.sharding import op7_shard_documents
+from tidemark.llm.tokenfile import op9_token_files
 
-QUERIES = {f.__name__: f for f in (op2_language, op5_mix_sources, op7_shard_documents)}
+QUERIES = {f.__name__: f for f in (op2_language, op5_mix_sources, op7_shard_documents, op9_token_files, op10_sentencepiece)}
 ORACLE = {"op5_mix_sources": MIXING_SQL}

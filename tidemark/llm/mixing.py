@@ -75,7 +75,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, max_epo
     """(doc_id, size, source_size, target, taken) of every row of docs(doc_id, text, source)."""
     sized = materialize(docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), place(F.col("doc_id"), seed).alias("_u")), "mix-sizes")
-    sized = sized.withColumn("_bucket", F.substring("_u", 1, BUCKET_DIGITS))
+    sized = sized.withColumn("_bucket", F.conv(F.substring("_u", 1, BUCKET_DIGITS), 16, 10).cast("int"))
     plan = targets(sized, weights, share, max_epochs).withColumn(
         "_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     ).withColumn("_need", F.col("target") - F.col("_whole") * F.col("source_size"))
