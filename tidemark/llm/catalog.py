@@ -8,6 +8,7 @@ from tidemark.llm.mixing import op5_mix_sources
 from tidemark.llm.pieces import op10_sentencepiece
 from tidemark.llm.sharding import op7_shard_documents
 from tidemark.llm.tokenfile import op9_token_files
+from tidemark.llm.toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_language, op5_mix_sources, op7_shard_documents, op9_token_files, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_language, op5_mix_sources, op7_shard_documents, op8_toxicity, op9_token_files, op10_sentencepiece)}
 ORACLE = {"op5_mix_sources": MIXING_SQL}
