@@ -9,7 +9,7 @@ size, so sequence i is found by arithmetic and is a view of the mapped file. A s
 Documents are range-partitioned by doc_id; each range is one file, written under a temporary name and renamed, so a
 repeated task replaces it by the same bytes. Only the number of ids of each file reaches the driver.
 
-Words between ASCII white space are encoded apart, which the tokenizer's own rules allow; a bounded cache keeps their ids.
+Words are encoded apart, which the tokenizer's own rules allow, and a bounded cache keeps their ids.
 
 Defined cases: a null text is empty and gives the end id only; a null doc_id sorts first; rows that share a doc_id follow
 each other by text; an empty table gives no file and no row; further columns are ignored.
@@ -39,13 +39,18 @@ MODEL = "word_bpe_49k.json"
 END_ID = 1
 LENGTH = 1024
 BATCH = 32
-CACHED, CACHED_BYTES, TOGETHER = 300_000, 48, 2_000
-#: The tokenizer's pattern on lower-case ASCII without white space.
-ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+CACHED, TOGETHER = 800_000, 2_000
+#: The tokenizer's pattern on lower-case ASCII.
+ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 \t\n\r\x0b\x0c]+")
+#: A word between the words of one call, by whose id their ids are told apart.
+MARK = b"\x01"
 
 
 class Words:
-    """Ids of texts as the tokenizers library gives them, with a cache by word."""
+    """Ids of texts as the tokenizers library gives them, with bounded caches.
+
+    ASCII text is cut into words as the tokenizer's own pattern does; other text is cut at ASCII white space only.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,37 +59,45 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        (self.mark,) = self._encode(MARK)
         self.cache: dict[bytes, bytes] = {}
 
-    def parts(self, word: bytes) -> list[bytes]:
-        """Parts of a word that the tokenizer also takes apart; a word with other letters stays whole."""
-        if not word.isascii() or any(s in word for s in self.special):
-            return [word]
-        return ASCII_WORDS.findall(word.lower())
-
-    def learn(self, words: set[bytes]) -> None:
-        parts = {w: self.parts(w) for w in words}
-        new = [p for p in {p for own in parts.values() for p in own} if p not in self.cache]
-        got: dict[bytes, bytes] = {}
-        for a in range(0, len(new), TOGETHER):
-            some = new[a:a + TOGETHER]
-            found = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
-            got.update(zip(some, (np.array(e.ids, dtype=self.kind).tobytes() for e in found)))
-        self.cache.update(got)
-        for w, own in parts.items():
-            if w not in self.cache:
-                self.cache[w] = b"".join(self.cache[p] for p in own)
+    def _encode(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids
+
+    def learn(self, words: list[bytes]) -> None:
+        plain = [w for w in words if MARK not in w]
+        for w in words:
+            if MARK in w:
+                self.cache[w] = np.array(self._encode(w), dtype=self.kind).tobytes()
+        size = self.kind.itemsize
+        for a in range(0, len(plain), TOGETHER):
+            some = plain[a:a + TOGETHER]
+            ids = np.array(self._encode((b" " + MARK + b" ").join(some)), dtype=self.kind)
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+            data = ids.tobytes()
+            for w, start, end in zip(some, [0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True):
+                self.cache[w] = data[start * size:end * size]
+
+    def _cut(self, text: str | None) -> list[bytes]:
+        if not text:
+            return []
+        data = text.encode()
+        if data.isascii() and not any(s in data for s in self.special):
+            return ASCII_WORDS.findall(data.lower())
+        return data.split()
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text with the end id."""
-        split = [t.encode().split() if t else [] for t in texts]
-        unknown = {w for w in set().union(*split) if w not in self.cache}
+        split = [self._cut(t) for t in texts]
+        cache = self.cache
+        unknown = [w for w in set().union(*split) if w not in cache]
         if unknown:
-            if len(self.cache) + len(unknown) > CACHED:
-                self.cache.clear()
-                unknown = set().union(*split)
+            if len(cache) + len(unknown) > CACHED:
+                cache.clear()
+                unknown = list(set().union(*split))
             self.learn(unknown)
-        end, cache = self.kind.type(END_ID).tobytes(), self.cache
+        end = self.kind.type(END_ID).tobytes()
         return [b"".join([*map(cache.__getitem__, own), end]) for own in split]
 
 
