@@ -60,23 +60,31 @@ class Words:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         (self.mark,) = self._encode(MARK)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.cache: dict[bytes, bytes] = {}
 
     def _encode(self, text: bytes) -> list[int]:
         return self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids
 
     def learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if MARK not in w]
-        for w in words:
-            if MARK in w:
-                self.cache[w] = np.array(self._encode(w), dtype=self.kind).tobytes()
+        for w in (w for w in words if MARK in w):
+            self.cache[w] = np.array(self._encode(w), dtype=self.kind).tobytes()
+        # A plain word is one word to the tokenizer, whose last id says so; between others stands the mark.
+        alone = [w for w in words if w.isascii() and len(ASCII_WORDS.findall(w)) == 1 and MARK not in w and w == w.lower()]
+        taken = set(alone)
+        self._learn(alone, b" ", lambda ids: np.flatnonzero(self.last[ids]) + 1, 0)
+        self._learn([w for w in words if w not in taken and MARK not in w], b" " + MARK + b" ",
+                    lambda ids: np.append(np.flatnonzero(ids == self.mark), len(ids)), 1)
+
+    def _learn(self, words: list[bytes], between: bytes, ends_of, skip: int) -> None:
         size = self.kind.itemsize
-        for a in range(0, len(plain), TOGETHER):
-            some = plain[a:a + TOGETHER]
-            ids = np.array(self._encode((b" " + MARK + b" ").join(some)), dtype=self.kind)
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
-            data = ids.tobytes()
-            for w, start, end in zip(some, [0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True):
+        for a in range(0, len(words), TOGETHER):
+            some = words[a:a + TOGETHER]
+            ids = np.array(self._encode(between.join(some)), dtype=self.kind)
+            ends, data = ends_of(ids).tolist(), ids.tobytes()
+            for w, start, end in zip(some, [0, *(e + skip for e in ends[:-1])], ends, strict=True):
                 self.cache[w] = data[start * size:end * size]
 
     def _cut(self, text: str | None) -> list[bytes]:
