@@ -1,11 +1,16 @@
-"""A pipeline over documents; each stage is written as Parquet and read again as the next one's input."""
+"""A pipeline over documents; each stage is written as Parquet and read again as the next one's input.
+
+Nulls, empty tables and further columns pass as the operators define. Rows of one doc_id count as one document: they stay
+or go together, and equal ones are merged where groups of near copies are.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing
+from tidemark.llm import language, mixing, ngrams, pieces, toxicity
 from tidemark.session import materialize
 
 #: Phrases per byte from which no learned language explains a text: hardly a match is longer than one byte.
@@ -18,7 +23,36 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("lang_pred") != "und") & (F.col("phrase_rate") < UNKNOWN_RATE)).select(*docs.columns)
 
 
-STAGES = [("language ID", language_id)]
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that are not predicted toxic; the classifier learns from the labels of the documents that came here."""
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model, keep=tuple(docs.columns)).where("predicted = 0").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group that n-gram links connect, and all documents without words."""
+    joined = ngrams.join(docs).where("n_shingles = 0 OR doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    joined = materialize(joined, "pipeline-kept")
+    kept = docs.join(joined, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it."""
+    times = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("times").alias("_times")).where("_times > 0")
+    times = materialize(times, "pipeline-times")
+    taken = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*(docs[c] for c in docs.columns))
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document of the mix, as digests."""
+    return pieces.digests(docs, public_tokenizers.path(pieces.MODEL))
+
+
+STAGES = [("language ID", language_id), ("toxicity", toxicity_filter), ("n-gram Jaccard join", near_duplicates),
+          ("mixing sources", mix_sources), ("SentencePiece", encode_pieces)]
+#: No stage but the mix can be stated in SQL; tests/llm compares the pipeline with a brute-force version.
 ORACLE_SQL = None
 
 

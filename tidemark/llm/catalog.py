@@ -6,10 +6,12 @@ from tidemark.llm.html_text import op1_html_text
 from tidemark.llm.language import op2_language
 from tidemark.llm.mixing import SQL as MIXING_SQL
 from tidemark.llm.mixing import op5_mix_sources
+from tidemark.llm.neighbours import op4_nearest
+from tidemark.llm.ngrams import op3_ngram_join
 from tidemark.llm.pieces import op10_sentencepiece
 from tidemark.llm.sharding import op7_shard_documents
 from tidemark.llm.tokenfile import op9_token_files
 from tidemark.llm.toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_language, op5_mix_sources, op7_shard_documents, op8_toxicity, op9_token_files, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_language, op3_ngram_join, op4_nearest, op5_mix_sources, op7_shard_documents, op8_toxicity, op9_token_files, op10_sentencepiece)}
 ORACLE = {"op5_mix_sources": MIXING_SQL}

@@ -72,7 +72,7 @@ def place(doc_id: Column, seed: str = SEED) -> Column:
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS,
         seed: str = SEED) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row of docs(doc_id, text, source)."""
+    """(doc_id, size, source_size, target, taken, times) of every row of docs(doc_id, text, source)."""
     sized = materialize(docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), place(F.col("doc_id"), seed).alias("_u")), "mix-sizes")
     sized = sized.withColumn("_bucket", F.conv(F.substring("_u", 1, BUCKET_DIGITS), 16, 10).cast("int"))
@@ -99,9 +99,10 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, max_epo
     in_edge = Window.partitionBy("source", "_bucket").orderBy("_u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = rows.where(at_edge).withColumn(
         "_extra", F.col("_before") + F.coalesce(F.sum("size").over(in_edge), F.lit(0)) + F.col("size") / 2 <= F.col("_need"))
-    return rest.unionByName(edge).select(
+    times = F.col("_whole") + F.when(F.col("_extra"), 1).otherwise(0)
+    return rest.unionByName(edge).withColumn("_times", times).select(
         "doc_id", "size", "source_size", "target",
-        (F.col("_whole") * F.col("size") + F.when(F.col("_extra"), F.col("size")).otherwise(F.lit(0))).cast("long").alias("taken"))
+        (F.col("_times") * F.col("size")).cast("long").alias("taken"), F.col("_times").cast("int").alias("times"))
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +133,7 @@ q AS (
          coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY u, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
-       CAST(whole * size + CASE WHEN before + size / 2 <= target - whole * source_size THEN size ELSE 0 END AS BIGINT) AS taken
+       CAST(whole * size + CASE WHEN before + size / 2 <= target - whole * source_size THEN size ELSE 0 END AS BIGINT) AS taken,
+       CAST(whole + CASE WHEN before + size / 2 <= target - whole * source_size THEN 1 ELSE 0 END AS INTEGER) AS times
 FROM q
 """
