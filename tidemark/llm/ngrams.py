@@ -38,6 +38,8 @@ PART, WHOLE = 75, 100
 HASH_BYTES, COUNTED, BLOCK_ROWS, SKETCH, MARKS = 1 << 20, 1 << 21, 500_000, 1 << 20, 1 << 20
 #: How often an n-gram must come in one step of a task to be counted as frequent.
 OFTEN = 3
+#: Rows of a column up to which the first product looks whether others than its smallest class may link.
+ASSUMED_OPEN = 512
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 IS_SPACE = np.zeros(256, dtype=bool)
@@ -163,7 +165,7 @@ def _postings(rows: Iterator[tuple[int, np.ndarray, int]], level: np.ndarray, bl
         block = block[order]
         bounds = np.flatnonzero(np.diff(block, prepend=-1))
         ends = [*bounds[1:].tolist(), len(block)]
-        cut = lambda x: [x[order][a:b].tobytes() for a, b in zip(bounds.tolist(), ends)]
+        cut = lambda x: [x[order][a:b].tobytes() if len(x) else b"" for a, b in zip(bounds.tolist(), ends)]
         return pa.RecordBatch.from_arrays(
             [pa.array(block[bounds]), *(pa.array(cut(x), pa.binary()) for x in (key, cid, n, left, comp))],
             ["block", "key", "cid", "n", "left", "comp"])
@@ -174,7 +176,7 @@ def _postings(rows: Iterator[tuple[int, np.ndarray, int]], level: np.ndarray, bl
         own = level[(row % np.uint64(SKETCH)).astype(np.int64)]
         key = row[np.lexsort((row, own))[:part]]
         held.append((key, np.full(part, cid, dtype=np.int64), np.full(part, n, dtype=np.int32),
-                     np.arange(n, n - part, -1, dtype=np.int32), np.full(part, comp, dtype=np.int64)))
+                     np.arange(n, n - part, -1, dtype=np.int32), np.full(part if comp is not None else 0, comp or 0, dtype=np.int64)))
         size += part
         if size >= 1 << 20:
             yield out()
@@ -187,35 +189,61 @@ POSTING = "block int, key binary, cid binary, n binary, left binary, comp binary
 
 
 def _pairs(frame: pd.DataFrame, star: bool) -> pd.DataFrame:
-    """Pairs of classes that share a column of this block: with the smallest class of the column, or (second product) of
-    different components. ok: the bounds allow a link."""
+    """Pairs of classes (a, b) that share a column of this block.
+
+    In the first product a is the smallest class of the column; ok: the bounds allow a link, open: they allow one of b with
+    another class of the column than a. In the second, pairs of different components that the bounds allow.
+    """
     key, cid, n, left, comp = (np.frombuffer(b"".join(frame[c]), dtype=t) for c, t in (
         ("key", "<u8"), ("cid", "<i8"), ("n", "<i4"), ("left", "<i4"), ("comp", "<i8")))
     order = np.lexsort((cid, key))
-    key, cid, n, left, comp = (x[order] for x in (key, cid, n, left, comp))
+    key, cid, n, left, comp = (x[order] for x in (key, cid, n.astype(np.int64), left.astype(np.int64), comp if len(comp) else np.zeros(len(key), dtype=np.int64)))
     new = np.ones(len(key), dtype=bool)
     new[1:] = (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])
     key, cid, n, left, comp = (x[new] for x in (key, cid, n, left, comp))
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
     count = np.diff(np.append(first, len(key)))
-    found = []
+    allowed = lambda a, b: similar(np.minimum(left[a], left[b]), n[a], n[b])
     if star:
-        lead = np.repeat(first, count)
-        a, b = lead, np.arange(len(key))
-        keep = (count.repeat(count) > 1) & (a != b)
-        found.append((a[keep], b[keep]))
+        many = count.repeat(count)
+        a, b = np.repeat(first, count), np.arange(len(key))
+        opened = many > ASSUMED_OPEN  # long columns are taken as open without looking
+        for f, c in zip(first.tolist(), count.tolist()):
+            if 2 < c <= ASSUMED_OPEN:
+                own = np.arange(f + 1, f + c)
+                both = allowed(own[:, None], own[None, :])
+                np.fill_diagonal(both, False)
+                opened[own] = both.any(axis=1)
+        keep = a != b
+        a, b, opened = a[keep], b[keep], opened[keep]
+        ok = allowed(a, b)
+        keep = ok | opened
+        a, b, ok, opened = a[keep], b[keep], ok[keep], opened[keep]
     else:
+        found = [(np.zeros(0, dtype=np.int64),) * 2]
         for f, c in zip(first.tolist(), count.tolist()):
             own = comp[f:f + c]
             if c > 1 and (own != own[0]).any():
                 for i in range(c - 1):  # one row against the rest: memory stays in proportion to the column
                     j = np.flatnonzero(own[i + 1:] != own[i]) + f + i + 1
+                    j = j[allowed(np.full(len(j), f + i), j)]
                     found.append((np.full(len(j), f + i), j))
-    a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, dtype=np.int64),) * 2
-    ok = similar(np.minimum(left[a], left[b]).astype(np.int64), n[a].astype(np.int64), n[b].astype(np.int64))
-    if not star:
-        a, b, ok = a[ok], b[ok], ok[ok]
-    return pd.DataFrame({"a": cid[a], "b": cid[b], "ok": ok.astype(np.int32)}).groupby(["a", "b"], as_index=False).max()
+        a, b = (np.concatenate(x) for x in zip(*found))
+        ok = opened = np.ones(len(a), dtype=bool)
+    return pd.DataFrame({"a": cid[a], "b": cid[b], "ok": ok.astype(np.int32), "open": opened.astype(np.int32)}).groupby(
+        ["a", "b"], as_index=False).max()
+
+
+def packed(row: np.ndarray) -> bytes:
+    """The low 48 bits of each hash."""
+    return row.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(data: pa.Scalar) -> np.ndarray:
+    part = np.frombuffer(data.as_buffer(), dtype=np.uint8).reshape(-1, 6)
+    out = np.zeros((len(part), 8), dtype=np.uint8)
+    out[:, :6] = part
+    return out.view("<u8").ravel()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -227,8 +255,8 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("_ra"), batch.column("_rb")):
-                x, y = np.frombuffer(x.as_buffer(), dtype="<u8"), np.frombuffer(y.as_buffer(), dtype="<u8")
-                keep.append(similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
+                x, y = unpacked(x), unpacked(y)
+                keep.append(similar(len(np.intersect1d(x, y)), len(x), len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
@@ -280,58 +308,59 @@ def join(docs: DataFrame) -> DataFrame:
                         if len(seen) >= 1 << 20:
                             seen.clear()
                         seen.add(cid)
-                        yield cid, row, 0
+                        yield cid, row, None
         return _postings(rows(), sketch.value, blocks)
 
-    shape = "a long, b long, ok int"
+    shape = "a long, b long, ok int, open int"
+    flags = F.max("ok").alias("ok"), F.max("open").alias("open")
     stars = text.mapInArrow(prefixes, POSTING).groupBy("block").applyInPandas(lambda f: _pairs(f, True), shape)
-    stars = materialize(stars.groupBy("a", "b").agg(F.max("ok").alias("ok")), "ngram-stars")
+    stars = materialize(stars.groupBy("a", "b").agg(*flags), "ngram-stars")
 
-    # Whole rows of the classes that share a column with another; a bitmap of fixed size spares most others the shuffle.
-    shared = materialize(stars.select(F.col("a").alias("cid")).union(stars.select("b")).distinct(), "ngram-shared")
+    # Whole rows of the classes that may have a partner; a bitmap of fixed size spares most others.
     marks = np.zeros(MARKS, dtype=bool)
+    shared = stars.select(F.col("a").alias("cid")).union(stars.select("b"))
     marks[shared.select(F.pmod("cid", F.lit(MARKS)).alias("m")).distinct().toPandas()["m"].to_numpy(dtype=np.int64)] = True
     marked = spark.sparkContext.broadcast(marks)
 
     def wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen, flags = Hasher(), set(), marked.value
+        hasher, seen, wanted = Hasher(), set(), marked.value
         for batch in in_chunks(batches, "_text", HASH_BYTES):
             own = []
             for row in hasher.rows(batch.column("_text").to_pylist()):
                 cid = class_of(row)
-                if len(row) and cid not in seen and flags[cid % MARKS]:
+                if len(row) and cid not in seen and wanted[cid % MARKS]:
                     if len(seen) >= 1 << 20:
                         seen.clear()
                     seen.add(cid)
-                    own.append((cid, row.tobytes()))
-            cids, rows = zip(*own) if own else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(rows, pa.binary())], ["cid", "row"])
+                    own.append((cid, packed(row)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c for c, _ in own], pa.int64()), pa.array([r for _, r in own], pa.binary())], ["cid", "row"])
 
-    sets = text.mapInArrow(wholes, "cid long, row binary").join(shared, "cid", "left_semi").dropDuplicates(["cid"])
-    sets = materialize(sets, "ngram-sets")
+    sets = materialize(text.mapInArrow(wholes, "cid long, row binary"), "ngram-sets").groupBy("cid").agg(F.first("row").alias("row"))
 
-    links = materialize(_linked(stars.where("ok = 1"), sets), "ngram-links")
+    # Each class with the smallest one of its columns first; most groups are connected by that.
+    tried = materialize(stars.where("ok = 1").groupBy("b").agg(F.min("a").alias("a")), "ngram-tried")
+    links = materialize(_linked(tried, sets), "ngram-links")
     comps = materialize(components(links), "ngram-components")
 
-    # A column whose smallest class is not linked with all others may hide links between those others.
-    tested = stars.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left")
-    open_ = tested.where("hit IS NULL").select("a").distinct()
-    # Only where both classes are not yet in one component is a pair open.
-    doubt = stars.join(open_, "a", "left_semi")
+    # Columns that hold several components yet: all that share a smallest class with one of those.
+    placed = stars.join(comps.select(F.col("cid").alias("a"), F.col("comp").alias("_ca")), "a", "left").join(
+        comps.select(F.col("cid").alias("b"), F.col("comp").alias("_cb")), "b", "left")
+    doubt = placed.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a").distinct()
+    doubt = stars.join(doubt, "a", "left_semi")
     doubt = doubt.select(F.col("a").alias("cid")).union(doubt.select("b")).distinct()
-    again = sets.join(doubt, "cid", "left_semi").join(comps, "cid", "left").select(
-        "cid", "row", F.coalesce("comp", "cid").alias("comp"))
+    doubt = materialize(doubt.join(comps, "cid", "left").select("cid", F.coalesce("comp", "cid").alias("comp")), "ngram-doubt")
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                for c, r, k in zip(batch.column("cid").to_pylist(), batch.column("row"), batch.column("comp").to_pylist()):
-                    yield c, np.frombuffer(r.as_buffer(), dtype="<u8"), k
+                for cid, row, comp in zip(batch.column("cid").to_pylist(), batch.column("row"), batch.column("comp").to_pylist()):
+                    yield cid, unpacked(row), comp
         return _postings(rows(), sketch.value, blocks)
 
-    others = again.mapInArrow(second, POSTING).groupBy("block").applyInPandas(lambda f: _pairs(f, False), shape)
-    others = others.groupBy("a", "b").agg(F.max("ok").alias("ok")).join(stars.where("ok = 1"), ["a", "b"], "left_anti")
-    more = materialize(_linked(materialize(others, "ngram-others"), sets), "ngram-more")
+    others = sets.join(doubt, "cid").select("cid", "row", "comp").mapInArrow(second, POSTING).groupBy("block").applyInPandas(lambda f: _pairs(f, False), shape)
+    others = materialize(others.groupBy("a", "b").agg(*flags).join(tried, ["a", "b"], "left_anti"), "ngram-others")
+    more = materialize(_linked(others, sets), "ngram-more")
     comps = materialize(components(links.unionByName(more)), "ngram-components")
 
     placed = classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
