@@ -39,7 +39,7 @@ MODEL = "word_bpe_49k.json"
 END_ID = 1
 LENGTH = 1024
 BATCH = 32
-CACHED, TOGETHER = 450_000, 2_000
+CACHED, TOGETHER = 800_000, 2_000
 #: The tokenizer's pattern on lower-case ASCII.
 ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 \t\n\r\x0b\x0c]+")
 #: A word between the words of one call, by whose id their ids are told apart.
@@ -64,7 +64,6 @@ class Words:
         self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.cache: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
 
     def _encode(self, text: bytes) -> list[int]:
         return self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids
@@ -103,13 +102,9 @@ class Words:
         unknown = [w for w in set().union(*split) if w not in cache]
         if unknown:
             if len(cache) + len(unknown) > CACHED:
-                # Words in use come over from the older half, others are forgotten.
-                self.older, cache = cache, {}
-                self.cache = cache
+                cache.clear()
                 unknown = list(set().union(*split))
-            older = self.older
-            cache.update((w, older[w]) for w in unknown if w in older)
-            self.learn([w for w in unknown if w not in older])
+            self.learn(unknown)
         end = self.kind.type(END_ID).tobytes()
         return [b"".join([*map(cache.__getitem__, own), end]) for own in split]
 
