@@ -10,7 +10,7 @@ from tidemark import schema
 from tidemark.operators import forest, series
 from tidemark.plans import fixtures as fx
 from tidemark.plans import jobs
-from tidemark.sources import generate, readers, sinks
+from tidemark.sources import readers, sinks
 from tidemark.streaming import ingest
 
 
@@ -156,57 +156,10 @@ def test_late_rows_do_not_change_a_final_day(spark, tmp_path):
     assert got == {"2024-01-01": 2, "2024-01-05": 1}
 
 
-# --- generators --------------------------------------------------------------------------------
-
-def dim(spark, n=3):
-    return spark.range(n).select(F.col("id").alias("slot"), F.concat(F.lit("T"), "id").alias("ticker"), F.lit("IT").alias("sector"))
-
-
-def test_generated_bars(spark):
-    gen = lambda: generate.gen_bars(dim(spark), 25_000, "2024-06-28 15:30:00")
-    df = gen().cache()
-    assert df.count() == 75_000
-    assert df.filter("low_price > least(open_price, close_price) OR high_price < greatest(open_price, close_price) OR close_price < 5 OR volume < 0").isEmpty()
-    gaps = series.over_series(df, lambda s: [[(F.unix_timestamp("trade_date") - F.unix_timestamp(F.lag("trade_date").over(s))).alias("gap")]], look_back=1)
-    assert [r.gap for r in gaps.select("gap").dropna().distinct().collect()] == [300]
-    # the walk goes on across the pieces of the two-step running sum
-    jump = series.daily_return(df).agg(F.max(F.abs("daily_return"))).first()[0]
-    assert jump < 0.06
-    same = generate.gen_bars(dim(spark).repartition(5), 25_000, "2024-06-28 15:30:00")
-    near = df.alias("a").join(same.alias("b"), ["ticker", "trade_date"]).filter("abs(a.close_price - b.close_price) > 0.011")
-    assert near.isEmpty()
-    df.unpersist()
-
-
-def test_demo_bars_equal_the_recursion(spark):
-    stocks = spark.createDataFrame([("A", 1.05, 0.3), ("B", 500.0, 0.02)], "ticker string, start_price double, volatility double")
-    day = dt.date(2024, 1, 10)
-    shocks = spark.createDataFrame([("B", day, -0.3)], "ticker string, trade_date date, factor double")
-    got = generate.gen_demo_bars(stocks, shocks, "2024-01-01", "2024-03-31").toPandas().sort_values(["ticker", "trade_date"])
-    assert {d.weekday() for d in got["trade_date"]} <= set(range(5))
-    draws = stocks.select("ticker", "start_price", "volatility", F.explode(F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-03-31").cast("date"))).alias("trade_date")) \
-        .filter(F.weekday("trade_date") < 5).withColumn("n", generate.normal(42, "ret", "ticker", "trade_date")).toPandas().sort_values(["ticker", "trade_date"])
-    for ticker, part in draws.groupby("ticker"):
-        price, want = part["start_price"].iloc[0], []
-        for row in part.itertuples():
-            ret = 0.0003 + row.volatility * row.n + (-0.3 if (ticker, row.trade_date) == ("B", day) else 0.0)
-            price = max(price * (1 + ret), 1.0)
-            want.append(round(price, 2))
-        assert got[got["ticker"] == ticker]["close_price"].tolist() == pytest.approx(want, abs=0.011)
-    assert (got["close_price"] >= 1.0).all()
-
-
-def test_generated_texts(spark):
-    ids = spark.range(2000)
-    news = generate.gen_news(ids, dim(spark), "2024-06-28 15:30:00").cache()
-    assert news.count() == 2000 and news.filter("title LIKE '%{%' OR matched_tickers NOT LIKE 'T%'").isEmpty()
-    assert news.agg(F.min("published_date")).first()[0] > "2023-06-28"
-    posts = generate.gen_reddit(ids, dim(spark), "2024-06-28 15:30:00").cache()
-    assert posts.count() == 2000
-    assert posts.filter("score < 5 OR upvote_ratio NOT BETWEEN 0.6 AND 0.99 OR num_comments < 1 OR title LIKE '%,%' OR selftext LIKE '%{%'").isEmpty()
-    two = posts.filter("matched_tickers LIKE '%,%'").count() / 2000
-    assert 0.10 < two < 0.25  # a quarter, less those that drew the same ticker again
-    assert posts.join(generate.gen_reddit(ids.repartition(3), dim(spark), "2024-06-28 15:30:00"), posts.columns, "left_anti").isEmpty()
+def normal(seed: int, tag: str, key: str):
+    """Standard normal values from hashes of the row."""
+    u = [(F.pmod(F.xxhash64(F.lit(seed), F.lit(tag + part), key), F.lit(1 << 52)) + 0.5) / float(1 << 52) for part in "ra"]
+    return F.sqrt(-2 * F.log(u[0])) * F.cos(6.283185307179586 * u[1])
 
 
 # --- forest ---------------------------------------------------------------------------------------
@@ -229,7 +182,7 @@ def test_forest_finds_planted_outliers_in_pieces(spark):
     df = spark.range(6000).select(
         F.lit("HOT").alias("ticker"), F.timestamp_seconds(F.col("id") * 60).alias("trade_date"),
         F.lit(1.0).alias("close_price"), F.lit(1.0).alias("volume"),
-        *[(generate.normal(1, c, "id") + F.when(F.col("id") % 600 == 7, 9.0).otherwise(0.0)).alias(c) for c in series.FEATURES])
+        *[(normal(1, c, "id") + F.when(F.col("id") % 600 == 7, 9.0).otherwise(0.0)).alias(c) for c in series.FEATURES])
     scores = forest.forest_scores(df, trees=20, pool_rows=1500, piece=1000)
     assert scores.count() == 6000
     top = {r.trade_date.minute + 60 * r.trade_date.hour for r in scores.orderBy(F.desc("raw_score")).limit(10).select("trade_date").collect()}
@@ -237,3 +190,11 @@ def test_forest_finds_planted_outliers_in_pieces(spark):
     assert top == planted
     flagged = forest.detect_isoforest_long(df, trees=20, pool_rows=1500, piece=1000).count()
     assert abs(flagged - 300) <= 61
+
+
+def test_intraday_anomalies_meet_the_sentiment_of_their_day(spark):
+    from tidemark.operators import align
+
+    found = spark.sql("SELECT 'A' AS ticker, timestamp'2024-01-02 10:05:00' AS trade_date UNION ALL SELECT 'A', timestamp'2024-01-02 15:00:00'")
+    daily = spark.sql("SELECT 'A' AS ticker, date'2024-01-02' AS event_day, 0.5D AS daily_sentiment")
+    assert [r.sentiment_avg for r in align.correlate_daily(found, daily).collect()] == [0.5, 0.5]

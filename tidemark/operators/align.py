@@ -20,6 +20,11 @@ def small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
 
 
+def _of_day(bars: DataFrame, daily: DataFrame) -> DataFrame:
+    """Bars of any time of day with what daily(ticker, _day, ...) holds of their day."""
+    return bars.withColumn("_day", F.to_date("trade_date")).join(daily, ["ticker", "_day"], "left").drop("_day")
+
+
 def news_price_aligned(news: DataFrame, prices: DataFrame, how: str = "inner") -> DataFrame:
     """News rows (one per ticker) next to the bar of the same day. `how="full"`
     keeps days without news and news on days without trading."""
@@ -33,9 +38,9 @@ def news_price_aligned(news: DataFrame, prices: DataFrame, how: str = "inner") -
 def price_sentiment_joined(prices: DataFrame, daily: DataFrame) -> DataFrame:
     """All bars with the day's sentiment and the change from the bar before in percent."""
     moved = series.daily_return(prices.select("ticker", "trade_date", "close_price", "volume"))
+    of_day = daily.withColumn("_day", F.to_date("trade_date")).drop("trade_date")
     return (
-        moved.withColumn("price_change_pct", F.col("daily_return") * 100)
-        .join(daily, ["ticker", "trade_date"], "left")
+        _of_day(moved.withColumn("price_change_pct", F.col("daily_return") * 100), of_day)
         .select("ticker", "trade_date", "close_price", "volume", "avg_sentiment", "article_count", "price_change_pct")
     )
 
@@ -48,8 +53,8 @@ def blend_sentiment(prices: DataFrame, daily: DataFrame | None) -> DataFrame:
     if daily is None:
         return bars.withColumn("real_sentiment", F.lit(None).cast("double")).withColumn(
             "blended_sentiment", F.col("price_sentiment"))
-    real = daily.select("ticker", F.col("event_day").alias("trade_date"), F.col("daily_sentiment").alias("real_sentiment"))
-    return bars.join(real, ["ticker", "trade_date"], "left").withColumn(
+    real = daily.select("ticker", F.to_date("event_day").alias("_day"), F.col("daily_sentiment").alias("real_sentiment"))
+    return _of_day(bars, real).withColumn(
         "blended_sentiment", F.coalesce("real_sentiment", "price_sentiment")
     )
 
@@ -63,8 +68,8 @@ def with_sector(df: DataFrame, dim: DataFrame) -> DataFrame:
 
 def correlate_daily(anomalies: DataFrame, daily: DataFrame) -> DataFrame:
     """Anomalies with the mean sentiment of their day."""
-    same_day = daily.select("ticker", F.col("event_day").alias("trade_date"), F.col("daily_sentiment").alias("sentiment_avg"))
-    return anomalies.join(same_day, ["ticker", "trade_date"], "left")
+    same_day = daily.select("ticker", F.to_date("event_day").alias("_day"), F.col("daily_sentiment").alias("sentiment_avg"))
+    return _of_day(anomalies, same_day)
 
 
 def sector_of(dim: DataFrame, ticker: str):

@@ -40,6 +40,11 @@ def clean_prices(prices: DataFrame) -> DataFrame:
     return clean.dedupe_prices(prices.filter(F.col("trade_date").isNotNull()))
 
 
+def _bars(spark: SparkSession, paths: Paths, folder: str) -> DataFrame:
+    """Bars as landed, several a day where they are intraday; only the ETL keeps one per day."""
+    return _prices(spark, paths, folder).filter(F.col("trade_date").isNotNull())
+
+
 def clean_news(news: DataFrame) -> DataFrame:
     tagged = clean.drop_header_rows(news, "first").withColumn("matched_tickers", C.norm_key(F.col("matched_tickers")))
     return clean.dedupe_news(tagged)
@@ -87,7 +92,7 @@ def _stored_sentiment(spark: SparkSession, paths: Paths) -> DataFrame | None:
 def run_anomalies(spark: SparkSession, paths: Paths, strict: bool = False, trees: int = 100,
                   folder: str = "prices") -> dict[str, DataFrame]:
     """Weighted score, or with `strict` the isolation forest with divergence types."""
-    prices, scores = clean_prices(_prices(spark, paths, folder)), _stored_sentiment(spark, paths)
+    prices, scores = _bars(spark, paths, folder), _stored_sentiment(spark, paths)
     if strict:
         found = forest.detect_isoforest(prices, trees)
         out = anomaly.divergences(found, scores) if scores is not None else anomaly.correlate_sentiment(found, None)
@@ -104,7 +109,7 @@ def run_anomalies(spark: SparkSession, paths: Paths, strict: bool = False, trees
 
 def run_momentum(spark: SparkSession, paths: Paths, dim: DataFrame, computed_at: str,
                  strict: bool = False, folder: str = "prices") -> dict[str, DataFrame]:
-    prices = clean_prices(_prices(spark, paths, folder)).dropna(subset=["trade_date", "close_price", "ticker"])
+    prices = _bars(spark, paths, folder).dropna(subset=["trade_date", "close_price", "ticker"])
     scores = _stored_sentiment(spark, paths)
     daily = aggregates.daily_sentiment(scores) if scores is not None else None
     blended = align.with_sector(align.blend_sentiment(prices, daily), dim)
