@@ -216,3 +216,12 @@ def test_pipeline_stages_take_effect(spark, sf):
     kept = corpus_pipeline.near_duplicates(spark, docs, sf)
     want = {c for _, _, c in brute_components([tuple(r) for r in docs.select("doc_id", "text").collect()])}
     assert {r.doc_id for r in kept.select("doc_id").collect()} == want and kept.columns == docs.columns
+
+
+def test_exact_codes_odd_rows(spark):
+    from tidemark.llm import hamming
+
+    rows = [(0, [1.0, -1.0, 1.0]), (1, [1.0, -1.0, 1.0]), (2, [1.0, 1.0, 1.0]), (3, [-1.0, 1.0, -1.0]), (4, None), (5, []), (6, [1.0]), (7, [None, 1.0, 1.0])]
+    got = hamming.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=2).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 1, 0), (0, 2, 2, 1)]
+    assert hamming.search(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0

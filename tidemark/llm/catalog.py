@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm.hamming import SQL as CODES_SQL
+from tidemark.llm.hamming import op6_exact_codes
 from tidemark.llm.html_text import op1_html_text
 from tidemark.llm.language import op2_language
 from tidemark.llm.mixing import SQL as MIXING_SQL
@@ -13,5 +15,5 @@ from tidemark.llm.sharding import op7_shard_documents
 from tidemark.llm.tokenfile import op9_token_files
 from tidemark.llm.toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_language, op3_ngram_join, op4_nearest, op5_mix_sources, op7_shard_documents, op8_toxicity, op9_token_files, op10_sentencepiece)}
-ORACLE = {"op5_mix_sources": MIXING_SQL}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_language, op3_ngram_join, op4_nearest, op5_mix_sources, op6_exact_codes, op7_shard_documents, op8_toxicity, op9_token_files, op10_sentencepiece)}
+ORACLE = {"op5_mix_sources": MIXING_SQL, "op6_exact_codes": CODES_SQL}
