@@ -1,6 +1,7 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector's code is the signs of its components, cut into segments of SEGMENT bits with one index each. A search looks up, for
+A vector's code is the signs of its components, cut into segments with one index each; a segment has about as many bits as
+the number of codes needs to be told apart (the base-2 logarithm, within LEAST and MOST). A search looks up, for
 one radius after another, all segment values that differ in exactly so many bits from the query's, and verifies the Hamming
 distance of what it finds. After radius r in all m segments every code within m * (r + 1) - 1 has been met, so a query ends
 when its kth verified distance lies within that; the others go on.
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
@@ -22,7 +23,14 @@ from tidemark.session import materialize
 
 K = 20
 QUERY_EVERY = 20
-SEGMENT = 16
+#: Bits of a segment: at most 2 ** MOST values are looked up for a query in one index, whatever its radius.
+LEAST, MOST = 8, 16
+
+
+def _masks(bits: int, radius: int) -> Column:
+    """All masks of `radius` of `bits` bits, as one constant."""
+    masks = (sum(1 << i for i in own) for own in combinations(range(bits), radius))
+    return F.split(F.lit(",".join(map(str, masks))), ",").cast("array<int>")
 
 
 def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame:
@@ -34,9 +42,10 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFram
     if lengths is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, distance int")
     size = int(lengths["n"])
-    segments = -(-size // SEGMENT)
-    bits = [F.when(F.col("x")[i] > 0, 1 << i % SEGMENT).otherwise(0) for i in range(size)]
-    code = F.array(*(sum(bits[s + 1:min(size, s + SEGMENT)], bits[s]) for s in range(0, size, SEGMENT)))
+    segment = min(MOST, max(LEAST, (lengths["count"] - 1).bit_length()))
+    segments = -(-size // segment)
+    bits = [F.when(F.col("x")[i] > 0, 1 << i % segment).otherwise(0) for i in range(size)]
+    code = F.array(*(sum(bits[s + 1:min(size, s + segment)], bits[s]) for s in range(0, size, segment)))
     rows = good.where(F.size("x") == size).select("id", code.alias("code"))
     few = rows.withColumn("_n", F.row_number().over(Window.partitionBy("code").orderBy("id"))).where(F.col("_n") <= k + 1)
     codes = materialize(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(
@@ -47,9 +56,8 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFram
     active = codes.join(asked.select(F.col("q").alias("v")).distinct(), "v", "left_semi").select(F.col("v").alias("q"), "code")
     done = best = None
     order = Window.partitionBy("q").orderBy("d", "v")
-    for radius in range(SEGMENT + 1):
-        masks = [sum(1 << i for i in own) for own in combinations(range(SEGMENT), radius)]
-        probes = active.select("q", "code", F.posexplode("code").alias("s", "own")).withColumn("mask", F.explode(F.lit(masks))).select(
+    for radius in range(segment + 1):
+        probes = active.select("q", "code", F.posexplode("code").alias("s", "own")).withColumn("mask", F.explode(_masks(segment, radius))).select(
             "q", "code", "s", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
         met = probes.join(index, ["s", "part"]).select("q", "v", F.aggregate(
             F.zip_with("code", "other", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b).alias("d"))
@@ -59,7 +67,7 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFram
         held = best.join(codes.select("v", F.size("ids").alias("n")), "v").withColumn("_sum", F.sum("n").over(
             order.rowsBetween(Window.unboundedPreceding, 0)))
         ended = held.where((F.col("_sum") >= k + 1) & (F.col("d") <= segments * (radius + 1) - 1)).select("q").distinct()
-        last = radius == SEGMENT
+        last = radius == segment
         now = best if last else best.join(ended, "q", "left_semi")
         done = materialize(now if done is None else done.unionByName(now), "codes-done")
         if last:
