@@ -225,3 +225,24 @@ def test_exact_codes_odd_rows(spark):
     got = hamming.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=2).collect()
     assert sorted(map(tuple, got)) == [(0, 1, 1, 0), (0, 2, 2, 1)]
     assert hamming.search(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_code_lookup_in_groups_equals_brute_force():
+    """One group of an index, looked up in small steps, against all rows."""
+    import numpy as np
+    import pandas as pd
+    from tidemark.llm import hamming
+
+    rng = np.random.default_rng(3)
+    bits, low, radii = 8, 6, range(0, 3)
+    codes = rng.integers(0, 256, (300, 3))
+    data = [c.astype(">u2").tobytes() for c in codes]
+    rows = pd.DataFrame({"part": codes[:, 0], "v": np.arange(300), "m": 1, "data": data})
+    for g in range(4):
+        own = rows[rows["part"] // 64 == g]
+        asked = pd.DataFrame({"q": np.arange(40), "own": codes[:40, 0], "g": g, "data": data[:40]})
+        got = hamming._lookup(own, asked, bits, low, radii, 5)
+        for q in range(40):
+            near = [v for v in own["v"] if bin(codes[v, 0] ^ codes[q, 0]).count("1") in radii]
+            want = sorted((sum(bin(x).count("1") for x in codes[v] ^ codes[q]), v) for v in near)[:5]
+            assert list(got[got["q"] == q][["d", "v"]].itertuples(index=False, name=None)) == want
