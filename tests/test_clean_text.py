@@ -116,6 +116,14 @@ def test_tagging_without_loose_or_composed_keywords(spark):
     assert {r.doc_id: r.matched_tickers for r in got.collect()} == {1: "S", 2: "GENERAL"}
 
 
+def test_tagging_by_keywords_without_word_characters(spark):
+    keywords = [("A", "$$$ >>>"), ("B", "%%"), ("C", "sbi"), ("D", "-----")]
+    texts = ["up $$$ >>> now", "up $$$ >> now", "a%%b", "a %% b", "sbi -----\n", "", "----", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = tagging.tag_tickers(docs, spark.createDataFrame(keywords, "ticker string, keyword string"))
+    assert {r.doc_id: r.matched_tickers for r in got.collect()} == {i: tag_brute(t or "", keywords) for i, t in enumerate(texts)}
+
+
 def test_keyword_tables(spark):
     names = spark.createDataFrame([("TCS", "Tata Consultancy Services Ltd."), ("ACC", "ACC Limited"), ("", "No Symbol")],
                                   "symbol string, company_name string")

@@ -38,7 +38,8 @@ def keyword_anchors(keywords: DataFrame) -> DataFrame:
 
     The anchor is the longest word of the keyword. `exact` tells whether the
     text must hold it as a whole word (short keywords) or inside a word; `sure`
-    that nothing but the anchor needs a check. A keyword needs a word character.
+    that nothing but the anchor needs a check. A keyword without a word character
+    is its own anchor: it can only lie inside a run of such characters.
     """
     kw = keywords.select(
         F.upper(F.trim("ticker")).alias("ticker"), F.lower(F.trim("keyword")).alias("kw")
@@ -46,10 +47,11 @@ def keyword_anchors(keywords: DataFrame) -> DataFrame:
     words = _words(F.col("kw"))
     by_length = F.array_sort(words, lambda a, b: F.length(b) - F.length(a))
     short = F.length("kw") <= SHORT
+    bare = F.size(words) == 0
     one_word = (F.size(words) == 1) & (F.length(F.get(by_length, 0)) == F.length("kw"))
     return kw.select(
-        "ticker", "kw", short.alias("short"), F.get(by_length, 0).alias("anchor"),
-        short.alias("exact"), one_word.alias("sure"),
+        "ticker", "kw", short.alias("short"), F.coalesce(F.get(by_length, 0), "kw").alias("anchor"),
+        (short & ~bare).alias("exact"), (one_word | (bare & ~short)).alias("sure"), bare.alias("bare"),
     )
 
 
@@ -62,17 +64,20 @@ def tag_tickers(docs: DataFrame, keywords: DataFrame, key: str = "doc_id", text:
     several words look at the text again, for the texts that hold the anchor.
     """
     anchors = keyword_anchors(keywords)
-    words = docs.select(key, F.explode(F.array_distinct(_words(F.col(text)))).alias("word"))
-
     exact = anchors.filter("exact").select("ticker", "kw", "short", "sure", F.col("anchor").alias("word"))
     # Inside-a-word anchors: an equi join on the first characters of the anchor, found at
     # any place of a vocabulary word, then an exact check. At most four lengths occur.
     loose = anchors.filter(~F.col("exact")).withColumn("probe", F.substring("anchor", 1, SHORT))
-    lengths = [row.n for row in loose.select(F.length("probe").alias("n")).distinct().collect()]
+    kinds = loose.select(F.length("probe").alias("n"), "bare").distinct().collect()
+    lengths = sorted({row.n for row in kinds})
+    pieces = _words(F.col(text))
+    if any(row.bare for row in kinds):
+        pieces = F.concat(pieces, F.regexp_extract_all(F.lower(text), F.lit(NON_WORD), F.lit(0)))
+    words = docs.select(key, F.explode(F.array_distinct(pieces)).alias("word"))
 
     def parts(n: int) -> Column:
         # A look-ahead matches at every character, so this yields all overlapping parts of n characters.
-        return F.regexp_extract_all("word", F.lit("(?=(.{%d}))" % n), F.lit(1))
+        return F.regexp_extract_all("word", F.lit("(?s)(?=(.{%d}))" % n), F.lit(1))
 
     grams = words.select("word").distinct().select(
         "word",
