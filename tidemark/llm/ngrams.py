@@ -7,9 +7,12 @@ first one shared with a similar row, sizes must differ by less than a quarter, a
 reach the needed overlap. The order puts columns that are frequent somewhere last; their frequency is a sketch of fixed size,
 and whatever it says, the bounds hold. Overlaps of the pairs that remain are counted on whole rows.
 
-Groups of near copies are not paired off: rows that share a column are first compared with one of them only. Where that
-leaves a column's rows in several components, a second product compares the rows of different components. So every link that
-matters for the components is found, without all pairs inside a group.
+Groups of near copies are not paired off: rows that share a column are first compared with the smallest class of the column
+only. Where that leaves the rows around a smallest class in several components, rows of different components are compared
+with each other. So every link that matters for the components is found, without all pairs inside a group.
+
+Before whole rows are brought together, sketches are: the parity of a row's hashes in each of about 4n buckets. Two rows
+differ in at least as many columns as their sketches differ in bits, which bounds the overlap from above.
 
 Components come from alternating star contractions, each round written to the shared folder.
 
@@ -40,6 +43,8 @@ HASH_BYTES, COUNTED, BLOCK_ROWS, SKETCH, MARKS = 1 << 20, 1 << 21, 500_000, 1 <<
 OFTEN = 3
 #: Rows of a column up to which the first product looks whether others than its smallest class may link.
 ASSUMED_OPEN = 512
+#: Least and most bits of a row's sketch; rows of a piece of those around one class.
+LEAST_BITS, MOST_BITS, PIECE_ROWS = 256, 1 << 17, 4_096
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 IS_SPACE = np.zeros(256, dtype=bool)
@@ -154,29 +159,28 @@ def _hash_pass(docs: DataFrame) -> DataFrame:
     return data.mapInArrow(run, f"doc_id {kind.simpleString()}, n long, cid long, kind int")
 
 
-def _postings(rows: Iterator[tuple[int, np.ndarray, int]], level: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
-    """First parts of rows (class, row, component), dealt by column into blocks."""
+def _postings(rows: Iterator[tuple[int, np.ndarray]], level: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
+    """First parts of rows (class, row), dealt by column into blocks."""
     held, size = [], 0
 
     def out() -> pa.RecordBatch:
-        key, cid, n, left, comp = (np.concatenate(x) for x in zip(*held))
+        key, cid, n, left = (np.concatenate(x) for x in zip(*held))
         block = (mixed(key) % np.uint64(blocks)).astype(np.int32)
         order = np.argsort(block, kind="stable")
         block = block[order]
         bounds = np.flatnonzero(np.diff(block, prepend=-1))
         ends = [*bounds[1:].tolist(), len(block)]
-        cut = lambda x: [x[order][a:b].tobytes() if len(x) else b"" for a, b in zip(bounds.tolist(), ends)]
+        cut = lambda x: [x[order][a:b].tobytes() for a, b in zip(bounds.tolist(), ends)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(block[bounds]), *(pa.array(cut(x), pa.binary()) for x in (key, cid, n, left, comp))],
-            ["block", "key", "cid", "n", "left", "comp"])
+            [pa.array(block[bounds]), *(pa.array(cut(x), pa.binary()) for x in (key, cid, n, left))], ["block", "key", "cid", "n", "left"])
 
-    for cid, row, comp in rows:
+    for cid, row in rows:
         n = len(row)
         part = first_part(n)
         own = level[(row % np.uint64(SKETCH)).astype(np.int64)]
         key = row[np.lexsort((row, own))[:part]]
         held.append((key, np.full(part, cid, dtype=np.int64), np.full(part, n, dtype=np.int32),
-                     np.arange(n, n - part, -1, dtype=np.int32), np.full(part if comp is not None else 0, comp or 0, dtype=np.int64)))
+                     np.arange(n, n - part, -1, dtype=np.int32)))
         size += part
         if size >= 1 << 20:
             yield out()
@@ -185,55 +189,90 @@ def _postings(rows: Iterator[tuple[int, np.ndarray, int]], level: np.ndarray, bl
         yield out()
 
 
-POSTING = "block int, key binary, cid binary, n binary, left binary, comp binary"
-
+POSTING = "block int, key binary, cid binary, n binary, left binary"
 
-def _pairs(frame: pd.DataFrame, star: bool) -> pd.DataFrame:
-    """Pairs of classes (a, b) that share a column of this block.
 
-    In the first product a is the smallest class of the column; ok: the bounds allow a link, open: they allow one of b with
-    another class of the column than a. In the second, pairs of different components that the bounds allow.
-    """
-    key, cid, n, left, comp = (np.frombuffer(b"".join(frame[c]), dtype=t) for c, t in (
-        ("key", "<u8"), ("cid", "<i8"), ("n", "<i4"), ("left", "<i4"), ("comp", "<i8")))
+def _pairs(frame: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of classes (a, b) that share a column of this block, a being the smallest class of the column; ok: the bounds
+    allow a link, open: they allow one of b with another class of the column than a."""
+    key, cid, n, left = (np.frombuffer(b"".join(frame[c]), dtype=t) for c, t in (("key", "<u8"), ("cid", "<i8"), ("n", "<i4"), ("left", "<i4")))
     order = np.lexsort((cid, key))
-    key, cid, n, left, comp = (x[order] for x in (key, cid, n.astype(np.int64), left.astype(np.int64), comp if len(comp) else np.zeros(len(key), dtype=np.int64)))
+    key, cid, n, left = (x[order] for x in (key, cid, n.astype(np.int64), left.astype(np.int64)))
     new = np.ones(len(key), dtype=bool)
     new[1:] = (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])
-    key, cid, n, left, comp = (x[new] for x in (key, cid, n, left, comp))
+    key, cid, n, left = (x[new] for x in (key, cid, n, left))
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
     count = np.diff(np.append(first, len(key)))
     allowed = lambda a, b: similar(np.minimum(left[a], left[b]), n[a], n[b])
-    if star:
-        many = count.repeat(count)
-        a, b = np.repeat(first, count), np.arange(len(key))
-        opened = many > ASSUMED_OPEN  # long columns are taken as open without looking
-        for f, c in zip(first.tolist(), count.tolist()):
-            if 2 < c <= ASSUMED_OPEN:
-                own = np.arange(f + 1, f + c)
-                both = allowed(own[:, None], own[None, :])
-                np.fill_diagonal(both, False)
-                opened[own] = both.any(axis=1)
-        keep = a != b
-        a, b, opened = a[keep], b[keep], opened[keep]
-        ok = allowed(a, b)
-        keep = ok | opened
-        a, b, ok, opened = a[keep], b[keep], ok[keep], opened[keep]
-    else:
-        found = [(np.zeros(0, dtype=np.int64),) * 2]
-        for f, c in zip(first.tolist(), count.tolist()):
-            own = comp[f:f + c]
-            if c > 1 and (own != own[0]).any():
-                for i in range(c - 1):  # one row against the rest: memory stays in proportion to the column
-                    j = np.flatnonzero(own[i + 1:] != own[i]) + f + i + 1
-                    j = j[allowed(np.full(len(j), f + i), j)]
-                    found.append((np.full(len(j), f + i), j))
-        a, b = (np.concatenate(x) for x in zip(*found))
-        ok = opened = np.ones(len(a), dtype=bool)
+    many = count.repeat(count)
+    a, b = np.repeat(first, count), np.arange(len(key))
+    opened = many > ASSUMED_OPEN  # long columns are taken as open without looking
+    for f, c in zip(first.tolist(), count.tolist()):
+        if 2 < c <= ASSUMED_OPEN:
+            own = np.arange(f + 1, f + c)
+            both = allowed(own[:, None], own[None, :])
+            np.fill_diagonal(both, False)
+            opened[own] = both.any(axis=1)
+    ok = allowed(a, b)
+    keep = (a != b) & (ok | opened)
+    a, b, ok, opened = a[keep], b[keep], ok[keep], opened[keep]
     return pd.DataFrame({"a": cid[a], "b": cid[b], "ok": ok.astype(np.int32), "open": opened.astype(np.int32)}).groupby(
         ["a", "b"], as_index=False).max()
 
 
+def sketch_of(row: np.ndarray) -> bytes:
+    """Parities of the row's hashes in a number of buckets that is a power of two."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (4 * len(row) - 1).bit_length()))
+    odd = np.bincount((row % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(x: np.ndarray) -> np.ndarray:
+    """Sketches of half as many buckets."""
+    return x[..., :x.shape[-1] // 2] ^ x[..., x.shape[-1] // 2:]
+
+
+def may_link(x: np.ndarray, y: np.ndarray, a, b):
+    """Whether sketches x and y of sets of sizes a and b, of one length or twice it, leave a link possible."""
+    while x.shape[-1] > y.shape[-1]:
+        x = folded(x)
+    while y.shape[-1] > x.shape[-1]:
+        y = folded(y)
+    differ = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+    return similar((a + b - differ) // 2, a, b) & similar(np.minimum(a, b), a, b)
+
+
+def _around(frame: pd.DataFrame) -> pd.DataFrame:
+    """Pairs (a, b) of rows of different components that the sketches leave possible, among rows around one class; of two
+    different pieces, only pairs between them."""
+    i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
+    frame = frame.sort_values(["n", "cid"])
+    cid, comp, n, piece = (frame[c].to_numpy().astype(np.int64) for c in ("cid", "comp", "n", "piece"))
+    sketch = frame["sketch"]
+    width = sketch.str.len().to_numpy() // 8
+    out = []
+    for w in np.unique(width):
+        x = np.frombuffer(b"".join(sketch[width == w]), dtype="<u8").reshape(-1, w)
+        own = np.flatnonzero(width == w)
+        # The rows of twice the width, too: sizes that may link differ by less than that.
+        wide = np.flatnonzero(width == 2 * w)
+        if len(wide):
+            x = np.vstack([x, folded(np.frombuffer(b"".join(sketch[width == 2 * w]), dtype="<u8").reshape(-1, 2 * w))])
+        at = np.concatenate([own, wide])
+        for k, r in enumerate(own.tolist()):
+            last = np.searchsorted(n[at], n[r] * WHOLE // PART, side="right")
+            near = np.arange(k + 1, max(k + 1, last))
+            to = at[near]
+            keep = comp[to] != comp[r]
+            if i != j:
+                keep &= piece[to] != piece[r]
+            near, to = near[keep], to[keep]
+            if len(to):
+                to = to[may_link(x[near], x[k], n[to], n[r])]
+                out.append(pd.DataFrame({"a": np.minimum(cid[to], cid[r]), "b": np.maximum(cid[to], cid[r])}))
+    return pd.concat([pd.DataFrame({"a": [], "b": []}).astype("int64"), *out])
+
+
 def packed(row: np.ndarray) -> bytes:
     """The low 48 bits of each hash."""
     return row.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
@@ -262,6 +301,21 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the sketches leave possible."""
+    left = pairs.select("a", "b").join(sketches.select(F.col("cid").alias("a"), F.col("n").alias("_na"), F.col("sketch").alias("_sa")), "a")
+    both = left.join(sketches.select(F.col("cid").alias("b"), F.col("n").alias("_nb"), F.col("sketch").alias("_sb")), "b").select(
+        "a", "b", "_na", "_nb", "_sa", "_sb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [bool(may_link(np.frombuffer(x.as_buffer(), dtype="<u8"), np.frombuffer(y.as_buffer(), dtype="<u8"), a, b)) for x, y, a, b in zip(
+                batch.column("_sa"), batch.column("_sb"), batch.column("_na").to_pylist(), batch.column("_nb").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(cid, comp): the smallest class that links (a, b) reach, for every class that has one. Alternating large and small
     stars; each round is written, so its lineage is short."""
@@ -308,59 +362,58 @@ def join(docs: DataFrame) -> DataFrame:
                         if len(seen) >= 1 << 20:
                             seen.clear()
                         seen.add(cid)
-                        yield cid, row, None
+                        yield cid, row
         return _postings(rows(), sketch.value, blocks)
 
     shape = "a long, b long, ok int, open int"
     flags = F.max("ok").alias("ok"), F.max("open").alias("open")
-    stars = text.mapInArrow(prefixes, POSTING).groupBy("block").applyInPandas(lambda f: _pairs(f, True), shape)
+    stars = text.mapInArrow(prefixes, POSTING).groupBy("block").applyInPandas(_pairs, shape)
     stars = materialize(stars.groupBy("a", "b").agg(*flags), "ngram-stars")
 
-    # Whole rows of the classes that may have a partner; a bitmap of fixed size spares most others.
-    marks = np.zeros(MARKS, dtype=bool)
-    shared = stars.select(F.col("a").alias("cid")).union(stars.select("b"))
-    marks[shared.select(F.pmod("cid", F.lit(MARKS)).alias("m")).distinct().toPandas()["m"].to_numpy(dtype=np.int64)] = True
-    marked = spark.sparkContext.broadcast(marks)
+    def of_classes(pairs: DataFrame, name: str, kind: str, value) -> DataFrame:
+        """(cid, n, value of the row) of the classes in pairs; a bitmap of fixed size spares most others."""
+        marks = np.zeros(MARKS, dtype=bool)
+        both = pairs.select(F.col("a").alias("cid")).union(pairs.select("b"))
+        marks[both.select(F.pmod("cid", F.lit(MARKS)).alias("m")).distinct().toPandas()["m"].to_numpy(dtype=np.int64)] = True
+        marked = spark.sparkContext.broadcast(marks)
 
-    def wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen, wanted = Hasher(), set(), marked.value
-        for batch in in_chunks(batches, "_text", HASH_BYTES):
-            own = []
-            for row in hasher.rows(batch.column("_text").to_pylist()):
-                cid = class_of(row)
-                if len(row) and cid not in seen and wanted[cid % MARKS]:
-                    if len(seen) >= 1 << 20:
-                        seen.clear()
-                    seen.add(cid)
-                    own.append((cid, packed(row)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c for c, _ in own], pa.int64()), pa.array([r for _, r in own], pa.binary())], ["cid", "row"])
-
-    sets = materialize(text.mapInArrow(wholes, "cid long, row binary"), "ngram-sets").groupBy("cid").agg(F.first("row").alias("row"))
-
-    # Each class with the smallest one of its columns first; most groups are connected by that.
-    tried = materialize(stars.where("ok = 1").groupBy("b").agg(F.min("a").alias("a")), "ngram-tried")
-    links = materialize(_linked(tried, sets), "ngram-links")
-    comps = materialize(components(links), "ngram-components")
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hasher, seen, wanted = Hasher(), set(), marked.value
+            for batch in in_chunks(batches, "_text", HASH_BYTES):
+                own = []
+                for row in hasher.rows(batch.column("_text").to_pylist()):
+                    cid = class_of(row)
+                    if len(row) and cid not in seen and wanted[cid % MARKS]:
+                        if len(seen) >= 1 << 20:
+                            seen.clear()
+                        seen.add(cid)
+                        own.append((cid, len(row), value(row)))
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in own], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))],
+                                                 ["cid", "n", kind])
 
-    # Columns that hold several components yet: all that share a smallest class with one of those.
-    placed = stars.join(comps.select(F.col("cid").alias("a"), F.col("comp").alias("_ca")), "a", "left").join(
-        comps.select(F.col("cid").alias("b"), F.col("comp").alias("_cb")), "b", "left")
-    doubt = placed.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a").distinct()
-    doubt = stars.join(doubt, "a", "left_semi")
-    doubt = doubt.select(F.col("a").alias("cid")).union(doubt.select("b")).distinct()
-    doubt = materialize(doubt.join(comps, "cid", "left").select("cid", F.coalesce("comp", "cid").alias("comp")), "ngram-doubt")
+        found = text.mapInArrow(run, f"cid long, n long, {kind} binary").groupBy("cid").agg(F.first("n").alias("n"), F.first(kind).alias(kind))
+        return materialize(found, name)
 
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for batch in batches:
-                for cid, row, comp in zip(batch.column("cid").to_pylist(), batch.column("row"), batch.column("comp").to_pylist()):
-                    yield cid, unpacked(row), comp
-        return _postings(rows(), sketch.value, blocks)
+    def linked(pairs: DataFrame) -> DataFrame:
+        return materialize(_linked(pairs, of_classes(pairs, "ngram-sets", "row", packed)), "ngram-links")
+
+    # Each class with the smallest possible one of its columns first; most groups are connected by that.
+    sketches = of_classes(stars, "ngram-sketches", "sketch", sketch_of)
+    possible = _possible(stars.where("ok = 1"), sketches)
+    tried = materialize(possible.groupBy("b").agg(F.min("a").alias("a")), "ngram-tried")
+    links = linked(tried)
+    comps = materialize(components(links), "ngram-components")
 
-    others = sets.join(doubt, "cid").select("cid", "row", "comp").mapInArrow(second, POSTING).groupBy("block").applyInPandas(lambda f: _pairs(f, False), shape)
-    others = materialize(others.groupBy("a", "b").agg(*flags).join(tried, ["a", "b"], "left_anti"), "ngram-others")
-    more = materialize(_linked(others, sets), "ngram-more")
+    # Smallest classes around which there are several components yet, with all rows around them, in pieces.
+    around = stars.select("a", F.col("b").alias("cid")).union(stars.select("a", F.col("a").alias("cid")).distinct())
+    around = materialize(around.join(comps, "cid", "left").select("a", "cid", F.coalesce("comp", "cid").alias("comp")), "ngram-around")
+    doubt = around.groupBy("a").agg(F.count("*").alias("rows"), F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low <> _high")
+    doubt = doubt.select("a", F.ceil(F.col("rows") / PIECE_ROWS).cast("int").alias("pieces"))
+    dealt = around.join(doubt, "a").join(sketches, "cid").withColumn("piece", F.pmod(F.xxhash64("cid"), "pieces").cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
+        "a", F.least("piece", "_other").alias("i"), F.greatest("piece", "_other").alias("j"), "cid", "comp", "n", "piece", "sketch")
+    others = dealt.groupBy("a", "i", "j").applyInPandas(_around, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
+    more = linked(materialize(others, "ngram-others"))
     comps = materialize(components(links.unionByName(more)), "ngram-components")
 
     placed = classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
