@@ -243,34 +243,34 @@ def may_link(x: np.ndarray, y: np.ndarray, a, b):
 
 
 def _around(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs (a, b) of rows of different components that the sketches leave possible, among rows around one class; of two
-    different pieces, only pairs between them."""
+    """Pairs (a, b) of rows of different components that the sketches leave possible, among rows around one class `at`; of
+    two different pieces, only pairs between them."""
     i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-    frame = frame.sort_values(["n", "cid"])
-    cid, comp, n, piece = (frame[c].to_numpy().astype(np.int64) for c in ("cid", "comp", "n", "piece"))
-    sketch = frame["sketch"]
-    width = sketch.str.len().to_numpy() // 8
-    out = []
-    for w in np.unique(width):
-        x = np.frombuffer(b"".join(sketch[width == w]), dtype="<u8").reshape(-1, w)
-        own = np.flatnonzero(width == w)
-        # The rows of twice the width, too: sizes that may link differ by less than that.
-        wide = np.flatnonzero(width == 2 * w)
-        if len(wide):
-            x = np.vstack([x, folded(np.frombuffer(b"".join(sketch[width == 2 * w]), dtype="<u8").reshape(-1, 2 * w))])
-        at = np.concatenate([own, wide])
-        for k, r in enumerate(own.tolist()):
-            last = np.searchsorted(n[at], n[r] * WHOLE // PART, side="right")
-            near = np.arange(k + 1, max(k + 1, last))
-            to = at[near]
+    frame = frame.sort_values(["at", "n", "cid"])
+    around, cid, comp, n, piece = (frame[c].to_numpy().astype(np.int64) for c in ("at", "cid", "comp", "n", "piece"))
+    sketch = frame["sketch"].tolist()
+    width = np.array([len(x) // 8 for x in sketch])
+    found = [(np.zeros(0, dtype=np.int64),) * 2]
+    # Runs of one class and one width; the rows of twice the width follow them, since sizes that may link differ by less.
+    edges = np.append(np.flatnonzero(np.diff(around, prepend=~around[:1]) | np.diff(width, prepend=~width[:1])), len(around)).tolist()
+    for at, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        w, end = int(width[a]), b
+        x = np.frombuffer(b"".join(sketch[a:b]), dtype="<u8").reshape(-1, w)
+        if b < len(around) and around[b] == around[a] and width[b] == 2 * w:
+            end = edges[at + 2]
+            x = np.vstack([x, folded(np.frombuffer(b"".join(sketch[b:end]), dtype="<u8").reshape(-1, 2 * w))])
+        last = np.searchsorted(n[a:end], n[a:b] * WHOLE // PART, side="right").tolist()
+        for r in range(a, b):
+            to = np.arange(r + 1, max(r + 1, a + last[r - a]))
             keep = comp[to] != comp[r]
             if i != j:
                 keep &= piece[to] != piece[r]
-            near, to = near[keep], to[keep]
+            to = to[keep]
             if len(to):
-                to = to[may_link(x[near], x[k], n[to], n[r])]
-                out.append(pd.DataFrame({"a": np.minimum(cid[to], cid[r]), "b": np.maximum(cid[to], cid[r])}))
-    return pd.concat([pd.DataFrame({"a": [], "b": []}).astype("int64"), *out])
+                to = to[may_link(x[to - a], x[r - a], n[to], n[r])]
+                found.append((np.minimum(cid[to], cid[r]), np.maximum(cid[to], cid[r])))
+    low, high = (np.concatenate(x) for x in zip(*found))
+    return pd.DataFrame({"a": low, "b": high}).drop_duplicates()
 
 
 def packed(row: np.ndarray) -> bytes:
@@ -409,10 +409,13 @@ def join(docs: DataFrame) -> DataFrame:
     around = materialize(around.join(comps, "cid", "left").select("a", "cid", F.coalesce("comp", "cid").alias("comp")), "ngram-around")
     doubt = around.groupBy("a").agg(F.count("*").alias("rows"), F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low <> _high")
     doubt = doubt.select("a", F.ceil(F.col("rows") / PIECE_ROWS).cast("int").alias("pieces"))
+    # Small ones share a task's step; a bucket has about as many rows as a piece.
+    buckets = max(8, around.count() // PIECE_ROWS)
     dealt = around.join(doubt, "a").join(sketches, "cid").withColumn("piece", F.pmod(F.xxhash64("cid"), "pieces").cast("int"))
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
-        "a", F.least("piece", "_other").alias("i"), F.greatest("piece", "_other").alias("j"), "cid", "comp", "n", "piece", "sketch")
-    others = dealt.groupBy("a", "i", "j").applyInPandas(_around, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
+        F.pmod(F.xxhash64("a"), F.lit(buckets)).alias("bucket"), F.least("piece", "_other").alias("i"), F.greatest("piece", "_other").alias("j"),
+        F.col("a").alias("at"), "cid", "comp", "n", "piece", "sketch")
+    others = dealt.groupBy("bucket", "i", "j").applyInPandas(_around, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
     more = linked(materialize(others, "ngram-others"))
     comps = materialize(components(links.unionByName(more)), "ngram-components")
 
