@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.operators import forest, series
+from tidemark.operators import anomaly, forest, series
 from tidemark.plans import fixtures as fx
 from tidemark.plans import jobs
 from tidemark.sources import readers, sinks
@@ -99,6 +99,40 @@ def test_sinks(spark, tmp_path, sf):
     assert landed.count() == 6 and landed.columns == ["ticker", "volume", "ingest_date"]
 
 
+def land_minutes(root, n=400, ticker="AAA"):
+    """Five-minute bars of one ticker, 25 a day, dealt over two files against their order; returns (time, close, volume)."""
+    start, rows = dt.datetime(2024, 1, 1, 9), []
+    for i in range(n):
+        when = start + dt.timedelta(days=i // 25, minutes=5 * (i % 25))
+        rows.append((when, 100 + 7 * ((i * 37) % 11) + (40 if i % 50 == 13 else 0), 1000 + 13 * (i * 29 % 17)))
+    for k in (0, 1):
+        lines = [f"{t:%Y-%m-%d %H:%M:%S},{c},{c + 2},{c - 2},{c},{v},{ticker}\n" for t, c, v in reversed(rows[k::2])]
+        put(f"{root}/raw/prices/{k}.csv", "Date,Open,High,Low,Close,Volume,Ticker\n" + "".join(lines))
+    return rows
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 60])
+def test_jobs_use_every_intraday_bar_in_time_order(spark, tmp_path, hot_rows):
+    rows = land_minutes(str(tmp_path))
+    paths = jobs.Paths(str(tmp_path))
+    direct = spark.createDataFrame([("AAA", t, float(c), c + 2.0, c - 2.0, float(c), float(v)) for t, c, v in rows],
+                                   "ticker string, trade_date timestamp, open_price double, high_price double, low_price double, "
+                                   "close_price double, volume double")
+    want = {(r.trade_date, r.anomaly_score, r.anomaly_type) for r in anomaly.detect_anomalies(direct).collect()}
+    got = jobs.run_anomalies(spark, paths, hot_rows=hot_rows)["anomalies"].collect()
+    assert len(got) == len(want) and {(r.anomaly_ts, r.anomaly_score, r.anomaly_type) for r in got} == want
+    assert all(r.anomaly_date == r.anomaly_ts.date() for r in got)
+    moves = {}
+    for (_, a, _), (t, b, _) in zip([(None, None, None), *rows], rows):
+        r = None if a is None else (b - a) / a
+        moves.setdefault(t.date(), []).append(0.0 if r is None else 1.0 if r > 0.01 else -1.0 if r < -0.01 else 0.0)
+    first = min(moves)
+    dim = spark.createDataFrame([("AAA", "Energy")], "ticker string, sector string")
+    out = jobs.run_momentum(spark, paths, dim, "now", hot_rows=hot_rows)["momentum"].filter("window_days = 30").collect()
+    assert len(out) == len(moves) == 16
+    assert [r.avg_sentiment for r in out if r.end_date == first] == [pytest.approx(sum(moves[first]) / len(moves[first]))]
+
+
 def test_register_tables(spark, tmp_path):
     names = readers.register_tables(spark, f"{tmp_path}/warehouse")
     assert spark.table("price_sentiment_joined").columns[:2] == ["ticker", "trade_date"] and len(names) == 8

@@ -45,9 +45,9 @@ def price_sentiment_joined(prices: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
-def blend_sentiment(prices: DataFrame, daily: DataFrame | None) -> DataFrame:
+def blend_sentiment(prices: DataFrame, daily: DataFrame | None, **kw) -> DataFrame:
     """Real sentiment of the day where there is some, else the price proxy."""
-    bars = series.daily_return(prices.select("ticker", "trade_date", "close_price")).withColumn(
+    bars = series.daily_return(prices.select("ticker", "trade_date", "close_price"), **kw).withColumn(
         "price_sentiment", S.price_proxy(F.col("daily_return"))
     )
     if daily is None:

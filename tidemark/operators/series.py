@@ -19,8 +19,8 @@ from tidemark.functions import scalars as S
 KEY, ORDER = "ticker", "trade_date"
 
 
-def series(*parts: str, order: str = ORDER):
-    return Window.partitionBy(*(parts or (KEY,))).orderBy(order)
+def series(*parts: str, order: str = ORDER, tie: tuple[str, ...] = ()):
+    return Window.partitionBy(*(parts or (KEY,))).orderBy(order, *tie)
 
 
 def last_rows(spec, n: int):
@@ -83,16 +83,17 @@ def over_series(
     look_back: int,
     hot_rows: int | None = None,
     grain: str = "hour",
+    tie: tuple[str, ...] = (),
 ) -> DataFrame:
     """Append window columns; one exchange, one sort.
 
     `columns(spec)` returns one list per level; a level may use the columns of
-    the level before it.
+    the level before it. `tie` orders rows of one key that have the same time.
     """
     parts, source = (key,), df
     if hot_rows is not None:
         parts, source = (key, "_piece"), split_hot(df, key, order, look_back, hot_rows, grain)
-    spec = series(*parts, order=order)
+    spec = series(*parts, order=order, tie=tie)
     for level in columns(spec):
         source = source.select("*", *level)
     if hot_rows is not None:

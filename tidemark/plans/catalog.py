@@ -797,6 +797,17 @@ def _landing(spark, d, *names: str) -> jobs.Paths:
         sinks.write_dataset(fx.posts(spark, d).drop("event_ts", "conv_id", "turn"), paths.raw("reddit"), fmt="csv")
     if "sentiment" in names:
         sinks.write_dataset(fx.sentiment(spark, d), paths.processed("sentiment"))
+    if "intraday" in names:
+        bars = fx.intraday(spark, d).select(
+            F.date_format("trade_date", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("Date"), F.col("close_price").alias("Open"),
+            F.col("high_price").alias("High"), F.col("low_price").alias("Low"), F.col("close_price").alias("Close"),
+            F.col("volume").alias("Volume"), F.col("ticker").alias("Ticker"))
+        # The bars of a ticker and day are spread over both folders.
+        first = F.xxhash64("Date") % 2 == 0
+        sinks.write_dataset(bars.filter(first), paths.raw("prices/a"), fmt="csv")
+        sinks.write_dataset(bars.filter(~first).select("Ticker", "Date", "Volume", "Low", "High", "Open", "Close"),
+                            paths.raw("prices/b"), fmt="csv")
+        sinks.write_dataset(fx.intraday_sentiment(spark, d), paths.processed("sentiment"))
     return paths
 
 
@@ -845,7 +856,15 @@ def sentiment_job(spark, d):
 @query
 def anomaly_job(spark, d):
     paths = _landing(spark, d, "prices", "sentiment")
-    return publish(jobs.run_anomalies(spark, paths, folder="prices/*")["anomalies"].drop("year"))
+    return publish(jobs.run_anomalies(spark, paths, folder="prices/*")["anomalies"], *anomaly.OUTPUT)
+
+
+@query
+def anomaly_job_intraday(spark, d):
+    """Several bars per ticker and day, of which every one counts."""
+    paths = _landing(spark, d, "intraday")
+    out = jobs.run_anomalies(spark, paths, folder="prices/*", hot_rows=5_000)
+    return publish(out["anomalies"], *ANOMALY_COLUMNS, "sentiment_avg", "anomaly_ts")
 
 
 @query
@@ -855,6 +874,13 @@ def momentum_job(spark, d):
     return publish(out["momentum"], *MOMENTUM_COLUMNS)
 
 
+@query
+def momentum_job_intraday(spark, d):
+    paths = _landing(spark, d, "intraday")
+    out = jobs.run_momentum(spark, paths, fx.intraday_dim(spark, d), "2024-01-01T00:00:00", folder="prices/*", hot_rows=5_000)
+    return publish(out["momentum"], *MOMENTUM_COLUMNS)
+
+
 # --- streaming: files that land are processed once, up to the last one available --------------------
 
 def _folders(spark):

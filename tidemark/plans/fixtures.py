@@ -142,6 +142,21 @@ def keywords(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(FX_KEYWORDS, "ticker string, keyword string")
 
 
+def intraday_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticker and sector of the users; every 17th is unknown."""
+    user = F.col("user_id")
+    return table(spark, sf_dir, "events").filter(user % 17 != 0).select(
+        F.concat(F.lit("U"), user).alias("ticker"), F.concat(F.lit("G"), user % 4).alias("sector")).distinct()
+
+
+def intraday_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth event as a text about its user."""
+    key = F.col("event_id")
+    return table(spark, sf_dir, "events").filter(key % 10 == 0).select(
+        F.concat(F.lit("U"), "user_id").alias("ticker"), F.to_date("ts").alias("event_date"),
+        ((key * 37 % 201 - 100) / F.lit(100.0)).alias("sentiment_score"))
+
+
 def intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as an intraday series: user as ticker, value as price and size."""
     value = F.col("value")

@@ -40,9 +40,17 @@ def clean_prices(prices: DataFrame) -> DataFrame:
     return clean.dedupe_prices(prices.filter(F.col("trade_date").isNotNull()))
 
 
+# Rows of one series that a task sorts at most; longer ones are cut into pieces.
+HOT_ROWS = 1_000_000
+# What orders bars that landed with the same time, as from two fetches.
+TIE = ("close_price", "volume", "high_price", "low_price")
+
+
 def _bars(spark: SparkSession, paths: Paths, folder: str) -> DataFrame:
-    """Bars as landed, several a day where they are intraday; only the ETL keeps one per day."""
-    return _prices(spark, paths, folder).filter(F.col("trade_date").isNotNull())
+    """Bars as landed with their time as `trade_date`, several a day where they are
+    intraday; only the ETL keeps one per day."""
+    bars = _prices(spark, paths, folder).filter(F.col("trade_date").isNotNull())
+    return bars.withColumn("trade_date", F.col("ts")).drop("ts")
 
 
 def clean_news(news: DataFrame) -> DataFrame:
@@ -90,15 +98,19 @@ def _stored_sentiment(spark: SparkSession, paths: Paths) -> DataFrame | None:
 
 
 def run_anomalies(spark: SparkSession, paths: Paths, strict: bool = False, trees: int = 100,
-                  folder: str = "prices") -> dict[str, DataFrame]:
-    """Weighted score, or with `strict` the isolation forest with divergence types."""
+                  folder: str = "prices", hot_rows: int = HOT_ROWS) -> dict[str, DataFrame]:
+    """Weighted score, or with `strict` the isolation forest with divergence types.
+
+    Every bar counts; `anomaly_date` is its day, `anomaly_ts` its time.
+    """
     prices, scores = _bars(spark, paths, folder), _stored_sentiment(spark, paths)
     if strict:
         found = forest.detect_isoforest(prices, trees)
         out = anomaly.divergences(found, scores) if scores is not None else anomaly.correlate_sentiment(found, None)
     else:
-        out = anomaly.correlate_sentiment(anomaly.detect_anomalies(prices), scores)
-    by_year = out.select(*anomaly.OUTPUT).withColumn("year", F.year("anomaly_date"))
+        out = anomaly.correlate_sentiment(anomaly.detect_anomalies(prices, hot_rows=hot_rows, tie=TIE), scores)
+    timed = out.select(*anomaly.OUTPUT, F.col("anomaly_date").alias("anomaly_ts"))
+    by_year = timed.withColumn("anomaly_date", F.to_date("anomaly_date")).withColumn("year", F.year("anomaly_date"))
     sinks.write_dataset(by_year, paths.processed("anomalies"), partition_by=["year"])
     stored = spark.read.parquet(paths.processed("anomalies"))
     return {
@@ -108,11 +120,12 @@ def run_anomalies(spark: SparkSession, paths: Paths, strict: bool = False, trees
 
 
 def run_momentum(spark: SparkSession, paths: Paths, dim: DataFrame, computed_at: str,
-                 strict: bool = False, folder: str = "prices") -> dict[str, DataFrame]:
+                 strict: bool = False, folder: str = "prices", hot_rows: int = HOT_ROWS) -> dict[str, DataFrame]:
     prices = _bars(spark, paths, folder).dropna(subset=["trade_date", "close_price", "ticker"])
     scores = _stored_sentiment(spark, paths)
     daily = aggregates.daily_sentiment(scores) if scores is not None else None
-    blended = align.with_sector(align.blend_sentiment(prices, daily), dim)
+    bars = align.blend_sentiment(prices, daily, hot_rows=hot_rows, tie=TIE[:1])
+    blended = align.with_sector(bars.withColumn("trade_date", F.to_date("trade_date")), dim)
     out = momentum.all_momentum(aggregates.daily_sector(blended, strict), strict=strict)
     sinks.write_if_nonempty(clean.with_run_columns(out, computed_at, "computed_at"), paths.processed("momentum"),
                             partition_by=["window_days"])

@@ -170,6 +170,22 @@ CTES = {
         0.0::DOUBLE AS sentiment_avg, coalesce(daily_return, 0) AS ret, volume_ratio FROM fx_z WHERE volume_ratio > 2 OR abs(z) > 2""",
     "fx_intraday": """SELECT 'U' || user_id AS ticker, ts AS trade_date, value + 1 AS close_price, value + 2 AS high_price, value AS low_price,
       value * 10 AS volume FROM events""",
+    "fx_iday_daily": """SELECT 'U' || user_id AS ticker, CAST(ts AS DATE) AS event_day, avg((event_id * 37 % 201 - 100) / 100.0) AS daily_sentiment
+      FROM events WHERE event_id % 10 = 0 GROUP BY ALL""",
+    "fx_iday_dim": "SELECT DISTINCT 'U' || user_id AS ticker, 'G' || user_id % 4 AS sector FROM events WHERE user_id % 17 <> 0",
+    "fx_iday_all": _feature_sql("fx_intraday"),
+    "fx_iday_stored": f"""SELECT ticker, CAST(trade_date AS DATE) AS anomaly_date, trade_date AS anomaly_ts, close_price, volume, anomaly_score, anomaly_type, sentiment_avg
+      FROM (SELECT a.*, d.daily_sentiment AS sentiment_avg FROM (
+          SELECT *, round(0.6 * abs(daily_return) / CASE WHEN volatility_7d > 0.0001 THEN volatility_7d ELSE 0.01 END
+            + 0.4 * coalesce(volume_ratio, 1.0), 3) AS anomaly_score, {_type()} AS anomaly_type FROM fx_iday_all WHERE {_FULL}) a
+        LEFT JOIN fx_iday_daily d ON a.ticker = d.ticker AND CAST(a.trade_date AS DATE) = d.event_day)
+      WHERE anomaly_score > 2.5 OR abs(daily_return) > 0.035 OR volume_ratio > 2.5""",
+    "fx_iday_sector": """SELECT sector, CAST(trade_date AS DATE) AS date, avg(coalesce(daily_sentiment, proxy)) AS sector_avg_sentiment,
+        count(*) AS sector_article_count, count(DISTINCT ticker) AS ticker_count
+      FROM (SELECT r.*, coalesce(s.sector, 'Other') AS sector, d.daily_sentiment,
+          CASE WHEN daily_return > 0.01 THEN 1.0 WHEN daily_return < -0.01 THEN -1.0 ELSE 0.0 END::DOUBLE AS proxy FROM fx_iday_all r
+        LEFT JOIN fx_iday_daily d ON r.ticker = d.ticker AND CAST(r.trade_date AS DATE) = d.event_day
+        LEFT JOIN fx_iday_dim s ON r.ticker = s.ticker) GROUP BY ALL""",
     "fx_words": f"""SELECT doc_id, list_filter(string_split_regex(lower(text), '\\W+'), lambda x: x <> '') AS w FROM documents""",
     "fx_kept": f"""SELECT doc_id, w, list_filter(w, lambda x: x NOT IN ({_quoted(STOP_WORDS)})) AS kept FROM fx_words""",
     "fx_terms": "SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(kept) AS term FROM fx_kept) GROUP BY ALL",
@@ -405,6 +421,8 @@ def oracle() -> dict[str, str]:
         p.close_price, p.volume, p.high_price, p.low_price FROM {join.format('')}""", "close_price volume high_price low_price", "event_date")
     q["anomaly_job"] = q["correlate_sentiment"]
     q["momentum_job"] = q["all_momentum"]
+    q["anomaly_job_intraday"] = _sql(f"SELECT {_ANOM}, sentiment_avg, anomaly_ts FROM fx_iday_stored", f"{_ANOM_D} sentiment_avg", _ANOM_T, "anomaly_ts")
+    q["momentum_job_intraday"] = _mom(" UNION ALL ".join(_momentum("fx_iday_sector", n, False) for n in (30, 60, 90)))
 
     q["rename"] = _sql("SELECT s_suppkey AS ticker_id, s_name, s_nationkey::BIGINT AS s_nationkey, s_acctbal AS close_price FROM supplier", "close_price")
     q["normalize_prices"] = _sql(f"""SELECT ticker, CAST(trade_date AS TIMESTAMP) AS trade_date, open_price, close_price,

@@ -10,7 +10,7 @@ REDDIT = ("subreddit string, post_id string, title string, selftext string, scor
 SENTIMENT = ("source_type string, source_id string, ticker string, sentiment_score double, sentiment_label string, "
              "confidence double, event_date date, processed_at string")
 ANOMALIES = ("ticker string, anomaly_date date, close_price double, volume double, anomaly_score double, "
-             "anomaly_type string, sentiment_avg double, description string")
+             "anomaly_type string, sentiment_avg double, description string, anomaly_ts timestamp")
 MOMENTUM = ("sector string, window_days int, momentum_score double, avg_sentiment double, ticker_count int, "
             "start_date date, end_date date, computed_at string")
 TABLES = {
