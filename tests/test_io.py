@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,6 +227,22 @@ def test_forest_finds_planted_outliers_in_pieces(spark):
     assert abs(flagged - 300) <= 61
 
 
+def test_forest_does_not_depend_on_pieces_or_pool(spark):
+    """Trees draw from the whole series: however it is cut, scores stay; each tree has the smallest hashes of all rows."""
+    df = spark.range(3000).select(
+        F.lit("HOT").alias("ticker"), F.timestamp_seconds(F.col("id") * 60).alias("trade_date"),
+        F.lit(1.0).alias("close_price"), F.lit(1.0).alias("volume"), *[normal(2, c, "id").alias(c) for c in series.FEATURES])
+    def scores(**kw):
+        return {r.trade_date: r.raw_score for r in forest.forest_scores(df.repartition(3), trees=5, **kw).collect()}
+    whole = scores()
+    assert len(whole) == 3000 and whole == scores(piece=700) == scores(pool_rows=600, piece=1000)
+    hashes = np.random.default_rng(1).integers(-2**63, 2**63, 3000)
+    pool = forest._in_pool(hashes, np.full(3000, 3000), 5, 42)
+    all_rows = hashes.astype(float)[:, None]
+    drawn, every = forest._samples(all_rows[pool], hashes[pool], 5, 42), forest._samples(all_rows, hashes, 5, 42)
+    assert pool.sum() < 3000 and drawn.shape == (5, 256, 1) and (np.sort(drawn, 1) == np.sort(every, 1)).all()
+
+
 def test_intraday_anomalies_meet_the_sentiment_of_their_day(spark):
     from tidemark.operators import align
 

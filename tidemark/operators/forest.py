@@ -1,18 +1,19 @@
-"""Isolation forest per ticker.
-
-Daily bars form one group per ticker, bounded by the calendar. Intraday series
-have no such bound. But every tree sees at most 256 rows, so a forest can be
-grown from a bounded pool of rows, the ones with the smallest hashes; a series
-up to the pool size is its own pool. A longer one is scored in pieces: each
-piece gets a copy of the pool, grows the same forest from it and scores its
-own rows only. A task never holds more than one pool and one piece.
+"""Isolation forest per ticker, for series of any length.
+
+Every tree is grown from the 256 rows of the whole series that have the
+smallest hashes of (seed, tree, row); means and deviations are of all rows. So
+the forest of a series does not depend on how its rows are dealt out. Rows that
+may be among the 256 of some tree are the pool of their series, of bounded
+size. Rows are scored in pieces: each piece gets a copy of the pool, grows the
+same forest from it and scores its own rows only. A task never holds more than
+one pool and one piece.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
@@ -27,6 +28,9 @@ EULER = 0.5772156649
 # Fixed values end.
 
 PIECE = 200_000
+# Rows of a series that a tree's hashes are expected to let into the pool; that fewer than SAMPLE come has odds below 1e-11.
+DRAWN = 400
+GOLDEN = 0x9E3779B97F4A7C15
 BLOCK = 5_000
 DIGITS = 6
 
@@ -40,16 +44,42 @@ def _path_norm(n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _walk(pool: np.ndarray, rows: np.ndarray, trees: int, rng: np.random.Generator) -> np.ndarray:
-    """Mean path length of `rows` over random trees grown from `pool`.
+def _tree_hash(row_hash: np.ndarray, seed: int, tree: int) -> np.ndarray:
+    """Hash of (seed, tree, row) from the hash of the row."""
+    x = row_hash.astype(np.int64).view(np.uint64) + np.uint64((seed * 1_000_003 + tree + 1) * GOLDEN % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _in_pool(row_hash: np.ndarray, n: np.ndarray, trees: int, seed: int) -> np.ndarray:
+    """Whether some tree of a series of n rows may draw the row."""
+    share = np.minimum(DRAWN / n, 1.0)
+    limit = np.where(share < 1.0, share * 2.0 ** 64, 0.0).astype(np.uint64)
+    found = share == 1.0
+    for tree in range(trees):
+        found |= _tree_hash(row_hash, seed, tree) < limit
+    return found
+
+
+def _samples(pool: np.ndarray, row_hash: np.ndarray, trees: int, seed: int) -> np.ndarray:
+    """The rows each tree is grown from, (tree, row, column)."""
+    size, out = min(SAMPLE, len(pool)), []
+    for tree in range(trees):
+        own = _tree_hash(row_hash, seed, tree)
+        out.append(pool[np.argpartition(own, size - 1)[:size]])
+    return np.stack(out)
+
+
+def _walk(sample: np.ndarray, rows: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Mean path length of `rows` over random trees grown from their samples.
 
     All trees grow one level at a time. A node is split at a random value
     between the extremes of a random column over its sample rows, and the
     rows to score walk down along with the sample.
     """
-    size = min(SAMPLE, len(pool))
+    trees, size = sample.shape[:2]
     depth_cap = int(np.ceil(np.log2(max(size, 2))))
-    sample = np.stack([pool[rng.choice(len(pool), size, replace=False)] for _ in range(trees)])
     in_node = np.zeros((trees, size), dtype=np.int64)
     at_node = np.zeros((trees, len(rows)), dtype=np.int64)
     length = np.zeros((trees, len(rows)))
@@ -59,12 +89,12 @@ def _walk(pool: np.ndarray, rows: np.ndarray, trees: int, rng: np.random.Generat
         nodes = 2 ** level
         flat = (tree_of * nodes + in_node)[in_node >= 0]
         count = np.bincount(flat, minlength=trees * nodes).reshape(trees, nodes)
-        column = rng.integers(0, pool.shape[1], (trees, nodes))
+        column = rng.integers(0, sample.shape[2], (trees, nodes))
         value = np.take_along_axis(sample, column[tree_of, np.maximum(in_node, 0)][..., None], 2)[..., 0]
         low = np.full(trees * nodes, np.inf)
         high = np.full(trees * nodes, -np.inf)
-        np.minimum.at(low, flat, value[in_node >= 0])
-        np.maximum.at(high, flat, value[in_node >= 0])
+        np.fmin.at(low, flat, value[in_node >= 0])
+        np.fmax.at(high, flat, value[in_node >= 0])
         low, high = low.reshape(trees, nodes), high.reshape(trees, nodes)
         leaf = (count <= 1) | ~(high > low) | (level == depth_cap)
         done = open_rows & leaf[tree_of, at_node]
@@ -82,17 +112,14 @@ def _walk(pool: np.ndarray, rows: np.ndarray, trees: int, rng: np.random.Generat
     return length.mean(axis=0)
 
 
-def _scores(pool: np.ndarray, rows: np.ndarray, trees: int, seed: int, ticker_seed: int) -> np.ndarray:
+def _scores(sample: np.ndarray, rows: np.ndarray, seed: int, ticker_seed: int) -> np.ndarray:
     """Anomaly score in (0, 1) of each row, near 1 where it is easy to isolate."""
-    mean, std = pool.mean(axis=0), pool.std(axis=0)
-    std[std == 0] = 1.0
-    pool, rows = (pool - mean) / std, (rows - mean) / std
     path = np.empty(len(rows))
     # Blocks bound the tree x row work arrays; an equal generator gives every block the same trees.
     for start in range(0, len(rows), BLOCK):
         rng = np.random.default_rng([seed, ticker_seed])
-        path[start:start + BLOCK] = _walk(pool, rows[start:start + BLOCK], trees, rng)
-    norm = max(float(_path_norm(np.array([min(SAMPLE, len(pool))]))[0]), 1e-9)
+        path[start:start + BLOCK] = _walk(sample, rows[start:start + BLOCK], rng)
+    norm = max(float(_path_norm(np.array([sample.shape[1]]))[0]), 1e-9)
     return np.round(2.0 ** (-path / norm), DIGITS)
 
 
@@ -101,7 +128,7 @@ CARRIED = ["ticker", "trade_date", "close_price", "volume", *FEATURES]
 
 def _keyed(featured: DataFrame, seed: int) -> DataFrame:
     return featured.select(*CARRIED).withColumns({
-        "_hash": F.xxhash64("ticker", "trade_date", F.lit(seed)),
+        "_hash": F.xxhash64("ticker", "trade_date", *FEATURES, F.lit(seed)),
         "_seed": F.abs(F.xxhash64("ticker") % 1_000_003),
     })
 
@@ -124,67 +151,64 @@ def _typed(df: DataFrame) -> DataFrame:
 
 
 def detect_isoforest(prices: DataFrame, trees: int = 100, contamination: float = CONTAMINATION, seed: int = SEED,
-                     history: int = 30) -> DataFrame:
-    """The most isolated share of the daily bars of every ticker.
-
-    One group per ticker: daily bars are bounded by the calendar.
-    """
-    featured = strict_features(prices, history)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_hash", kind="stable")
-        x = pdf[FEATURES].to_numpy(float)
-        score = _scores(x, x, trees, seed, int(pdf["_seed"].iloc[0]))
-        limit = np.percentile(score, 100 * (1 - contamination))
-        return pdf[CARRIED].assign(anomaly_score=score - limit)[score > limit]
-
-    groups = _spread(_keyed(featured, seed), "ticker").groupBy("ticker")
-    return _typed(groups.applyInPandas(run, _output(featured, "anomaly_score double")))
+                     history: int = 30, **kw) -> DataFrame:
+    """The most isolated share of the bars of every ticker; `kw` goes to the windows."""
+    return detect_isoforest_long(strict_features(prices, history, **kw), trees, contamination, seed)
 
 
 def forest_scores(featured: DataFrame, trees: int = 100, seed: int = SEED, pool_rows: int | None = None,
                   piece: int = PIECE) -> DataFrame:
-    """Featured rows with their `raw_score`, for series of any length."""
-    pool_rows = pool_rows or trees * SAMPLE
+    """Featured rows with their `raw_score`, for series of any length.
+
+    `pool_rows` is accepted for older callers and changes nothing: every tree
+    draws from the whole series.
+    """
     rows = _keyed(featured, seed)
-    counts = rows.groupBy("ticker").agg(F.count("*").alias("_n"))
-    short = F.col("_n") <= pool_rows
-    sized = rows.join(counts, "ticker").withColumn(
-        "_pieces", F.when(short, 1).otherwise(F.ceil(F.col("_n") / piece)).cast("int"))
-    own = sized.withColumns({
-        "_own": F.lit(True), "_pool": short,
-        "_piece": F.pmod(F.xxhash64("trade_date", F.lit(seed + 1)), F.col("_pieces")),
+    stats = rows.groupBy("ticker").agg(F.count("*").alias("_n"), *[
+        agg(c).alias(f"_{tag}_{c}") for c in FEATURES for tag, agg in (("m", F.avg), ("s", F.stddev_pop))])
+
+    @F.pandas_udf("boolean")
+    def in_pool(row_hash: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series(_in_pool(row_hash.to_numpy(), n.to_numpy(), trees, seed))
+
+    sized = rows.join(stats, "ticker").withColumn("_pieces", F.ceil(F.col("_n") / piece).cast("int"))
+    # With one piece a row is itself in the pool; else the pool is copied to every piece.
+    marked = sized.withColumns({
+        "_own": F.lit(True), "_pool": (F.col("_pieces") == 1),
+        "_piece": F.pmod(F.xxhash64("trade_date", F.lit(seed + 1)), F.col("_pieces")).cast("int"),
     })
-    # Pools of long series: thinned by hash to about twice the pool first, so that ranking stays small.
-    unit = F.pmod(F.col("_hash"), F.lit(1_000_003)) / 1_000_003.0
-    best = Window.partitionBy("ticker").orderBy(unit, "_hash", "trade_date")
     pool = (
-        sized.filter(~short & (unit < F.lit(2.0 * pool_rows) / F.col("_n")))
-        .withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= pool_rows).drop("_rank")
+        sized.filter(F.col("_pieces") > 1).filter(in_pool("_hash", "_n"))
         .withColumns({"_own": F.lit(False), "_pool": F.lit(True)})
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces").cast("bigint") - 1)))
+        .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
     )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pool = pdf[pdf["_pool"]].sort_values("_hash", kind="stable")
-        mine = pdf[pdf["_own"]]
-        score = _scores(pool[FEATURES].to_numpy(float), mine[FEATURES].to_numpy(float), trees, seed,
-                        int(pdf["_seed"].iloc[0]))
-        return mine[CARRIED].assign(raw_score=score)
-
-    groups = _spread(own.unionByName(pool), "ticker", "_piece").groupBy("ticker", "_piece")
+        x = np.empty((len(pdf), len(FEATURES)))
+        for k, c in enumerate(FEATURES):
+            std = pdf[f"_s_{c}"].iloc[0]
+            x[:, k] = (pdf[c].to_numpy(float) - pdf[f"_m_{c}"].iloc[0]) / (std if std else 1.0)
+        in_pool, own = pdf["_pool"].to_numpy(bool), pdf["_own"].to_numpy(bool)
+        mine = pdf.loc[own, CARRIED]
+        if mine.empty:
+            return mine.assign(raw_score=pd.Series(dtype=float))
+        sample = _samples(x[in_pool], pdf["_hash"].to_numpy()[in_pool], trees, seed)
+        return mine.assign(raw_score=_scores(sample, x[own], seed, int(pdf["_seed"].iloc[0])))
+
+    groups = _spread(marked.unionByName(pool), "ticker", "_piece").groupBy("ticker", "_piece")
     return groups.applyInPandas(run, _output(featured, "raw_score double"))
 
 
 def detect_isoforest_long(featured: DataFrame, trees: int = 100, contamination: float = CONTAMINATION,
                           seed: int = SEED, **kw) -> DataFrame:
-    """As detect_isoforest, for featured intraday series of any length.
+    """The most isolated share of featured rows, for series of any length.
 
-    Scores are computed once and kept in the shared folder, as they are read
-    twice. The threshold is the exact percentile per ticker: scores have six
+    Features and scores are computed once and kept in the shared folder, as
+    they are read twice. The threshold is the exact percentile per ticker: scores have six
     decimals, so it keeps at most a million distinct values however long the
     series is, and combines map-side.
     """
+    featured = materialize(featured, "features")
     scores = materialize(forest_scores(featured, trees, seed, **kw), "forest")
     limits = scores.groupBy("ticker").agg(F.percentile("raw_score", F.lit(1.0 - contamination)).alias("_limit"))
     flagged = scores.join(limits, "ticker").filter(F.col("raw_score") > F.col("_limit"))
