@@ -243,6 +243,18 @@ def test_forest_does_not_depend_on_pieces_or_pool(spark):
     assert pool.sum() < 3000 and drawn.shape == (5, 256, 1) and (np.sort(drawn, 1) == np.sort(every, 1)).all()
 
 
+def test_strict_job_over_pieces_equals_the_whole_series(spark, tmp_path, monkeypatch):
+    land_minutes(str(tmp_path))
+    paths = jobs.Paths(str(tmp_path))
+    def found(**kw):
+        return sorted((r.anomaly_ts, r.anomaly_score) for r in jobs.run_anomalies(spark, paths, strict=True, trees=10, **kw)["anomalies"].collect())
+    whole = found()
+    seen = []
+    split = series.split_hot
+    monkeypatch.setattr(series, "split_hot", lambda *a: seen.append(a[4]) or split(*a))
+    assert 0 < len(whole) <= 22 and found(hot_rows=60) == whole and seen == [60]
+
+
 def test_intraday_anomalies_meet_the_sentiment_of_their_day(spark):
     from tidemark.operators import align
 

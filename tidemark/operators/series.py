@@ -195,17 +195,12 @@ def min_history(df: DataFrame, rows: int = 30, key: str = KEY) -> DataFrame:
     return df.join(enough, key, "left_semi")
 
 
-def strict_features(df: DataFrame, rows: int = 30) -> DataFrame:
-    """Features with full windows only, for keys with enough history.
-
-    `df` is a daily series, so counting inside the same window partition is
-    bounded and needs no second exchange.
-    """
+def strict_features(df: DataFrame, rows: int = 30, **kw) -> DataFrame:
+    """Features with full windows only, for keys with enough history. Rows are
+    counted per key with partial aggregates, never in a window over a series."""
     def cols(spec):
         first, ratio = _return_cols(spec)
-        every = Window.partitionBy(KEY)
         return [
-            [F.count("*").over(every).alias("_rows")],
             first + [
                 when_enough(F.avg("volume"), "volume", spec, 20, 20).alias("avg_volume_20d"),
                 when_enough(F.avg("close_price"), "close_price", spec, 7, 7).alias("sma_7"),
@@ -218,11 +213,8 @@ def strict_features(df: DataFrame, rows: int = 30) -> DataFrame:
             ],
             [when_enough(F.stddev_samp("daily_return"), "daily_return", spec, 7, 7).alias("volatility_7d")],
         ]
-    out = over_series(df, cols, look_back=21).filter(F.col("_rows") >= rows).dropna(subset=NEEDED)
-    return (
-        out.withColumn("_rows", F.count("*").over(Window.partitionBy(KEY)))
-        .filter(F.col("_rows") >= rows).drop("_rows")
-    )
+    out = over_series(min_history(df, rows), cols, look_back=21, **kw).dropna(subset=NEEDED)
+    return min_history(out, rows)
 
 
 def zscore_features(df: DataFrame, n: int = 20, min_periods: int = 5, **kw) -> DataFrame:

@@ -874,6 +874,13 @@ def momentum_job(spark, d):
     return publish(out["momentum"], *MOMENTUM_COLUMNS)
 
 
+@query
+def strict_anomaly_job_intraday(spark, d):
+    """Isolation forest over landed intraday bars, in pieces."""
+    out = jobs.run_anomalies(spark, _landing(spark, d, "intraday"), True, 50, "prices/*", 5_000)
+    return publish(out["anomalies"], *ANOMALY_COLUMNS, "sentiment_avg", "anomaly_ts")
+
+
 @query
 def momentum_job_intraday(spark, d):
     paths = _landing(spark, d, "intraday")

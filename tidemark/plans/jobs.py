@@ -105,7 +105,7 @@ def run_anomalies(spark: SparkSession, paths: Paths, strict: bool = False, trees
     """
     prices, scores = _bars(spark, paths, folder), _stored_sentiment(spark, paths)
     if strict:
-        found = forest.detect_isoforest(prices, trees)
+        found = forest.detect_isoforest(prices, trees, hot_rows=hot_rows, tie=TIE)
         out = anomaly.divergences(found, scores) if scores is not None else anomaly.correlate_sentiment(found, None)
     else:
         out = anomaly.correlate_sentiment(anomaly.detect_anomalies(prices, hot_rows=hot_rows, tie=TIE), scores)
