@@ -179,6 +179,17 @@ def test_restart_adds_no_duplicates(spark, tmp_path):
     assert ingest.stream_ingest(ingest.read_landing(spark, root, LAYOUT), out, ckpt).count() == 3
 
 
+def test_posts_that_come_late_are_landed_once(spark, tmp_path):
+    """Batches of Feb 1, Feb 2, then Jan 20 and repeats of both: no post is lost, none lands twice."""
+    root, out, ckpt = f"{tmp_path}/land", f"{tmp_path}/out", f"{tmp_path}/ckpt"
+    head = "post_id,event_ts,text\n"
+    for k, rows in enumerate(["p1,2024-02-01T00:00:00,a\n", "p2,2024-02-02T00:00:00,b\n", "p4,2024-02-09T00:00:00,d\n",
+                              "p3,2024-01-20T00:00:00,c\np1,2024-02-01T00:00:00,a\np2,2024-02-02T00:00:00,b\n"]):
+        put(f"{root}/{k}.csv", head + rows)
+        got = ingest.stream_ingest(ingest.read_landing(spark, root, LAYOUT), out, ckpt)
+    assert sorted(r.post_id for r in got.collect()) == ["p1", "p2", "p3", "p4"]
+
+
 def test_late_rows_do_not_change_a_final_day(spark, tmp_path):
     root, out, ckpt = f"{tmp_path}/land", f"{tmp_path}/out", f"{tmp_path}/ckpt"
     head = "ticker,event_ts,sentiment_score\n"

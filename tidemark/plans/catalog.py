@@ -895,9 +895,8 @@ def _folders(spark):
     return f"{root}/out", f"{root}/checkpoint"
 
 
-def _posts_stream(spark, d):
-    layout = fx.table(spark, d, "conversations").schema
-    landed = stream.read_landing(spark, d, layout, "parquet", "conversations.parquet")
+def _posts_stream(spark, path, layout):
+    landed = stream.read_landing(spark, path, layout, "parquet")
     # Every post is fetched twice, as by two sort modes of the same forum.
     fetched = landed.withColumn("fetch", F.explode(F.array(F.lit("hot"), F.lit("new"))))
     return fetched.select(
@@ -908,7 +907,15 @@ def _posts_stream(spark, d):
 
 @query
 def stream_ingest(spark, d):
-    return publish(stream.stream_ingest(_posts_stream(spark, d), *_folders(spark)), "post_id", "subreddit", "event_ts")
+    """Three batches: the newest posts first, then the oldest, then the others; a tenth of each comes again in the next one."""
+    posts, (out, checkpoint) = fx.table(spark, d, "conversations"), _folders(spark)
+    landing = f"{shared_folder(spark)}/landing-{uuid.uuid4().hex}"
+    third, again = F.floor(F.col("conv_id") * 37 % 2499 / 833), F.col("conv_id") % 10 == 0
+    for k, (now, last) in enumerate([(2, None), (0, 2), (1, 0)]):
+        come = (third == now) if last is None else (third == now) | ((third == last) & again)
+        sinks.write_dataset(posts.filter(come), f"{landing}/{k}")
+        landed = stream.stream_ingest(_posts_stream(spark, f"{landing}/*", posts.schema), out, checkpoint)
+    return publish(landed, "post_id", "subreddit", "event_ts")
 
 
 @query

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LATE = "1 day"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_landing(spark: SparkSession, path: str, layout, fmt: str = "csv", glob: str | None = None,
@@ -27,14 +28,26 @@ def run_available(df: DataFrame, out: str, checkpoint: str, mode: str = "append"
     query.awaitTermination()
 
 
-def unique_posts(stream: DataFrame, key: str = "post_id", ts: str = "event_ts", late: str = LATE) -> DataFrame:
-    """Drop repeats of an id that arrive within the watermark; state is one key per live id."""
-    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
+def unique_posts(stream: DataFrame, key: str = "post_id") -> DataFrame:
+    """Drop repeats of an id, however much later they come. There is no watermark:
+    a post may be fetched first long after it was written. State is one key per
+    id ever seen, dealt over the shuffle partitions."""
+    return stream.dropDuplicates([key])
 
 
-def stream_ingest(stream: DataFrame, out: str, checkpoint: str, late: str = LATE) -> DataFrame:
-    """Land unique posts; a restart continues after the last committed batch."""
-    run_available(unique_posts(stream, late=late), out, checkpoint)
+def stream_ingest(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Land unique posts; a restart continues after the last committed batch.
+
+    The ids seen are kept in RocksDB, so executors hold them on disk and not in
+    memory. Checkpoints of the former form with a watermark cannot be continued.
+    """
+    conf, provider = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(provider, None)
+    conf.set(provider, ROCKSDB)
+    try:
+        run_available(unique_posts(stream), out, checkpoint)
+    finally:
+        conf.set(provider, before) if before else conf.unset(provider)
     return stream.sparkSession.read.parquet(out)
 
 
