@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 
-from tidemark.llm.ngrams import _around, similar, sketch_of
+from tidemark.llm.ngrams import _around, join, similar, sketch_of
 
 
 def pairs(frame):
@@ -27,3 +27,33 @@ def test_sketches_lose_no_link():
     two = frame.assign(piece=frame["cid"] % 2)
     parts = [two[two["piece"] == 0].assign(i=0, j=0), two[two["piece"] == 1].assign(i=1, j=1), two.assign(i=0, j=1)]
     assert set().union(*map(pairs, parts)) == pairs(frame)
+
+
+def test_long_columns_in_pieces_give_the_same_components(spark):
+    """A hot group of distinct near copies: no task holds a whole column, and no link is lost."""
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*base[:k % 5], *base[5:], f"x{k}", f"y{k % 7}"]) for k in range(90)] + [f"own {k} words of no group {k}" for k in range(20)]
+    texts += [" ".join(f"v{i}" for i in range(40)) + f" z{k}" for k in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    whole = sorted(map(tuple, join(docs).collect()))
+    assert len({c for _, _, c in whole}) < 30 and sorted(map(tuple, join(docs, long_rows=8).collect())) == whole
+
+
+def test_a_piece_has_the_smallest_class_of_the_whole_column():
+    from tidemark.llm import ngrams
+
+    key = np.arange(1, 6, dtype=np.uint64)
+    level = np.zeros(ngrams.SKETCH, dtype=np.uint8)
+    level[1:6] = 6  # 64 to 127 rows
+    rows = [(cid, key) for cid in range(100, 200)]
+    batches = list(ngrams._postings(iter(rows), level, 3, 16))
+    least = list(ngrams._smallest(iter(rows), level, 16))
+    batches += list(ngrams._to_pieces(iter(least), level, 3, 16))
+    frame = pd.concat([b.to_pandas() for b in batches])
+    stars, largest = set(), 0
+    for _, group in frame.groupby(["block", "piece"]):
+        found = ngrams._pairs(group)
+        assert (found["open"] == 1).all()
+        stars |= set(found[["a", "b"]].itertuples(index=False, name=None))
+        largest = max(largest, sum(len(x) for x in group["cid"]) // 8)
+    assert stars == {(100, b) for b in range(101, 200)} and largest < 100

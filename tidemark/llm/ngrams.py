@@ -14,6 +14,9 @@ with each other. So every link that matters for the components is found, without
 Before whole rows are brought together, sketches are: the parity of a row's hashes in each of about 4n buckets. Two rows
 differ in at least as many columns as their sketches differ in bits, which bounds the overlap from above.
 
+A column that the frequency sketch calls long is split into pieces by class, and each piece is given the column's smallest class,
+which a pass of its own finds; so no task holds a whole long column.
+
 Components come from alternating star contractions, each round written to the shared folder.
 
 Defined cases: a null text, or one without a word, has an empty row and is its own component; fewer than n words form one
@@ -43,6 +46,8 @@ HASH_BYTES, COUNTED, BLOCK_ROWS, SKETCH, MARKS = 1 << 20, 1 << 21, 500_000, 1 <<
 OFTEN = 3
 #: Rows of a column up to which the first product looks whether others than its smallest class may link.
 ASSUMED_OPEN = 512
+#: Rows from which a column is split into pieces, by the sketch of frequent buckets.
+LONG_ROWS = 1 << 17
 #: Least and most bits of a row's sketch; rows of a piece of those around one class.
 LEAST_BITS, MOST_BITS, PIECE_ROWS = 256, 1 << 17, 4_096
 
@@ -159,29 +164,47 @@ def _hash_pass(docs: DataFrame) -> DataFrame:
     return data.mapInArrow(run, f"doc_id {kind.simpleString()}, n long, cid long, kind int")
 
 
-def _postings(rows: Iterator[tuple[int, np.ndarray]], level: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
-    """First parts of rows (class, row), dealt by column into blocks."""
+def _pieces(key: np.ndarray, level: np.ndarray, long_rows: int) -> np.ndarray:
+    """Pieces of each column, 0 for one that is not long. A level stands for less than twice its power of two."""
+    over = level[(key % np.uint64(SKETCH)).astype(np.int64)].astype(np.int64) - (long_rows.bit_length() - 1)
+    return np.where(over >= 0, np.int64(2) << np.maximum(over, 0), 0)
+
+
+def _first(cid: int, row: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The first part of a row as (key, cid, n, left)."""
+    n = len(row)
+    part = first_part(n)
+    own = level[(row % np.uint64(SKETCH)).astype(np.int64)]
+    key = row[np.lexsort((row, own))[:part]]
+    return key, np.full(part, cid, dtype=np.int64), np.full(part, n, dtype=np.int32), np.arange(n, n - part, -1, dtype=np.int32)
+
+
+def _batch(key: np.ndarray, cid: np.ndarray, n: np.ndarray, left: np.ndarray, piece: np.ndarray, blocks: int) -> pa.RecordBatch:
+    """Postings by block and piece; piece -1 is all of the block's columns that are not long."""
+    block = (mixed(key) % np.uint64(blocks)).astype(np.int64)
+    order = np.lexsort((piece, block))
+    block, piece = block[order].astype(np.int32), piece[order].astype(np.int32)
+    bounds = np.flatnonzero(np.diff(block, prepend=-1) | np.diff(piece, prepend=-2))
+    ends = [*bounds[1:].tolist(), len(block)]
+    cut = lambda x: [x[order][a:b].tobytes() for a, b in zip(bounds.tolist(), ends)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block[bounds]), pa.array(piece[bounds]), *(pa.array(cut(x), pa.binary()) for x in (key, cid, n, left))],
+        ["block", "piece", "key", "cid", "n", "left"])
+
+
+def _postings(rows: Iterator[tuple[int, np.ndarray]], level: np.ndarray, blocks: int, long_rows: int) -> Iterator[pa.RecordBatch]:
+    """First parts of rows (class, row), dealt by column into blocks, and of long columns by class into pieces."""
     held, size = [], 0
 
     def out() -> pa.RecordBatch:
         key, cid, n, left = (np.concatenate(x) for x in zip(*held))
-        block = (mixed(key) % np.uint64(blocks)).astype(np.int32)
-        order = np.argsort(block, kind="stable")
-        block = block[order]
-        bounds = np.flatnonzero(np.diff(block, prepend=-1))
-        ends = [*bounds[1:].tolist(), len(block)]
-        cut = lambda x: [x[order][a:b].tobytes() for a, b in zip(bounds.tolist(), ends)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(block[bounds]), *(pa.array(cut(x), pa.binary()) for x in (key, cid, n, left))], ["block", "key", "cid", "n", "left"])
+        pieces = _pieces(key, level, long_rows)
+        dealt = (mixed(cid.view(np.uint64)) % np.maximum(pieces, 1).astype(np.uint64)).astype(np.int64)
+        return _batch(key, cid, n, left, np.where(pieces > 0, dealt, -1), blocks)
 
     for cid, row in rows:
-        n = len(row)
-        part = first_part(n)
-        own = level[(row % np.uint64(SKETCH)).astype(np.int64)]
-        key = row[np.lexsort((row, own))[:part]]
-        held.append((key, np.full(part, cid, dtype=np.int64), np.full(part, n, dtype=np.int32),
-                     np.arange(n, n - part, -1, dtype=np.int32)))
-        size += part
+        held.append(_first(cid, row, level))
+        size += len(held[-1][0])
         if size >= 1 << 20:
             yield out()
             held, size = [], 0
@@ -189,12 +212,47 @@ def _postings(rows: Iterator[tuple[int, np.ndarray]], level: np.ndarray, blocks:
         yield out()
 
 
-POSTING = "block int, key binary, cid binary, n binary, left binary"
+POSTING = "block int, piece int, key binary, cid binary, n binary, left binary"
+
+
+def _smallest(rows: Iterator[tuple[int, np.ndarray]], level: np.ndarray, long_rows: int) -> Iterator[pa.RecordBatch]:
+    """The smallest class of each long column among some rows, several times if there are many."""
+    held, size = [], 0
+
+    def out() -> pa.RecordBatch:
+        key, cid, n, left = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((cid, key))
+        order = order[np.diff(key[order], prepend=~key[order][:1]) != 0]
+        return pa.RecordBatch.from_arrays([pa.array(x[order]) for x in (key.view(np.int64), cid, n, left)], ["key", "cid", "n", "left"])
+
+    for cid, row in rows:
+        first = _first(cid, row, level)
+        of_long = _pieces(first[0], level, long_rows) > 0
+        if of_long.any():
+            held.append(tuple(x[of_long] for x in first))
+            size += len(held[-1][0])
+        if size >= 1 << 20:
+            yield out()
+            held, size = [], 0
+    if held:
+        yield out()
+
+
+def _to_pieces(batches: Iterator[pa.RecordBatch], level: np.ndarray, blocks: int, long_rows: int) -> Iterator[pa.RecordBatch]:
+    """The smallest classes of long columns as postings of each of their pieces."""
+    for batch in batches:
+        for part in (batch.slice(at, 4_096) for at in range(0, len(batch), 4_096)):
+            key, cid, n, left = (part.column(c).to_numpy() for c in ("key", "cid", "n", "left"))
+            pieces = _pieces(key.view(np.uint64), level, long_rows)
+            starts = np.cumsum(pieces) - pieces
+            piece = np.arange(pieces.sum()) - starts.repeat(pieces)
+            yield _batch(key.view(np.uint64).repeat(pieces), cid.repeat(pieces), n.repeat(pieces), left.repeat(pieces), piece, blocks)
 
 
 def _pairs(frame: pd.DataFrame) -> pd.DataFrame:
     """Pairs of classes (a, b) that share a column of this block, a being the smallest class of the column; ok: the bounds
-    allow a link, open: they allow one of b with another class of the column than a."""
+    allow a link, open: they allow one of b with another class of the column than a. A piece of long columns has the smallest
+    classes of the whole columns, and all of them are open."""
     key, cid, n, left = (np.frombuffer(b"".join(frame[c]), dtype=t) for c, t in (("key", "<u8"), ("cid", "<i8"), ("n", "<i4"), ("left", "<i4")))
     order = np.lexsort((cid, key))
     key, cid, n, left = (x[order] for x in (key, cid, n.astype(np.int64), left.astype(np.int64)))
@@ -206,9 +264,10 @@ def _pairs(frame: pd.DataFrame) -> pd.DataFrame:
     allowed = lambda a, b: similar(np.minimum(left[a], left[b]), n[a], n[b])
     many = count.repeat(count)
     a, b = np.repeat(first, count), np.arange(len(key))
-    opened = many > ASSUMED_OPEN  # long columns are taken as open without looking
+    split = len(frame) > 0 and int(frame["piece"].iloc[0]) >= 0
+    opened = (many > ASSUMED_OPEN) | split  # long columns are taken as open without looking
     for f, c in zip(first.tolist(), count.tolist()):
-        if 2 < c <= ASSUMED_OPEN:
+        if 2 < c <= ASSUMED_OPEN and not split:
             own = np.arange(f + 1, f + c)
             both = allowed(own[:, None], own[None, :])
             np.fill_diagonal(both, False)
@@ -337,7 +396,7 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("cid"), F.col("v").alias("comp")).distinct())
 
 
-def join(docs: DataFrame) -> DataFrame:
+def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs(doc_id, text)."""
     spark = docs.sparkSession
     hashed = materialize(_hash_pass(docs), "ngram-rows")
@@ -352,22 +411,26 @@ def join(docs: DataFrame) -> DataFrame:
 
     text = docs.select(docs["text"].alias("_text"))
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            hasher, seen = Hasher(), set()
-            for batch in in_chunks(batches, "_text", HASH_BYTES):
-                for row in hasher.rows(batch.column("_text").to_pylist()):
-                    cid = class_of(row)
-                    if len(row) and cid not in seen:
-                        if len(seen) >= 1 << 20:
-                            seen.clear()
-                        seen.add(cid)
-                        yield cid, row
-        return _postings(rows(), sketch.value, blocks)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        hasher, seen = Hasher(), set()
+        for batch in in_chunks(batches, "_text", HASH_BYTES):
+            for row in hasher.rows(batch.column("_text").to_pylist()):
+                cid = class_of(row)
+                if len(row) and cid not in seen:
+                    if len(seen) >= 1 << 20:
+                        seen.clear()
+                    seen.add(cid)
+                    yield cid, row
+
+    postings = text.mapInArrow(lambda batches: _postings(rows(batches), sketch.value, blocks, long_rows), POSTING)
+    if (level >= long_rows.bit_length() - 1).any():
+        least = text.mapInArrow(lambda batches: _smallest(rows(batches), sketch.value, long_rows), "key long, cid long, n int, left int")
+        least = least.groupBy("key").agg(F.min(F.struct("cid", "n", "left")).alias("c")).select("key", "c.*")
+        postings = postings.unionByName(least.mapInArrow(lambda batches: _to_pieces(batches, sketch.value, blocks, long_rows), POSTING))
 
     shape = "a long, b long, ok int, open int"
     flags = F.max("ok").alias("ok"), F.max("open").alias("open")
-    stars = text.mapInArrow(prefixes, POSTING).groupBy("block").applyInPandas(_pairs, shape)
+    stars = postings.groupBy("block", "piece").applyInPandas(_pairs, shape)
     stars = materialize(stars.groupBy("a", "b").agg(*flags), "ngram-stars")
 
     def of_classes(pairs: DataFrame, name: str, kind: str, value) -> DataFrame:
