@@ -13,14 +13,27 @@ from pyspark.sql import functions as F
 from tidemark.llm import language, mixing, ngrams, pieces, toxicity
 from tidemark.session import materialize
 
-#: Phrases per byte from which no learned language explains a text: hardly a match is longer than one byte.
+#: Phrases per byte from which no learned language explains a text of any length: hardly a match is longer than one byte.
 UNKNOWN_RATE = 0.8
+#: Texts of fewer characters have unsteady rates and are judged by UNKNOWN_RATE alone. Of the others the cut is MARGIN times
+#: the rate below which this share of labelled documents lies that the languages were not learned from.
+LEAST_CHARS, QUANTILE, MARGIN = 32, 0.99, 2.0
+
+
+def unknown_rate(docs: DataFrame, sample: tuple) -> float:
+    """Phrases per byte from which a text is in none of the learned languages."""
+    new = docs.where(language.held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.char_length("text") >= LEAST_CHARS))
+    rates = language.identify(new, sample, keep=("lang",)).where("lang_pred = lang")
+    usual = rates.agg(F.percentile_approx("phrase_rate", F.lit(QUANTILE), F.lit(10_000))).first()[0]
+    return UNKNOWN_RATE if usual is None else min(UNKNOWN_RATE, MARGIN * usual)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a language: no letters, or no match with any learned language, is a rejection."""
-    found = language.identify(docs, language.learn(docs), keep=tuple(docs.columns))
-    return found.where((F.col("lang_pred") != "und") & (F.col("phrase_rate") < UNKNOWN_RATE)).select(*docs.columns)
+    """Keeps documents with a language: no letters, or too short matches with every learned language, is a rejection."""
+    sample = language.learn(docs)
+    cut = F.when(F.char_length("text") < LEAST_CHARS, F.lit(UNKNOWN_RATE)).otherwise(F.lit(unknown_rate(docs, sample)))
+    found = language.identify(docs, sample, keep=tuple(docs.columns))
+    return found.where((F.col("lang_pred") != "und") & (F.col("phrase_rate") < cut)).select(*docs.columns)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

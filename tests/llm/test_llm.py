@@ -246,3 +246,22 @@ def test_code_lookup_in_groups_equals_brute_force():
             near = [v for v in own["v"] if bin(codes[v, 0] ^ codes[q, 0]).count("1") in radii]
             want = sorted((sum(bin(x).count("1") for x in codes[v] ^ codes[q]), v) for v in near)[:5]
             assert list(got[got["q"] == q][["d", "v"]].itertuples(index=False, name=None)) == want
+
+
+def test_language_stage_rejects_unlearned_languages_and_noise(spark, sf):
+    import random
+
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    finnish = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+               "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.")
+    draw = random.Random(1)
+    noise = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(600))
+    first = docs.orderBy("doc_id").first()
+    texts = [(-1, finnish), (-2, noise), (-3, "1234 5678"), (-4, first.text[:20])]
+    more = spark.createDataFrame(texts, "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    every = docs.unionByName(more, allowMissingColumns=True)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, every, sf).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()} | {-4}
