@@ -265,3 +265,10 @@ def test_language_stage_rejects_unlearned_languages_and_noise(spark, sf):
     every = docs.unionByName(more, allowMissingColumns=True)
     kept = {r.doc_id for r in corpus_pipeline.language_id(spark, every, sf).select("doc_id").collect()}
     assert kept == {r.doc_id for r in docs.select("doc_id").collect()} | {-4}
+
+
+def test_telling_words_count_wherever_they_stand_in_a_block():
+    word = next(iter(html_text.SPEECH))
+    for filler in (2, 200):
+        own, _ = html_text.features(html_text.parse(f"<html><body><p>{'plain text here ' * filler}{word} end.</p></body></html>"))
+        assert any(html_text.SPEECH[word] in f for f in own)

@@ -208,7 +208,7 @@ def features(nodes: list[Node]) -> tuple[list[list[str]], list[str]]:
         if node.leaf:
             last = node.text[-1]
             f = ["leaf", f"l{bucket(node.words, (2, 4, 8, 16, 40))}", f"d{density}", f"t:{node.tag}", around, "stop" if last in ".?!:;\"»”" else "open"]
-            f += {SPEECH[w] for w in node.text[:400].lower().split() if w in SPEECH}
+            f += {SPEECH[w] for w in node.text.lower().split() if w in SPEECH}
             ties.append("head" if node.tag in HEADS else "leaf")
         else:
             f = ["node", f"e:{node.tag}", f"L{bucket(words[i], (1, 10, 40, 150, 600))}", f"D{density}", f"n{bucket(leaves[i], (1, 2, 5, 12))}"]
