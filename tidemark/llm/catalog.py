@@ -14,10 +14,13 @@ from tidemark.llm.pieces import op10_sentencepiece
 from tidemark.llm.repeats import SQL as REPEATS_SQL
 from tidemark.llm.repeats import op12_periodic_runs
 from tidemark.llm.sharding import op7_shard_documents
+from tidemark.llm.spelling import SQL as SPELLING_SQL
+from tidemark.llm.spelling import op11_spelling_variants
 from tidemark.llm.tokenfile import op9_token_files
 from tidemark.llm.toxicity import op8_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_language, op3_ngram_join, op4_nearest, op5_mix_sources, op6_exact_codes, op7_shard_documents, op8_toxicity,
-    op9_token_files, op10_sentencepiece, op12_periodic_runs)}
-ORACLE = {"op5_mix_sources": MIXING_SQL, "op6_exact_codes": CODES_SQL, "op12_periodic_runs": REPEATS_SQL}
+    op9_token_files, op10_sentencepiece, op11_spelling_variants, op12_periodic_runs)}
+ORACLE = {"op5_mix_sources": MIXING_SQL, "op6_exact_codes": CODES_SQL, "op11_spelling_variants": SPELLING_SQL,
+          "op12_periodic_runs": REPEATS_SQL}
