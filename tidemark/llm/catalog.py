@@ -11,6 +11,7 @@ from tidemark.llm.mixing import op5_mix_sources
 from tidemark.llm.neighbours import op4_nearest
 from tidemark.llm.ngrams import op3_ngram_join
 from tidemark.llm.pieces import op10_sentencepiece
+from tidemark.llm.quality import op13_quality
 from tidemark.llm.repeats import SQL as REPEATS_SQL
 from tidemark.llm.repeats import op12_periodic_runs
 from tidemark.llm.sharding import op7_shard_documents
@@ -21,6 +22,6 @@ from tidemark.llm.toxicity import op8_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_language, op3_ngram_join, op4_nearest, op5_mix_sources, op6_exact_codes, op7_shard_documents, op8_toxicity,
-    op9_token_files, op10_sentencepiece, op11_spelling_variants, op12_periodic_runs)}
+    op9_token_files, op10_sentencepiece, op11_spelling_variants, op12_periodic_runs, op13_quality)}
 ORACLE = {"op5_mix_sources": MIXING_SQL, "op6_exact_codes": CODES_SQL, "op11_spelling_variants": SPELLING_SQL,
           "op12_periodic_runs": REPEATS_SQL}
