@@ -15,14 +15,13 @@ equal counts go to the smaller language name; an empty table gives an empty resu
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, in_chunks, table
+from tidemark.llm.common import held_out, in_chunks, release, resident, shape, table
 
 WINDOW = 512
 PIECES = 64
@@ -131,11 +130,6 @@ class Parser:
         return langs, scores, rates
 
 
-@lru_cache(maxsize=1)
-def parser(sample: tuple) -> Parser:
-    return Parser(sample)
-
-
 def learn(docs: DataFrame, pieces: int = PIECES) -> tuple[tuple[str, tuple[str, ...]], ...]:
     """The labelled sample: `pieces` short pieces of each language, whatever the input."""
     size = F.char_length("text")
@@ -154,16 +148,18 @@ def identify(docs: DataFrame, sample: tuple, keep: tuple[str, ...] = ("doc_id",)
     data = docs.select(*keep, F.col("text").alias("_text"), held_out(F.col("doc_id")).alias("_held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = parser(sample)
-        for batch in in_chunks(batches, "_text"):
-            langs, scores, rates = own.predict(batch.column("_text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), batch.column("_held"), pa.array(langs, pa.string()),
-                 pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
-                [*keep, "held_out", "lang_pred", "score", "phrase_rate"])
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in data.schema.fields[:-2]]
-    return data.mapInArrow(run, ", ".join([*fields, "held_out boolean, lang_pred string, score double, phrase_rate double"]))
+        own = resident(("languages", sample), lambda: Parser(sample))
+        try:
+            for batch in in_chunks(batches, "_text"):
+                langs, scores, rates = own.predict(batch.column("_text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in keep), batch.column("_held"), pa.array(langs, pa.string()),
+                     pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
+                    [*keep, "held_out", "lang_pred", "score", "phrase_rate"])
+        finally:
+            release()
+
+    return data.mapInArrow(run, shape(data.schema.fields[:-2], "held_out boolean, lang_pred string, score double, phrase_rate double"))
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,7 +99,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, max_epo
     in_edge = Window.partitionBy("source", "_bucket").orderBy("_u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = rows.where(at_edge).withColumn(
         "_extra", F.col("_before") + F.coalesce(F.sum("size").over(in_edge), F.lit(0)) + F.col("size") / 2 <= F.col("_need"))
-    times = F.col("_whole") + F.when(F.col("_extra"), 1).otherwise(0)
+    # Where no fraction is left, not even empty documents are taken once more.
+    times = F.col("_whole") + F.when(F.col("_extra") & (F.col("_need") > 0), 1).otherwise(0)
     return rest.unionByName(edge).withColumn("_times", times).select(
         "doc_id", "size", "source_size", "target",
         (F.col("_times") * F.col("size")).cast("long").alias("taken"), F.col("_times").cast("int").alias("times"))
@@ -133,7 +134,7 @@ q AS (
          coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY u, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
-       CAST(whole * size + CASE WHEN before + size / 2 <= target - whole * source_size THEN size ELSE 0 END AS BIGINT) AS taken,
-       CAST(whole + CASE WHEN before + size / 2 <= target - whole * source_size THEN 1 ELSE 0 END AS INTEGER) AS times
+       CAST(whole * size + CASE WHEN target - whole * source_size > 0 AND before + size / 2 <= target - whole * source_size THEN size ELSE 0 END AS BIGINT) AS taken,
+       CAST(whole + CASE WHEN target - whole * source_size > 0 AND before + size / 2 <= target - whole * source_size THEN 1 ELSE 0 END AS INTEGER) AS times
 FROM q
 """

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_chunks, table
+from tidemark.llm.common import forget, in_chunks, table
 from tidemark.session import materialize
 
 N = 5
@@ -42,6 +42,8 @@ N = 5
 PART, WHOLE = 75, 100
 #: Bytes of text hashed at once, n-grams counted at once, rows of a column block, buckets of the two fixed-size sketches.
 HASH_BYTES, COUNTED, BLOCK_ROWS, SKETCH, MARKS = 1 << 20, 1 << 21, 500_000, 1 << 20, 1 << 20
+#: Classes that a task remembers, lest it passes a row on again and again.
+SEEN = 1 << 17
 #: How often an n-gram must come in one step of a task to be counted as frequent.
 OFTEN = 3
 #: Rows of a column up to which the first product looks whether others than its smallest class may link.
@@ -131,6 +133,7 @@ def _hash_pass(docs: DataFrame) -> DataFrame:
     kind = data.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         hasher, held, size, seen = Hasher(), [], 0, set()
 
         def frequent() -> pa.RecordBatch:
@@ -417,7 +420,7 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
             for row in hasher.rows(batch.column("_text").to_pylist()):
                 cid = class_of(row)
                 if len(row) and cid not in seen:
-                    if len(seen) >= 1 << 20:
+                    if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(cid)
                     yield cid, row
@@ -447,7 +450,7 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
                 for row in hasher.rows(batch.column("_text").to_pylist()):
                     cid = class_of(row)
                     if len(row) and cid not in seen and wanted[cid % MARKS]:
-                        if len(seen) >= 1 << 20:
+                        if len(seen) >= SEEN:
                             seen.clear()
                         seen.add(cid)
                         own.append((cid, len(row), value(row)))

@@ -5,7 +5,8 @@ unique: of the pieces that the automaton finds at that end, longest first, it is
 the prefix before it. Two pieces may follow each other if undoing their merges, latest first, never shows a pair that
 would have been merged earlier. The ids are read backwards from the last prefix.
 
-Words can be encoded apart where no piece holds both characters at a boundary; a bounded cache keeps what words gave.
+Words can be encoded apart where no piece holds both characters at a boundary; what words gave is kept up to a number of bytes and
+dropped at the end of a task.
 Characters without a piece become byte pieces. Runs of spaces, whose pieces all have one score,
 take the longest pieces from the left, as the library does.
 
@@ -17,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import public_tokenizers
@@ -26,7 +26,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import in_chunks, table
+from tidemark.llm.common import in_chunks, release, resident, table
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -34,8 +34,8 @@ SPACE = "▁"
 UNITS = regex.compile(rf"{SPACE}*[\p{{L}}\p{{M}}]+|{SPACE}*[^\p{{L}}\p{{M}}{SPACE}]+|{SPACE}+")
 WORDS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 LETTER = regex.compile(r"[\p{L}\p{M}]")
-#: Entries of a worker's cache, and the longest word in it.
-CACHED, CACHED_CHARS = 300_000, 48
+#: About how many bytes the words that a task keeps take, the longest of them, and the pairs of pieces that it keeps.
+CACHE_BYTES, CACHED_CHARS, PAIRS = 24 << 20, 48, 100_000
 
 
 class Pieces:
@@ -77,7 +77,14 @@ class Pieces:
         mixed = any(a != SPACE and bool(LETTER.match(a)) != bool(LETTER.match(b))
                     for i in merged for a, b in zip(self.text[i], self.text[i][1:]))
         self.units = WORDS if mixed else UNITS
-        self.cache: dict[str, tuple[str, int, str]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        """Drops what was kept of the texts so far."""
+        self.cache: dict[str, str] = {}
+        self.odd: dict[str, str] = {}
+        self.held = 0
+        self.follows.clear()
 
     def _split(self, i: int) -> tuple[int, int] | None:
         """The pair whose merge makes piece i, both parts being made before it."""
@@ -95,6 +102,8 @@ class Pieces:
         key = a << 20 | b
         known = self.follows.get(key)
         if known is None:
+            if len(self.follows) >= PAIRS:
+                self.follows.clear()
             known = self.follows[key] = self._stay(a, b)
         return known
 
@@ -187,31 +196,29 @@ class Pieces:
         text = self.surface(ids)
         return text[1:] if text[:1] == " " else text
 
+    def named(self, unit: str) -> str:
+        """The ids of a unit in decimal. Keeps them, and in `odd` what the unit decodes to where that is not itself."""
+        ids = self.unit(unit)
+        names = " ".join(map(str, ids))
+        back = self.surface(ids)
+        if back != unit.replace(SPACE, " "):
+            self.odd[unit] = back
+        if len(unit) <= CACHED_CHARS and self.held < CACHE_BYTES:
+            self.held += 250 + 2 * len(unit) + len(names)
+            self.cache[unit] = names
+        return names
+
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids with the end id, sha256 of the ids in decimal, sha256 of the text decoded from them."""
-        names, count, back = [], 1, []
-        cache = self.cache
-        for u in self.units.findall(SPACE + text.replace(" ", SPACE)) if text else ():
-            known = cache.get(u)
-            if known is None:
-                ids = self.unit(u)
-                known = (" ".join(map(str, ids)), len(ids), self.surface(ids))
-                if len(u) <= CACHED_CHARS:
-                    if len(cache) >= CACHED:
-                        cache.clear()
-                    cache[u] = known
-            names.append(known[0])
-            count += known[1]
-            back.append(known[2])
-        names.append(str(self.end))
-        decoded = "".join(back)
-        return (count, hashlib.sha256(" ".join(names).encode()).hexdigest(),
-                hashlib.sha256((decoded[1:] if decoded[:1] == " " else decoded).encode()).hexdigest())
-
-
-@lru_cache(maxsize=1)
-def pieces(path: str) -> Pieces:
-    return Pieces(path)
+        if self.held >= CACHE_BYTES or len(self.odd) >= PAIRS:
+            self.clear()
+        get, units = self.cache.get, self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        names = " ".join([get(u) or self.named(u) for u in units] + [str(self.end)])
+        if not self.odd.keys().isdisjoint(units):
+            units = [self.odd.get(u, u) for u in units]
+        back = "".join(units).replace(SPACE, " ")
+        return (names.count(" ") + 1, hashlib.sha256(names.encode()).hexdigest(),
+                hashlib.sha256((back[1:] if back[:1] == " " else back).encode()).hexdigest())
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -219,13 +226,17 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     data = docs.select("doc_id", docs["text"].alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(path)
-        for batch in in_chunks(batches, "_text"):
-            rows = [model.digest(t) for t in batch.column("_text").to_pylist()]
-            n, ids, back = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        model = resident(("pieces", path), lambda: Pieces(path))
+        try:
+            for batch in in_chunks(batches, "_text"):
+                rows = [model.digest(t) for t in batch.column("_text").to_pylist()]
+                n, ids, back = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            model.clear()
+            release()
 
     kind = data.schema["doc_id"].dataType.simpleString()
     return data.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, in_chunks, table
+from tidemark.llm.common import forget, held_out, in_chunks, release, shape, table
 from tidemark.session import materialize
 
 SAMPLE = 8_000
@@ -33,7 +33,8 @@ FEATURES = 4_096
 VOTERS = 256
 #: Share of toxic documents among those with a mined voter, and such documents.
 MINED_PRECISION, MINED_DOCUMENTS = 0.7, 3
-CACHED = 300_000
+#: Words whose weights a task keeps; features that a task counts before it passes the counts on.
+CACHED, COUNTED = 60_000, 100_000
 #: Lexicon voters.
 LEXICON = (
     "idiot idiots moron morons imbecile fool fools stupid dumb clown loser losers jerk dimwit halfwit coward liar scum vermin "
@@ -171,16 +172,25 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         hit: Counter = Counter()
-        for batch in batches:
-            for t, own in zip(batch.column("toxic").to_pylist(), batch.column("words").to_pylist()):
+
+        def out() -> pa.RecordBatch:
+            names = list(seen)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array([seen[f] for f in names], pa.int64()), pa.array([hit[f] for f in names], pa.int64())],
+                ["f", "n", "t"])
+
+        forget()
+        for part in (batch.slice(a, 256) for batch in batches for a in range(0, len(batch), 256)):
+            for t, own in zip(part.column("toxic").to_pylist(), part.column("words").to_pylist()):
                 all_of = {f for w in own for f in features(w)}
                 seen.update(all_of)
                 if t:
                     hit.update(all_of)
-        names = list(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([seen[f] for f in names], pa.int64()), pa.array([hit[f] for f in names], pa.int64())],
-            ["f", "n", "t"])
+            if len(seen) >= COUNTED:
+                yield out()
+                seen.clear()
+                hit.clear()
+        yield out()
 
     stats = taken.select("toxic", "words").mapInArrow(count, "f string, n long, t long").groupBy("f").agg(
         F.sum("n").alias("n"), F.sum("t").alias("t")).where("n >= 3")
@@ -225,15 +235,19 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     data = docs.select(*keep, docs["text"].alias("_text"), held_out(docs["doc_id"]).alias("_held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own = model.scorer()
-        for batch in in_chunks(batches, "_text"):
-            scores = np.array([own(t) for t in batch.column("_text").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), batch.column("_held"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
-                [*keep, "held_out", "score", "predicted"])
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in data.schema.fields[:-2]]
-    return data.mapInArrow(run, ", ".join([*fields, "held_out boolean, score double, predicted int"]))
+        try:
+            for batch in in_chunks(batches, "_text"):
+                scores = np.array([own(t) for t in batch.column("_text").to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in keep), batch.column("_held"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
+                    [*keep, "held_out", "score", "predicted"])
+        finally:
+            del own  # with the words it kept
+            release()
+
+    return data.mapInArrow(run, shape(data.schema.fields[:-2], "held_out boolean, score double, predicted int"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
