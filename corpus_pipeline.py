@@ -7,55 +7,72 @@ or go together, and equal ones are merged where groups of near copies are.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, mixing, ngrams, pieces, toxicity
+from tidemark.llm.common import FOLDS
 from tidemark.session import materialize
 
-#: Phrases per byte from which no learned language explains a text of any length: hardly a match is longer than one byte.
-UNKNOWN_RATE = 0.8
-#: Texts of fewer characters have unsteady rates and are judged by UNKNOWN_RATE alone. Of the others the cut is MARGIN times
-#: the rate below which this share of labelled documents lies that the languages were not learned from.
-LEAST_CHARS, QUANTILE, MARGIN = 32, 0.99, 2.0
+#: A text of n bytes may take RATE times the usual phrases per byte, and DEVIATIONS of the deviation that such a rate has over n
+#: bytes, for whatever n. A rate of 1, where hardly a match is longer than one byte, is too much for any text.
+RATE, DEVIATIONS = 1.5, 4.0
+#: The fold of crc32 from whose labelled documents usual rates are read; languages are learned from those in neither it nor fold 0.
+USUAL_FOLD = 1
+ONE = "doc"
 
 
-def unknown_rate(docs: DataFrame, sample: tuple) -> float:
-    """Phrases per byte from which a text is in none of the learned languages."""
-    new = docs.where(language.held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.char_length("text") >= LEAST_CHARS))
-    rates = language.identify(new, sample, keep=("lang",)).where("lang_pred = lang")
-    usual = rates.agg(F.percentile_approx("phrase_rate", F.lit(QUANTILE), F.lit(10_000))).first()[0]
-    return UNKNOWN_RATE if usual is None else min(UNKNOWN_RATE, MARGIN * usual)
+def as_one(docs: DataFrame, *columns: str) -> DataFrame:
+    """A document as one column, whatever its columns are called, beside those that a stage reads."""
+    return docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias(ONE), *columns)
+
+
+def usual(docs: DataFrame) -> Column:
+    return F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % FOLDS == USUAL_FOLD
+
+
+def rate_bound(docs: DataFrame, sample: tuple) -> Column:
+    """Phrases per byte from which a text is in none of the learned languages, by its length."""
+    size = F.octet_length("text")
+    new = docs.where(usual(docs) & F.col("lang").isNotNull()).select("doc_id", "text", "lang", size.alias("size"))
+    rates = language.identify(new, sample, keep=("lang", "size")).where("lang_pred = lang")
+    mean = rates.agg(F.sum(F.col("phrase_rate") * F.col("size")) / F.sum("size")).first()[0]
+    if mean is None:
+        return F.lit(1.0)
+    spread = rates.agg(F.sqrt(F.avg((F.col("phrase_rate") - mean) ** 2 * F.col("size")))).first()[0]
+    return F.least(F.lit(1.0), RATE * mean + DEVIATIONS * spread / F.sqrt(size))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language: no letters, or too short matches with every learned language, is a rejection."""
-    sample = language.learn(docs)
-    cut = F.when(F.char_length("text") < LEAST_CHARS, F.lit(UNKNOWN_RATE)).otherwise(F.lit(unknown_rate(docs, sample)))
-    found = language.identify(docs, sample, keep=tuple(docs.columns))
-    return found.where((F.col("lang_pred") != "und") & (F.col("phrase_rate") < cut)).select(*docs.columns)
+    sample = language.learn(docs.where(~F.coalesce(usual(docs), F.lit(False))))
+    bounded = as_one(docs, "doc_id", "text").withColumn("bound", rate_bound(docs, sample))
+    found = language.identify(bounded, sample, keep=(ONE, "bound"))
+    return found.where((F.col("lang_pred") != "und") & (F.col("phrase_rate") < F.col("bound"))).select(f"{ONE}.*")
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that are not predicted toxic; the classifier learns from the labels of the documents that came here."""
-    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, keep=tuple(docs.columns)).where("predicted = 0").select(*docs.columns)
+    model = toxicity.learn(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(as_one(docs, "doc_id", "text"), model, keep=(ONE,)).where("predicted = 0").select(f"{ONE}.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group that n-gram links connect, and all documents without words."""
-    joined = ngrams.join(docs).where("n_shingles = 0 OR doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    joined = materialize(joined, "pipeline-kept")
-    kept = docs.join(joined, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    joined = ngrams.join(docs.select("doc_id", "text")).where("n_shingles = 0 OR doc_id <=> component_id")
+    joined = materialize(joined.select(F.col("doc_id").alias("kept")).distinct(), "pipeline-kept")
+    own = as_one(docs, F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    kept = own.join(joined, F.col("id").eqNullSafe(F.col("kept")), "left_semi")
+    return kept.dropDuplicates(["id", "text"]).select(f"{ONE}.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
-    times = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("times").alias("_times")).where("_times > 0")
+    mixed = mixing.mix(docs.select("doc_id", "text", "source"))
+    times = mixed.groupBy(F.col("doc_id").alias("taken")).agg(F.max("times").alias("times")).where("times > 0")
     times = materialize(times, "pipeline-times")
-    taken = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*(docs[c] for c in docs.columns))
+    taken = as_one(docs, F.col("doc_id").alias("id")).join(times, F.col("id").eqNullSafe(F.col("taken")))
+    return taken.select(ONE, F.explode(F.sequence(F.lit(1), F.col("times")))).select(f"{ONE}.*")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +82,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [("language ID", language_id), ("toxicity", toxicity_filter), ("n-gram Jaccard join", near_duplicates),
           ("mixing sources", mix_sources), ("SentencePiece", encode_pieces)]
-#: No stage but the mix can be stated in SQL; tests/llm compares the pipeline with a brute-force version.
+#: No stage but the mix can be stated in SQL; tests/llm/test_pipeline.py compares the pipeline with plain Python stages.
 ORACLE_SQL = None
 
 
