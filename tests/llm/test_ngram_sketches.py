@@ -1,16 +1,33 @@
 """Comparison of rows around a smallest class: no link between components may be lost, whole or in pieces."""
 
+import random
+
 import numpy as np
 import pandas as pd
+import pytest
 
+from tests.llm.test_llm import brute_components
+from tidemark.llm import ngrams
 from tidemark.llm.ngrams import _around, join, similar, sketch_of
 
 
-def pairs(frame):
-    return set(map(tuple, _around(frame).to_numpy().tolist()))
+def top(parent, x):
+    while parent.setdefault(x, x) != x:
+        x = parent[x]
+    return x
+
+
+def connected(frame, found):
+    """Whether two classes around `at` are connected by components and found pairs."""
+    parent = {}
+    for at, cid, comp in frame[["at", "cid", "comp"]].itertuples(index=False):
+        parent[top(parent, (at, cid))] = top(parent, (at, "comp", comp))
+    for at, a, b in found:
+        parent[top(parent, (at, a))] = top(parent, (at, b))
+    return lambda at, a, b: top(parent, (at, a)) == top(parent, (at, b))
 
 
-def test_sketches_lose_no_link():
+def test_forests_lose_no_link():
     rng = np.random.default_rng(1)
     rows = []
     for at in range(6):
@@ -20,13 +37,35 @@ def test_sketches_lose_no_link():
             row, other = base[:m].copy(), int(rng.integers(0, m // 4 + 1))
             row[rng.choice(m, other, replace=False)] = rng.integers(0, 1 << 63, other, dtype=np.uint64)
             rows.append((at, at * 100 + k, int(rng.integers(0, 12)), np.unique(row)))
-    frame = pd.DataFrame([{"i": 0, "j": 0, "at": a, "cid": c, "comp": p, "n": len(r), "piece": 0, "sketch": sketch_of(r)} for a, c, p, r in rows])
-    links = {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[2] != y[2]
+    frame = pd.DataFrame([{"i": 0, "j": 0, "at": a, "cid": c, "comp": p, "n": len(r), "piece": 0, "sketch": sketch_of(r), "no": None} for a, c, p, r in rows])
+    links = {(x[0], x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[2] != y[2]
              and similar(len(np.intersect1d(x[3], y[3])), len(x[3]), len(y[3]))}
-    assert links and links <= pairs(frame)
+    found = _around(frame).to_numpy().tolist()
+    assert links and len(found) < len(rows) and all(connected(frame, found)(*link) for link in links)
     two = frame.assign(piece=frame["cid"] % 2)
     parts = [two[two["piece"] == 0].assign(i=0, j=0), two[two["piece"] == 1].assign(i=1, j=1), two.assign(i=0, j=1)]
-    assert set().union(*map(pairs, parts)) == pairs(frame)
+    joint = [x for part in parts for x in _around(part).to_numpy().tolist()]
+    assert all(connected(frame, joint)(*link) for link in links)
+    # Pairs that failed are not proposed again, and others are in their place.
+    at, a, b = found[0]
+    again = _around(frame.assign(no=[[b] if (t, c) == (at, a) else [a] if (t, c) == (at, b) else None for t, c in zip(frame["at"], frame["cid"])]))
+    assert not {(at, a, b), (at, b, a)} & set(map(tuple, again.to_numpy().tolist()))
+
+
+@pytest.mark.parametrize("rows_a_piece", [4_096, 40])
+def test_a_hot_group_of_near_copies_equals_brute_force(spark, monkeypatch, rows_a_piece):
+    """Distinct near copies of one text, of which some link only through others and some not at all."""
+    monkeypatch.setattr(ngrams, "PIECE_ROWS", rows_a_piece)
+    draw, base = random.Random(2), [f"w{i}" for i in range(40)]
+    texts = set()
+    while len(texts) < 300:
+        words = base.copy()
+        for at in draw.sample(range(40), 2):
+            words[at] = f"x{draw.randrange(12)}"
+        texts.add(" ".join(words))
+    rows = list(enumerate(sorted(texts)))
+    got = sorted(map(tuple, join(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == brute_components(rows) and 1 < len({c for _, _, c in got}) < 300
 
 
 def test_long_columns_in_pieces_give_the_same_components(spark):
@@ -40,8 +79,6 @@ def test_long_columns_in_pieces_give_the_same_components(spark):
 
 
 def test_a_piece_has_the_smallest_class_of_the_whole_column():
-    from tidemark.llm import ngrams
-
     key = np.arange(1, 6, dtype=np.uint64)
     level = np.zeros(ngrams.SKETCH, dtype=np.uint8)
     level[1:6] = 6  # 64 to 127 rows
@@ -53,7 +90,7 @@ def test_a_piece_has_the_smallest_class_of_the_whole_column():
     stars, largest = set(), 0
     for _, group in frame.groupby(["block", "piece"]):
         found = ngrams._pairs(group)
-        assert (found["open"] == 1).all()
+        assert (found["many"] == 1).all()
         stars |= set(found[["a", "b"]].itertuples(index=False, name=None))
         largest = max(largest, sum(len(x) for x in group["cid"]) // 8)
     assert stars == {(100, b) for b in range(101, 200)} and largest < 100

@@ -7,12 +7,16 @@ first one shared with a similar row, sizes must differ by less than a quarter, a
 reach the needed overlap. The order puts columns that are frequent somewhere last; their frequency is a sketch of fixed size,
 and whatever it says, the bounds hold. Overlaps of the pairs that remain are counted on whole rows.
 
-Groups of near copies are not paired off: rows that share a column are first compared with the smallest class of the column
-only. Where that leaves the rows around a smallest class in several components, rows of different components are compared
-with each other. So every link that matters for the components is found, without all pairs inside a group.
+Groups of near copies are not paired off. First every row meets two classes only: of the smallest classes of its columns the
+smallest, and the one with which it shares most columns; most groups are connected by that. Then components are known, and only columns
+whose rows lie in several of them count: the rows around a smallest class are compared with each other, in pieces of bounded size,
+and a union-find inside the piece passes over what is connected already, so a piece gives at most one pair fewer than it has rows.
+Those pairs are verified on whole rows; where one fails, the rows around its smallest class are compared once more without it. At last
+rows of different pieces are compared in the same way. So every link that matters for the components is found, without all pairs
+inside a group.
 
-Before whole rows are brought together, sketches are: the parity of a row's hashes in each of about 4n buckets. Two rows
-differ in at least as many columns as their sketches differ in bits, which bounds the overlap from above.
+Rows are compared by sketches: the parity of a row's hashes in each of about 4n buckets. Two rows differ in at least as many
+columns as their sketches differ in bits, which bounds the overlap from above.
 
 A column that the frequency sketch calls long is split into pieces by class, and each piece is given the column's smallest class,
 which a pass of its own finds; so no task holds a whole long column.
@@ -26,7 +30,7 @@ one class; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -46,12 +50,13 @@ HASH_BYTES, COUNTED, BLOCK_ROWS, SKETCH, MARKS = 1 << 20, 1 << 21, 500_000, 1 <<
 SEEN = 1 << 17
 #: How often an n-gram must come in one step of a task to be counted as frequent.
 OFTEN = 3
-#: Rows of a column up to which the first product looks whether others than its smallest class may link.
-ASSUMED_OPEN = 512
 #: Rows from which a column is split into pieces, by the sketch of frequent buckets.
 LONG_ROWS = 1 << 17
-#: Least and most bits of a row's sketch; rows of a piece of those around one class.
-LEAST_BITS, MOST_BITS, PIECE_ROWS = 256, 1 << 17, 4_096
+#: Least and most bits of a row's sketch; bytes of sketches and rows in a piece of those around one class; parts in which the rows
+#: around one class meet their number of pieces.
+LEAST_BITS, MOST_BITS, PIECE_BYTES, PIECE_ROWS, SALTS = 256, 1 << 17, 4 << 20, 4_096, 16
+#: Share by which two sketches may differ more in pairs that are taken first.
+SAFE = 0.06
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 IS_SPACE = np.zeros(256, dtype=bool)
@@ -182,7 +187,7 @@ def _first(cid: int, row: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, ..
     return key, np.full(part, cid, dtype=np.int64), np.full(part, n, dtype=np.int32), np.arange(n, n - part, -1, dtype=np.int32)
 
 
-def _batch(key: np.ndarray, cid: np.ndarray, n: np.ndarray, left: np.ndarray, piece: np.ndarray, blocks: int) -> pa.RecordBatch:
+def _batch(key: np.ndarray, cid: np.ndarray, n: np.ndarray, left: np.ndarray, piece: np.ndarray, blocks: int, *more: np.ndarray) -> pa.RecordBatch:
     """Postings by block and piece; piece -1 is all of the block's columns that are not long."""
     block = (mixed(key) % np.uint64(blocks)).astype(np.int64)
     order = np.lexsort((piece, block))
@@ -191,23 +196,65 @@ def _batch(key: np.ndarray, cid: np.ndarray, n: np.ndarray, left: np.ndarray, pi
     ends = [*bounds[1:].tolist(), len(block)]
     cut = lambda x: [x[order][a:b].tobytes() for a, b in zip(bounds.tolist(), ends)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(block[bounds]), pa.array(piece[bounds]), *(pa.array(cut(x), pa.binary()) for x in (key, cid, n, left))],
-        ["block", "piece", "key", "cid", "n", "left"])
+        [pa.array(block[bounds]), pa.array(piece[bounds]), *(pa.array(cut(x), pa.binary()) for x in (key, cid, n, left, *more))],
+        ["block", "piece", "key", "cid", "n", "left", "comp"][:6 + len(more)])
 
 
-def _postings(rows: Iterator[tuple[int, np.ndarray]], level: np.ndarray, blocks: int, long_rows: int) -> Iterator[pa.RecordBatch]:
-    """First parts of rows (class, row), dealt by column into blocks, and of long columns by class into pieces."""
+def _dealt(firsts: Iterator[tuple[np.ndarray, ...]], level: np.ndarray, blocks: int, long_rows: int) -> Iterator[pa.RecordBatch]:
+    """First parts of rows (key, cid, n, left, ...), dealt by column into blocks, and of long columns by class into pieces."""
     held, size = [], 0
 
     def out() -> pa.RecordBatch:
-        key, cid, n, left = (np.concatenate(x) for x in zip(*held))
+        key, cid, n, left, *more = (np.concatenate(x) for x in zip(*held))
         pieces = _pieces(key, level, long_rows)
         dealt = (mixed(cid.view(np.uint64)) % np.maximum(pieces, 1).astype(np.uint64)).astype(np.int64)
-        return _batch(key, cid, n, left, np.where(pieces > 0, dealt, -1), blocks)
+        return _batch(key, cid, n, left, np.where(pieces > 0, dealt, -1), blocks, *more)
 
-    for cid, row in rows:
-        held.append(_first(cid, row, level))
-        size += len(held[-1][0])
+    for first in firsts:
+        held.append(first)
+        size += len(first[0])
+        if size >= 1 << 20:
+            yield out()
+            held, size = [], 0
+    if held:
+        yield out()
+
+
+def _postings(rows: Iterator[tuple[int, np.ndarray]], level: np.ndarray, blocks: int, long_rows: int) -> Iterator[pa.RecordBatch]:
+    return _dealt((_first(cid, row, level) for cid, row in rows), level, blocks, long_rows)
+
+
+def _kept_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(key, cid, n, left, comp) of stored first parts (cid, n, first, comp)."""
+    for batch in batches:
+        for cid, n, first, comp in zip(*(batch.column(c).to_pylist() for c in ("cid", "n", "first", "comp"))):
+            key = np.frombuffer(first, dtype=np.uint64)
+            yield (key, np.full(len(key), cid, dtype=np.int64), np.full(len(key), n, dtype=np.int32),
+                   np.arange(n, n - len(key), -1, dtype=np.int32), np.full(len(key), comp, dtype=np.int64))
+
+
+def _doubt_postings(batches: Iterator[pa.RecordBatch], level: np.ndarray, blocks: int, long_rows: int) -> Iterator[pa.RecordBatch]:
+    return _dealt(_kept_firsts(batches), level, blocks, long_rows)
+
+
+def _doubt_ends(batches: Iterator[pa.RecordBatch], level: np.ndarray, long_rows: int) -> Iterator[pa.RecordBatch]:
+    """Postings of long columns that have the smallest class or the smallest or largest component among some rows."""
+    held, size = [], 0
+
+    def out() -> pa.RecordBatch:
+        columns = [np.concatenate(x) for x in zip(*held)]
+        key, cid, comp = columns[0], columns[1], columns[4]
+        ends = []
+        for order in (np.lexsort((cid, key)), np.lexsort((comp, key)), np.lexsort((-comp, key))):
+            ends.append(order[np.diff(key[order], prepend=~key[order][:1]) != 0])
+        at = np.unique(np.concatenate(ends))
+        return pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (key.view(np.int64), *columns[1:])], ["key", "cid", "n", "left", "comp"])
+
+    for first in _kept_firsts(batches):
+        of_long = _pieces(first[0], level, long_rows) > 0
+        if of_long.any():
+            held.append(tuple(x[of_long] for x in first))
+            size += len(held[-1][0])
         if size >= 1 << 20:
             yield out()
             held, size = [], 0
@@ -216,6 +263,7 @@ def _postings(rows: Iterator[tuple[int, np.ndarray]], level: np.ndarray, blocks:
 
 
 POSTING = "block int, piece int, key binary, cid binary, n binary, left binary"
+DOUBT_POSTING = POSTING + ", comp binary"
 
 
 def _smallest(rows: Iterator[tuple[int, np.ndarray]], level: np.ndarray, long_rows: int) -> Iterator[pa.RecordBatch]:
@@ -245,41 +293,61 @@ def _to_pieces(batches: Iterator[pa.RecordBatch], level: np.ndarray, blocks: int
     """The smallest classes of long columns as postings of each of their pieces."""
     for batch in batches:
         for part in (batch.slice(at, 4_096) for at in range(0, len(batch), 4_096)):
-            key, cid, n, left = (part.column(c).to_numpy() for c in ("key", "cid", "n", "left"))
+            key, cid, n, left, *more = (part.column(c).to_numpy() for c in part.schema.names)
             pieces = _pieces(key.view(np.uint64), level, long_rows)
             starts = np.cumsum(pieces) - pieces
             piece = np.arange(pieces.sum()) - starts.repeat(pieces)
-            yield _batch(key.view(np.uint64).repeat(pieces), cid.repeat(pieces), n.repeat(pieces), left.repeat(pieces), piece, blocks)
+            yield _batch(*(x.repeat(pieces) for x in (key.view(np.uint64), cid, n, left)), piece, blocks, *(x.repeat(pieces) for x in more))
 
 
-def _pairs(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of classes (a, b) that share a column of this block, a being the smallest class of the column; ok: the bounds
-    allow a link, open: they allow one of b with another class of the column than a. A piece of long columns has the smallest
-    classes of the whole columns, and all of them are open."""
-    key, cid, n, left = (np.frombuffer(b"".join(frame[c]), dtype=t) for c, t in (("key", "<u8"), ("cid", "<i8"), ("n", "<i4"), ("left", "<i4")))
+def _columns(frame: pd.DataFrame, *more: tuple[str, str]) -> tuple[np.ndarray, ...]:
+    """(key, cid, n, left, ...) of the postings of a group, each once, by key and class."""
+    kinds = (("key", "<u8"), ("cid", "<i8"), ("n", "<i4"), ("left", "<i4"), *more)
+    key, cid, *rest = (np.frombuffer(b"".join(frame[c]), dtype=t) for c, t in kinds)
     order = np.lexsort((cid, key))
-    key, cid, n, left = (x[order] for x in (key, cid, n.astype(np.int64), left.astype(np.int64)))
+    key, cid = key[order], cid[order]
     new = np.ones(len(key), dtype=bool)
     new[1:] = (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])
-    key, cid, n, left = (x[new] for x in (key, cid, n, left))
+    return (key[new], cid[new], *(x[order][new].astype(np.int64) for x in rest))
+
+
+def _pairs(frame: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of classes (a, b) that share columns of this block of which a is the smallest class; ok: in how many of them the
+    bounds allow a link, many: whether one of them has further rows."""
+    key, cid, n, left = _columns(frame)
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
     count = np.diff(np.append(first, len(key)))
-    allowed = lambda a, b: similar(np.minimum(left[a], left[b]), n[a], n[b])
-    many = count.repeat(count)
-    a, b = np.repeat(first, count), np.arange(len(key))
     split = len(frame) > 0 and int(frame["piece"].iloc[0]) >= 0
-    opened = (many > ASSUMED_OPEN) | split  # long columns are taken as open without looking
-    for f, c in zip(first.tolist(), count.tolist()):
-        if 2 < c <= ASSUMED_OPEN and not split:
-            own = np.arange(f + 1, f + c)
-            both = allowed(own[:, None], own[None, :])
-            np.fill_diagonal(both, False)
-            opened[own] = both.any(axis=1)
-    ok = allowed(a, b)
-    keep = (a != b) & (ok | opened)
-    a, b, ok, opened = a[keep], b[keep], ok[keep], opened[keep]
-    return pd.DataFrame({"a": cid[a], "b": cid[b], "ok": ok.astype(np.int32), "open": opened.astype(np.int32)}).groupby(
-        ["a", "b"], as_index=False).max()
+    a, b = np.repeat(first, count), np.arange(len(key))
+    ok = similar(np.minimum(left[a], left[b]), n[a], n[b])
+    many = (count.repeat(count) > 2) | split
+    keep = (a != b) & (ok | many)
+    a, b, ok, many = a[keep], b[keep], ok[keep], many[keep]
+    pairs = pd.DataFrame({"a": cid[a], "b": cid[b], "ok": ok.astype(np.int32), "many": many.astype(np.int32)})
+    return pairs.groupby(["a", "b"], as_index=False).agg({"ok": "sum", "many": "max"})
+
+
+def _in_doubt(frame: pd.DataFrame) -> pd.DataFrame:
+    """(a, cid) of the columns of this block whose rows lie in several components: their smallest class, and each row with
+    one of another component and a size that may link. A piece of long columns is given rows of two components, if the whole column has
+    them, and all its rows are taken."""
+    key, cid, n, _, comp = _columns(frame, ("comp", "<i8"))
+    if not len(key):
+        return pd.DataFrame({"a": cid, "cid": cid})
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    count = np.diff(np.append(first, len(key)))
+    column = np.repeat(np.arange(len(first)), count)
+    several = (np.minimum.reduceat(comp, first) != np.maximum.reduceat(comp, first))[column]
+    keep = np.flatnonzero(several)
+    a = cid[first][column]
+    if int(frame["piece"].iloc[0]) < 0:
+        keep = keep[np.lexsort((n[keep], column[keep]))]
+        own, size = column[keep] << 32, n[keep]
+        changes = np.cumsum(np.concatenate([[0], (comp[keep][1:] != comp[keep][:-1]) | (own[1:] != own[:-1])])) if len(keep) else own
+        low = np.searchsorted(own + size, own - (-PART * size // WHOLE))
+        high = np.searchsorted(own + size, own + WHOLE * size // PART, side="right") - 1
+        keep = keep[changes[high] > changes[low]]
+    return pd.DataFrame({"a": a[keep], "cid": cid[keep]}).drop_duplicates()
 
 
 def sketch_of(row: np.ndarray) -> bytes:
@@ -305,34 +373,47 @@ def may_link(x: np.ndarray, y: np.ndarray, a, b):
 
 
 def _around(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs (a, b) of rows of different components that the sketches leave possible, among rows around one class `at`; of
-    two different pieces, only pairs between them."""
+    """Pairs (at, a, b) of rows that the sketches leave possible and that connect the components of the rows around one class `at`, as a
+    forest; of two different pieces, only pairs between them. Pairs in `no` failed before."""
     i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
     frame = frame.sort_values(["at", "n", "cid"])
     around, cid, comp, n, piece = (frame[c].to_numpy().astype(np.int64) for c in ("at", "cid", "comp", "n", "piece"))
-    sketch = frame["sketch"].tolist()
+    sketch, no = frame["sketch"].tolist(), frame["no"].tolist()
     width = np.array([len(x) // 8 for x in sketch])
-    found = [(np.zeros(0, dtype=np.int64),) * 2]
+    found: list[tuple[int, int, int]] = []
+    # Components by class `at`; joined ones get one number.
+    _, joined = np.unique(np.stack([around, comp]), axis=1, return_inverse=True)
+    joined = joined.ravel()
     # Runs of one class and one width; the rows of twice the width follow them, since sizes that may link differ by less.
     edges = np.append(np.flatnonzero(np.diff(around, prepend=~around[:1]) | np.diff(width, prepend=~width[:1])), len(around)).tolist()
-    for at, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-        w, end = int(width[a]), b
-        x = np.frombuffer(b"".join(sketch[a:b]), dtype="<u8").reshape(-1, w)
-        if b < len(around) and around[b] == around[a] and width[b] == 2 * w:
-            end = edges[at + 2]
-            x = np.vstack([x, folded(np.frombuffer(b"".join(sketch[b:end]), dtype="<u8").reshape(-1, 2 * w))])
-        last = np.searchsorted(n[a:end], n[a:b] * WHOLE // PART, side="right").tolist()
-        for r in range(a, b):
-            to = np.arange(r + 1, max(r + 1, a + last[r - a]))
-            keep = comp[to] != comp[r]
-            if i != j:
-                keep &= piece[to] != piece[r]
-            to = to[keep]
-            if len(to):
-                to = to[may_link(x[to - a], x[r - a], n[to], n[r])]
-                found.append((np.minimum(cid[to], cid[r]), np.maximum(cid[to], cid[r])))
-    low, high = (np.concatenate(x) for x in zip(*found))
-    return pd.DataFrame({"a": low, "b": high}).drop_duplicates()
+    for slack in (SAFE, 0.0):  # what is surely similar first: of the rest less is left to try, and less fails
+        for at, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+            w, end = int(width[a]), b
+            x = np.frombuffer(b"".join(sketch[a:b]), dtype="<u8").reshape(-1, w)
+            if b < len(around) and around[b] == around[a] and width[b] == 2 * w:
+                end = edges[at + 2]
+                x = np.vstack([x, folded(np.frombuffer(b"".join(sketch[b:end]), dtype="<u8").reshape(-1, 2 * w))])
+            last = np.searchsorted(n[a:end], n[a:b] * WHOLE // PART, side="right").tolist()
+            for r in range(a, b):
+                to = np.arange(r + 1, max(r + 1, a + last[r - a]))
+                keep = joined[to] != joined[r]
+                if i != j:
+                    keep &= piece[to] != piece[r]
+                to = to[keep]
+                if not len(to):
+                    continue
+                differ = np.bitwise_count(x[to - a] ^ x[r - a]).sum(axis=-1, dtype=np.int64)
+                possible = similar((n[to] + n[r] - np.ceil(differ * (1 + slack)).astype(np.int64)) // 2, n[to], n[r])
+                if no[r] is not None and len(no[r]):
+                    possible &= ~np.isin(cid[to], no[r])
+                to, differ = to[possible], differ[possible]
+                to = to[np.argsort(differ, kind="stable")]
+                for k in np.sort(np.unique(joined[to], return_index=True)[1]).tolist():
+                    s = int(to[k])
+                    if joined[s] != joined[r]:
+                        found.append((int(around[r]), int(cid[r]), int(cid[s])))
+                        joined[joined == joined[s]] = joined[r]
+    return pd.DataFrame(found, columns=["at", "a", "b"], dtype="int64")
 
 
 def packed(row: np.ndarray) -> bytes:
@@ -426,24 +507,24 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
                     yield cid, row
 
     postings = text.mapInArrow(lambda batches: _postings(rows(batches), sketch.value, blocks, long_rows), POSTING)
-    if (level >= long_rows.bit_length() - 1).any():
+    long_columns = bool((level >= long_rows.bit_length() - 1).any())
+    if long_columns:
         least = text.mapInArrow(lambda batches: _smallest(rows(batches), sketch.value, long_rows), "key long, cid long, n int, left int")
         least = least.groupBy("key").agg(F.min(F.struct("cid", "n", "left")).alias("c")).select("key", "c.*")
         postings = postings.unionByName(least.mapInArrow(lambda batches: _to_pieces(batches, sketch.value, blocks, long_rows), POSTING))
 
-    shape = "a long, b long, ok int, open int"
-    flags = F.max("ok").alias("ok"), F.max("open").alias("open")
-    stars = postings.groupBy("block", "piece").applyInPandas(_pairs, shape)
-    stars = materialize(stars.groupBy("a", "b").agg(*flags), "ngram-stars")
+    stars = postings.groupBy("block", "piece").applyInPandas(_pairs, "a long, b long, ok int, many int")
+    stars = materialize(stars.groupBy("a", "b").agg(F.sum("ok").alias("ok"), F.max("many").alias("many")), "ngram-stars")
 
-    def of_classes(pairs: DataFrame, name: str, kind: str, value) -> DataFrame:
-        """(cid, n, value of the row) of the classes in pairs; a bitmap of fixed size spares most others."""
+    def of_classes(pairs: DataFrame, name: str, values: dict[str, Callable[[int, np.ndarray], bytes]]) -> DataFrame:
+        """(cid, n, values of the row) of the classes in pairs; a bitmap of fixed size spares most others."""
         marks = np.zeros(MARKS, dtype=bool)
         both = pairs.select(F.col("a").alias("cid")).union(pairs.select("b"))
         marks[both.select(F.pmod("cid", F.lit(MARKS)).alias("m")).distinct().toPandas()["m"].to_numpy(dtype=np.int64)] = True
         marked = spark.sparkContext.broadcast(marks)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget()
             hasher, seen, wanted = Hasher(), set(), marked.value
             for batch in in_chunks(batches, "_text", HASH_BYTES):
                 own = []
@@ -453,37 +534,75 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
                         if len(seen) >= SEEN:
                             seen.clear()
                         seen.add(cid)
-                        own.append((cid, len(row), value(row)))
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in own], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))],
-                                                 ["cid", "n", kind])
+                        own.append((cid, len(row), *(f(cid, row) for f in values.values())))
+                kinds = (pa.int64(), pa.int64(), *(pa.binary() for _ in values))
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in own], t) for k, t in enumerate(kinds)], ["cid", "n", *values])
 
-        found = text.mapInArrow(run, f"cid long, n long, {kind} binary").groupBy("cid").agg(F.first("n").alias("n"), F.first(kind).alias(kind))
+        found = text.mapInArrow(run, ", ".join(["cid long, n long", *(f"{k} binary" for k in values)])).groupBy("cid").agg(
+            F.first("n").alias("n"), *(F.first(k).alias(k) for k in values))
         return materialize(found, name)
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return materialize(_linked(pairs, of_classes(pairs, "ngram-sets", "row", packed)), "ngram-links")
-
-    # Each class with the smallest possible one of its columns first; most groups are connected by that.
-    sketches = of_classes(stars, "ngram-sketches", "sketch", sketch_of)
-    possible = _possible(stars.where("ok = 1"), sketches)
-    tried = materialize(possible.groupBy("b").agg(F.min("a").alias("a")), "ngram-tried")
-    links = linked(tried)
+        return materialize(_linked(pairs, of_classes(pairs, "ngram-sets", {"row": lambda _, row: packed(row)})), "ngram-links")
+
+    # Each class with two others first; most groups are connected by that.
+    kept = of_classes(stars, "ngram-sketches", {
+        "sketch": lambda _, row: sketch_of(row), "first": lambda cid, row: _first(cid, row, sketch.value)[0].tobytes()})
+    best = stars.where("ok > 0").groupBy("b").agg(F.min("a").alias("_low"), F.max(F.struct("ok", "a")).alias("_most"))
+    tried = best.select("b", F.explode(F.array_distinct(F.array("_low", "_most.a"))).alias("a")).select("a", "b")
+    links = linked(materialize(_possible(tried, kept), "ngram-tried"))
     comps = materialize(components(links), "ngram-components")
 
-    # Smallest classes around which there are several components yet, with all rows around them, in pieces.
-    around = stars.select("a", F.col("b").alias("cid")).union(stars.select("a", F.col("a").alias("cid")).distinct())
-    around = materialize(around.join(comps, "cid", "left").select("a", "cid", F.coalesce("comp", "cid").alias("comp")), "ngram-around")
-    doubt = around.groupBy("a").agg(F.count("*").alias("rows"), F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low <> _high")
-    doubt = doubt.select("a", F.ceil(F.col("rows") / PIECE_ROWS).cast("int").alias("pieces"))
-    # Small ones share a task's step; a bucket has about as many rows as a piece.
-    buckets = max(8, around.count() // PIECE_ROWS)
-    dealt = around.join(doubt, "a").join(sketches, "cid").withColumn("piece", F.pmod(F.xxhash64("cid"), "pieces").cast("int"))
-    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
-        F.pmod(F.xxhash64("a"), F.lit(buckets)).alias("bucket"), F.least("piece", "_other").alias("i"), F.greatest("piece", "_other").alias("j"),
-        F.col("a").alias("at"), "cid", "comp", "n", "piece", "sketch")
-    others = dealt.groupBy("bucket", "i", "j").applyInPandas(_around, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
-    more = linked(materialize(others, "ngram-others"))
-    comps = materialize(components(links.unionByName(more)), "ngram-components")
+    # Rows around the smallest class of columns that lie in several components yet.
+    def placed_rows(*columns: str) -> DataFrame:
+        return kept.select("cid", "n", *columns).join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+
+    dealt = placed_rows("first").mapInArrow(lambda batches: _doubt_postings(batches, sketch.value, blocks, long_rows), DOUBT_POSTING)
+    if long_columns:
+        ends = placed_rows("first").mapInArrow(lambda batches: _doubt_ends(batches, sketch.value, long_rows), "key long, cid long, n int, left int, comp long")
+        ends = ends.groupBy("key").agg(*(F.min(F.struct(*x, "cid", "n", "left", "comp")).alias(f"e{k}") for k, x in enumerate(
+            ([], [F.col("comp").alias("o")], [(-F.col("comp")).alias("o")]))))
+        ends = ends.select("key", F.explode(F.array(*(F.struct(*(F.col(f"e{k}.{c}").alias(c) for c in ("cid", "n", "left", "comp"))) for k in range(3)))).alias("e"))
+        dealt = dealt.unionByName(ends.select("key", "e.*").mapInArrow(lambda batches: _to_pieces(batches, sketch.value, blocks, long_rows), DOUBT_POSTING))
+    around = dealt.groupBy("block", "piece").applyInPandas(_in_doubt, "a long, cid long").distinct()
+    around = materialize(around, "ngram-around")
+
+    now, across, failed = around, False, None
+    while True:
+        rows_at = now.join(placed_rows(F.octet_length("sketch").alias("bytes")), "cid").select("a", "cid", "comp", "bytes")
+        pieces = F.greatest(F.ceil(F.sum("bytes") / PIECE_BYTES), F.ceil(F.count("*") / PIECE_ROWS)).cast("int")
+        doubt = rows_at.groupBy("a").agg(pieces.alias("pieces"), F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("rows"))
+        doubt = materialize(doubt.where("_low <> _high" + (" AND pieces > 1" if across else "")), "ngram-doubt")
+        again = None
+        if size := doubt.agg(F.sum("rows")).first()[0]:
+            # Small ones share a task's step; a bucket has about as many rows as a piece.
+            buckets = max(8, size // PIECE_ROWS)
+            salted = doubt.select("a", "pieces", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+            own = now.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int")).join(salted, ["a", "salt"]).drop("salt")
+            own = own.join(placed_rows("sketch"), "cid").withColumn("piece", F.pmod(F.xxhash64("cid", F.lit("piece")), "pieces").cast("int"))
+            own = own.join(failed, "cid", "left") if failed is not None else own.withColumn("no", F.lit(None).cast("array<bigint>"))
+            other = F.filter(F.sequence(F.lit(0), F.col("pieces") - 1), lambda k: k != F.col("piece")) if across else F.array("piece")
+            own = own.withColumn("_other", F.explode(other)).select(
+                F.pmod(F.xxhash64("a"), F.lit(buckets)).alias("bucket"), F.least("piece", "_other").alias("i"), F.greatest("piece", "_other").alias("j"),
+                F.col("a").alias("at"), "cid", "comp", "n", "piece", "sketch", "no")
+            found = materialize(own.groupBy("bucket", "i", "j").applyInPandas(_around, "at long, a long, b long"), "ngram-others")
+            if not found.isEmpty():
+                good = linked(materialize(found.select("a", "b").distinct(), "ngram-others"))
+                bad = materialize(found.join(good, ["a", "b"], "left_anti"), "ngram-failed")
+                links = links.unionByName(good)
+                comps = materialize(components(links), "ngram-components")
+                if not bad.isEmpty():
+                    # Once more around the smallest classes of the pairs that failed, without these.
+                    both = bad.select(F.col("a").alias("cid"), "b").union(bad.select("b", "a"))
+                    both = both if failed is None else both.union(failed.select("cid", F.explode("no")))
+                    failed = materialize(both.groupBy("cid").agg(F.collect_set("b").alias("no")), "ngram-failed")
+                    again = now.join(bad.select(F.col("at").alias("a")).distinct(), "a", "left_semi")
+        if again is not None:
+            now = again
+        elif across:
+            break
+        else:
+            now, across = around, True
 
     placed = classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     lowest = placed.groupBy("comp").agg(F.min("low").alias("component_id"))
