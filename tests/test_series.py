@@ -157,3 +157,22 @@ def test_results_do_not_depend_on_partitions(spark, sf):
         got = sorted(map(tuple, anomaly.detect_anomalies(base.repartition(n)).collect()))
         want = want or got
         assert got == want
+
+
+@pytest.mark.parametrize("tie", [("volume", "close_price"), ()])
+def test_one_second_of_a_hot_series_is_cut(spark, tie):
+    """More rows at one time than a piece may hold: ranges of the tie column, or of the rows' hash, are the pieces."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(5_000).select(
+        F.lit("HOT").alias("ticker"), F.timestamp_seconds(F.lit(1_700_000_000) + F.when(F.col("id") < 4_000, 0).otherwise(F.col("id") % 3)).alias("trade_date"),
+        (100 + F.col("id") * 7919 % 1000 / 10).alias("close_price"), F.when(F.col("id") % 50 > 0, (F.col("id") * 104729 % 5000).cast("double")).alias("volume"),
+        F.lit(1.0).alias("high_price"), F.lit(0.5).alias("low_price"))
+    cut = series.split_hot(rows, "ticker", "trade_date", 20, 500, "hour", tie)
+    sizes = {r["_piece"]: r["n"] for r in cut.filter("NOT _copy").groupBy("_piece").agg(F.count("*").alias("n")).collect()}
+    assert len(sizes) >= 8 and sum(sizes.values()) == 5_000 and max(sizes.values()) <= 1_000
+    if tie:
+        plain = series.features(rows, tie=tie)
+        split = series.features(rows, hot_rows=500, tie=tie)
+        key = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.fillna(-1.0).collect())
+        assert split.columns == plain.columns and key(split) == key(plain)

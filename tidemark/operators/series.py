@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.session import materialize
 
 KEY, ORDER = "ticker", "trade_date"
 
@@ -28,27 +29,69 @@ def last_rows(spec, n: int):
     return spec.rowsBetween(-(n - 1), 0)
 
 
-def split_hot(df: DataFrame, key: str, order: str, look_back: int, hot_rows: int, grain: str) -> DataFrame:
+#: Cuts that a time with more than hot_rows rows gets for each hot_rows of them.
+SLOTS = 4
+
+
+def _counted(rows: DataFrame, by: list[str], part: str, hot_rows: int, name: str) -> DataFrame:
+    """Counts of `part` within `by`, with the rows of the key before (`_before`) and up to (`_after`) each of them."""
+    first = "_from" not in rows.columns
+    spec = Window.partitionBy(*by)
+    counts = rows.groupBy(*by, part, *([] if first else ["_from"])).agg(F.count("*").alias("_n"))
+    so_far = F.sum("_n").over(spec.orderBy(part).rowsBetween(Window.unboundedPreceding, 0)) + (F.lit(0) if first else F.col("_from"))
+    out = counts.withColumns({"_after": so_far, "_total": F.sum("_n").over(spec)}).withColumn("_before", F.col("_after") - F.col("_n"))
+    return materialize(out.filter(F.col("_total") > hot_rows).select(*by, part, "_n", "_before", "_after"), name)
+
+
+def split_hot(df: DataFrame, key: str, order: str, look_back: int, hot_rows: int, grain: str, tie: tuple[str, ...] = ()) -> DataFrame:
     """Tag rows with a piece number; look-back copies carry `_copy = true`.
 
-    Only per-(key, period) counts are windowed: their number is bounded by the
-    calendar. Keys below `hot_rows` are not in the map and stay one piece.
+    Cuts come from counts that are refined level by level: per period, in periods of more than `hot_rows` rows per second, in such
+    seconds per time stamp, and at one time stamp per range of the first tie column (of the rows' hash `_rank`, if there is no
+    tie). Each window over counts is bounded by the calendar or by the number of ranges. Keys below `hot_rows` are not in the map
+    and stay one piece. Small jobs run when this is called, one for each level that is needed.
     """
     if look_back > hot_rows:
         raise ValueError("hot_rows must be at least the look-back")
-    tagged = df.withColumn("_period", F.date_trunc(grain, F.col(order).cast("timestamp")))
-    by_time = Window.partitionBy(key).orderBy("_period")
-    counts = (
-        tagged.groupBy(key, "_period").agg(F.count("*").alias("_n"))
-        .select(
-            key, "_period", "_n",
-            F.sum("_n").over(by_time.rowsBetween(Window.unboundedPreceding, 0)).alias("_after"),
-            F.sum("_n").over(Window.partitionBy(key)).alias("_total"),
-        )
-        .filter(F.col("_total") > hot_rows)
-        .withColumn("_before", F.col("_after") - F.col("_n"))
-        .withColumn("_piece", F.floor(F.col("_before") / hot_rows))
-    )
+    time = F.col(order).cast("timestamp")
+    rows = df.withColumns({"_l0": F.date_trunc(grain, time), "_l1": F.date_trunc("second", time), "_l2": time})
+    if not tie:
+        rows = rows.withColumn("_rank", F.xxhash64(*df.columns))
+    rank = F.col(tie[0] if tie else "_rank").cast("double")
+
+    def within(levels: DataFrame, by: str) -> DataFrame:
+        """Rows of the parts that are too big, with the rows before the part."""
+        return rows.join(levels.filter(F.col("_n") > hot_rows).select(key, by, F.col("_before").alias("_from")), [key, by])
+
+    levels = [_counted(rows, [key], "_l0", hot_rows, "hot-periods")]
+    for k in (1, 2):
+        if levels[-1].filter(F.col("_n") > hot_rows).isEmpty():
+            break
+        levels.append(_counted(within(levels[-1], f"_l{k - 1}"), [key, f"_l{k - 1}"], f"_l{k}", 0, "hot-times"))
+    slots = None
+    if len(levels) == 3 and not levels[2].filter(F.col("_n") > hot_rows).isEmpty():
+        big = within(levels[2], "_l2").withColumn("_v", rank)
+        most = int(levels[2].agg(F.max("_n")).first()[0]) * SLOTS // hot_rows
+        shares = F.array(*(F.lit(x / (most + 1)) for x in range(1, most + 1)))
+        bounds = materialize(big.groupBy(key, "_l2").agg(F.array_distinct(F.percentile_approx("_v", shares, F.lit(10_000))).alias("_bounds")), "hot-bounds")
+        # Nulls come first, as in the window's order.
+        slot = F.when(F.col("_v").isNull(), 0).otherwise(1 + F.size(F.filter("_bounds", lambda x: x < F.col("_v"))))
+        rows = rows.join(bounds, [key, "_l2"], "left").withColumn("_v", rank)
+        rows = rows.withColumn("_slot", F.when(F.col("_bounds").isNotNull(), slot)).drop("_bounds", "_v")
+        slots = _counted(within(levels[2], "_l2").where("_slot IS NOT NULL"), [key, "_l2"], "_slot", 0, "hot-slots")
+
+    # Every row lies in one cell: a part that is small enough, or one that cannot be refined.
+    cells = []
+    for k, level in enumerate(levels):
+        refined = k + 1 < len(levels) or slots is not None
+        own = level.filter(F.col("_n") <= hot_rows) if refined else level
+        cells.append(own.select(key, F.lit(k).alias("_level"), F.col(f"_l{k}").alias("_t"), F.lit(None).cast("int").alias("_slot"), "_before", "_after"))
+    if slots is not None:
+        cells.append(slots.select(key, F.lit(3).alias("_level"), F.col("_l2").alias("_t"), "_slot", "_before", "_after"))
+    counts = cells[0]
+    for more in cells[1:]:
+        counts = counts.unionByName(more)
+    counts = counts.withColumn("_piece", F.floor(F.col("_before") / hot_rows))
     pieces = Window.partitionBy(key).orderBy("_piece")
     starts = (
         counts.groupBy(key, "_piece").agg(F.min("_before").alias("_start"))
@@ -64,13 +107,18 @@ def split_hot(df: DataFrame, key: str, order: str, look_back: int, hot_rows: int
         F.array(F.struct(F.col("_piece").alias("piece"), F.lit(False).alias("copy"))),
         F.transform(reach, lambda x: F.struct(x["piece"].alias("piece"), F.lit(True).alias("copy"))),
     )
-    where = counts.join(starts, [key, "_piece"]).select(key, "_period", targets.alias("_targets"))
+    where = materialize(counts.join(starts, [key, "_piece"]).select(key, "_level", "_t", "_slot", targets.alias("_targets")), "hot-pieces")
+    found = []
+    for k in range(len(cells)):
+        at, more = ("_l2", ["_slot"]) if k == 3 else (f"_l{k}", [])
+        own = where.filter(F.col("_level") == k).select(key, F.col("_t").alias(at), *more, F.col("_targets").alias(f"_targets{k}"))
+        rows = rows.join(own, [key, at, *more], "left")
+        found.append(f"_targets{k}")
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("piece"), F.lit(False).alias("copy")))
     return (
-        tagged.join(where, [key, "_period"], "left")
-        .withColumn("_target", F.explode(F.coalesce("_targets", whole)))
+        rows.withColumn("_target", F.explode(F.coalesce(*found, whole)))
         .withColumns({"_piece": F.col("_target.piece"), "_copy": F.col("_target.copy")})
-        .drop("_period", "_targets", "_target")
+        .drop("_l0", "_l1", "_l2", "_slot", "_target", *found)
     )
 
 
@@ -92,12 +140,13 @@ def over_series(
     """
     parts, source = (key,), df
     if hot_rows is not None:
-        parts, source = (key, "_piece"), split_hot(df, key, order, look_back, hot_rows, grain)
+        parts, source = (key, "_piece"), split_hot(df, key, order, look_back, hot_rows, grain, tie)
+        tie = tie or ("_rank",)
     spec = series(*parts, order=order, tie=tie)
     for level in columns(spec):
         source = source.select("*", *level)
     if hot_rows is not None:
-        source = source.filter(~F.col("_copy")).drop("_piece", "_copy")
+        source = source.filter(~F.col("_copy")).drop("_piece", "_copy", "_rank")
     return source
 
 

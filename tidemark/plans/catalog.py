@@ -117,7 +117,7 @@ def moving_averages(spark, d):
 @query
 def intraday_features(spark, d):
     """Features of an intraday series, cut into pieces where a key is hot."""
-    out = series.features(fx.intraday(spark, d), hot_rows=1_000_000)
+    out = series.features(fx.intraday(spark, d), hot_rows=30)
     return publish(out, "ticker", "trade_date", "daily_return", "volatility_7d", "volume_ratio", "ma_crossover", "price_range")
 
 
@@ -205,7 +205,7 @@ def iso_forest(spark, d):
 @query
 def iso_forest_intraday(spark, d):
     """Forest over intraday series of any length, in bounded pieces."""
-    featured = series.features(fx.intraday(spark, d), hot_rows=1_000_000)
+    featured = series.features(fx.intraday(spark, d), hot_rows=30)
     return publish(forest.detect_isoforest_long(series.min_history(featured, 30), trees=50))
 
 
@@ -829,6 +829,63 @@ def read_reddit_csv(spark, d):
     return publish(out, "post_id", "subreddit", "selftext", "created_utc", "matched_tickers")
 
 
+def _raw_lines(rows: DataFrame, names: str, path: str, *fields) -> None:
+    """CSV as another program writes it: text fields quoted, line ends inside them, and nothing checked."""
+    quoted = [F.concat(F.lit('"'), F.replace(f, F.lit('"'), F.lit('""')), F.lit('"')) if isinstance(f, F.Column) else F.col(f) for f in fields]
+    lines = rows.select(F.concat_ws(",", *quoted).alias("line")).withColumns({"file": F.pmod(F.xxhash64("line"), F.lit(4)), "at": F.lit(1)})
+    heads = rows.sparkSession.range(4).select(F.lit(names).alias("line"), F.col("id").alias("file"), F.lit(0).alias("at"))
+    # One file each, its header first.
+    lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "at").select("line", "file").write.partitionBy("file").text(path)
+
+
+def _turns_landing(spark, d):
+    """Conversations in two layouts; of every ten turns one has a field too many and one a turn that is no number."""
+    path, turns = f"{shared_folder(spark)}/turns {uuid.uuid4().hex}", fx.table(spark, d, "conversations")
+    kind = (F.col("conv_id") * 7 + F.col("turn")) % 10
+    turn = F.when(kind == 3, F.concat(F.lit("no "), "turn")).otherwise(F.col("turn").cast("string"))
+    rows = turns.withColumns({"t": turn, "more": F.when(kind == 5, F.lit("one,more"))})
+    text, first = F.concat(F.lit('say "'), "role", F.lit('", '), "text"), F.col("conv_id") % 2 == 0
+    _raw_lines(rows.where(first), "conv_id,turn,text", f"{path}/a, b", "conv_id", "t", text, "more")
+    _raw_lines(rows.where(~first), '"Text", TURN ,Conv_ID', f"{path}/c", text, "t", "conv_id", "more")
+    return f"{path}/*/*"
+
+
+TURNS = "conv_id long, turn int, text string"
+
+
+@query
+def read_dir_bad_lines(spark, d):
+    """Sound records by header name, rejected ones with their reason, from one reading."""
+    good, rejects = readers.read_dir_parts(spark, _turns_landing(spark, d), TURNS)
+    size = F.length("text").alias("size")
+    sound = good.select(F.lit("sound").alias("kind"), "conv_id", "turn", F.md5("text").alias("digest"), size)
+    out = rejects.select(F.col("reason").alias("kind"), F.lit(None).cast("long").alias("conv_id"), F.lit(None).cast("int").alias("turn"),
+                         F.md5("record").alias("digest"), F.length("record").alias("size"))
+    return publish(sound.unionByName(out))
+
+
+@query
+def read_or_empty(spark, d):
+    """A stored CSV table with skipped malformed records, a stored Parquet table, and one that is not there."""
+    path, parts = _turns_landing(spark, d), f"{shared_folder(spark)}/part-{uuid.uuid4().hex}"
+    sinks.write_dataset(fx.table(spark, d, "part").select("p_partkey", "p_name"), parts)
+    return publish(readers.read_or_empty(spark, path, TURNS, "csv").agg(
+        F.count("*").alias("turns"), F.sum("turn").alias("total"), F.count("text").alias("texts")).crossJoin(
+        readers.read_or_empty(spark, parts, "p_partkey long, p_name string").agg(F.count("*").alias("parts"), F.max("p_name").alias("last"))).crossJoin(
+        readers.read_or_empty(spark, parts + "-none", "p_partkey long").agg(F.count("*").alias("none"))))
+
+
+@query
+def read_first_available(spark, d):
+    """Of a missing folder, one without rows and two with rows the third."""
+    path = f"{shared_folder(spark)}/first-{uuid.uuid4().hex}"
+    parts = fx.table(spark, d, "part").select("p_partkey", "p_name", "p_type")
+    sinks.write_dataset(parts.limit(0), f"{path}/empty", fmt="csv")
+    sinks.write_dataset(parts.where("p_partkey % 2 = 0"), f"{path}/even", fmt="csv")
+    sinks.write_dataset(parts.where("p_partkey % 2 = 1"), f"{path}/odd", fmt="csv")
+    return publish(readers.read_first_available(spark, [f"{path}/{k}" for k in ("missing", "empty", "even", "odd")]))
+
+
 @query
 def read_ticker(spark, d):
     """Point load of one symbol from a dataset partitioned by year; ticker filter and columns reach the scan."""
@@ -863,7 +920,7 @@ def anomaly_job(spark, d):
 def anomaly_job_intraday(spark, d):
     """Several bars per ticker and day, of which every one counts."""
     paths = _landing(spark, d, "intraday")
-    out = jobs.run_anomalies(spark, paths, folder="prices/*", hot_rows=5_000)
+    out = jobs.run_anomalies(spark, paths, folder="prices/*", hot_rows=30)
     return publish(out["anomalies"], *ANOMALY_COLUMNS, "sentiment_avg", "anomaly_ts")
 
 
@@ -877,14 +934,14 @@ def momentum_job(spark, d):
 @query
 def strict_anomaly_job_intraday(spark, d):
     """Isolation forest over landed intraday bars, in pieces."""
-    out = jobs.run_anomalies(spark, _landing(spark, d, "intraday"), True, 50, "prices/*", 5_000)
+    out = jobs.run_anomalies(spark, _landing(spark, d, "intraday"), True, 50, "prices/*", 30)
     return publish(out["anomalies"], *ANOMALY_COLUMNS, "sentiment_avg", "anomaly_ts")
 
 
 @query
 def momentum_job_intraday(spark, d):
     paths = _landing(spark, d, "intraday")
-    out = jobs.run_momentum(spark, paths, fx.intraday_dim(spark, d), "2024-01-01T00:00:00", folder="prices/*", hot_rows=5_000)
+    out = jobs.run_momentum(spark, paths, fx.intraday_dim(spark, d), "2024-01-01T00:00:00", folder="prices/*", hot_rows=30)
     return publish(out["momentum"], *MOMENTUM_COLUMNS)
 
 

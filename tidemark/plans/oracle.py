@@ -416,6 +416,17 @@ def oracle() -> dict[str, str]:
                                 "open_price high_price low_price close_price volume", "trade_date")
     q["read_news_csv"] = _sql("SELECT link, source, trim(title) AS title, nullif(trim(summary), '') AS summary, published_date, matched_tickers FROM fx_news_refetched", "", "published_date")
     q["read_reddit_csv"] = _sql("SELECT post_id, subreddit, trim(selftext) AS selftext, created_utc, matched_tickers FROM fx_posts", "", "created_utc")
+    kind, text = "(conv_id * 7 + turn) % 10", "('say \"' || role || '\", ' || text)"
+    quoted = f"'\"' || replace({text}, '\"', '\"\"') || '\"'"
+    bad = f"CASE {kind} WHEN 3 THEN 'no ' || turn ELSE CAST(turn AS VARCHAR) END"
+    line = f"""CASE WHEN conv_id % 2 = 0 THEN conv_id || ',' || {bad} || ',' || {quoted} ELSE {quoted} || ',' || {bad} || ',' || conv_id END
+      || CASE WHEN {kind} = 5 THEN ',one,more' ELSE '' END"""
+    q["read_dir_bad_lines"] = f"""SELECT 'sound' AS kind, conv_id, turn, md5(trim({text})) AS digest, length(trim({text})) AS size
+        FROM conversations WHERE {kind} NOT IN (3, 5)
+      UNION ALL SELECT CASE {kind} WHEN 3 THEN 'turn' ELSE 'number of fields' END, NULL, NULL, md5({line}), length({line}) FROM conversations WHERE {kind} IN (3, 5)"""
+    q["read_or_empty"] = f"""SELECT * FROM (SELECT count(*) AS turns, CAST(sum(turn) AS BIGINT) AS total, count(text) AS texts FROM conversations WHERE {kind} NOT IN (3, 5)),
+      (SELECT count(*) AS parts, max(p_name) AS last FROM part), (SELECT CAST(0 AS BIGINT) AS none)"""
+    q["read_first_available"] = "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_type FROM part WHERE p_partkey % 2 = 0"
     q["read_ticker"] = _sql(f"SELECT {bar}, close_price, year(trade_date) AS year FROM fx_bars WHERE ticker = 'S1'", "close_price", "trade_date")
     q["etl_job"] = _sql(f"""SELECT n.ticker, n.published_date AS event_date, n.source AS news_source, trim(n.title) AS headline, nullif(trim(n.summary), '') AS summary,
         p.close_price, p.volume, p.high_price, p.low_price FROM {join.format('')}""", "close_price volume high_price low_price", "event_date")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark import schema
 from tidemark.functions import clean as C
-from tidemark.operators.clean import apply_aliases, union_all
+from tidemark.operators.clean import apply_aliases
+from tidemark.session import materialize
+from tidemark.sources import csvlines
 
 # Headers of the landed files, by table column.
 PRICE_HEADERS = {
@@ -24,43 +26,16 @@ NEWS_HEADERS = {
 # Fixed values end.
 
 
-def _csv(spark: SparkSession, multi_line: bool = False, **options):
-    # Only text columns need multi-line records; without them big files stay splittable.
-    return spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, **options)
-
-
-def _header_groups(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files of a CSV directory by their header line.
-
-    One job finds the first line of every file; what reaches the driver is a
-    line per file, like the file listing that Spark itself keeps there.
-    """
-    lines = spark.read.text(path).filter(F.col("_metadata.file_block_start") == 0).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in first.collect():
-        names = tuple(h.strip().strip('"') for h in row.header.lstrip("\ufeff").rstrip("\r").split(","))
-        groups.setdefault(names, []).append(row.file)
-    return groups
-
-
 def read_named(spark: SparkSession, path: str, aliases: dict, uniform: bool = False, **options) -> DataFrame:
-    """CSV directory as strings under the table's column names.
+    """CSV folder as strings under the table's column names, bound by each file's own header.
 
-    Files whose headers differ are read per header and united by name. That
-    reads the landing files once more; `uniform=True` trusts one header for all.
+    `uniform=True` trusts one header for all files and records of one line, and leaves the parsing to Spark's reader.
     """
-    groups = [[path]] if uniform else [files for _, files in sorted(_header_groups(spark, path).items())]
-    frames = []
-    for files in groups:
-        raw = apply_aliases(_csv(spark, **options).csv(files), aliases)
-        frames.append(raw.select(*[
-            F.trim(F.col(c)).alias(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in aliases
-        ]))
-    if not frames:
-        return spark.createDataFrame([], ", ".join(f"{c} string" for c in aliases))
-    return union_all(frames)
+    if not uniform:
+        return csvlines.read_csv(spark, path, aliases, **options).select(*aliases)
+    raw = apply_aliases(spark.read.options(header=True, quote='"', escape='"', **options).csv(path), aliases)
+    return raw.select(*[
+        F.trim(F.col(c)).alias(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in aliases])
 
 
 def read_prices(spark: SparkSession, path: str, uniform: bool = False) -> DataFrame:
@@ -77,13 +52,13 @@ def read_prices(spark: SparkSession, path: str, uniform: bool = False) -> DataFr
 
 
 def read_news(spark: SparkSession, path: str) -> DataFrame:
-    raw = read_named(spark, path, NEWS_HEADERS, multi_line=True)
+    raw = read_named(spark, path, NEWS_HEADERS)
     return raw.withColumn("published_date", F.to_date(C.to_naive_ts(F.col("published_date"))))
 
 
 def read_reddit(spark: SparkSession, path: str) -> DataFrame:
     columns = [f.split()[0] for f in schema.REDDIT.split(", ")]
-    raw = read_named(spark, path, {c: (c,) for c in columns}, multi_line=True)
+    raw = read_named(spark, path, {c: (c,) for c in columns})
     return raw.withColumns({
         "score": F.col("score").try_cast("int"), "upvote_ratio": C.number(F.col("upvote_ratio")),
         "num_comments": F.col("num_comments").try_cast("int"),
@@ -101,20 +76,42 @@ def exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
 def read_or_empty(spark: SparkSession, path: str, layout: str, fmt: str = "parquet") -> DataFrame:
     """Stored table, or a typed empty frame where there is none yet."""
     try:
-        return spark.read.schema(layout).format(fmt).option("header", True).load(path)
+        if fmt == "csv":
+            return read_dir(spark, path, layout)
+        return spark.read.schema(layout).format(fmt).load(path)
     except AnalysisException:
         return spark.createDataFrame([], layout)
 
 
+def _checked(spark: SparkSession, path: str, layout: str | None, ignore_corrupt: bool) -> tuple[DataFrame, list[str]]:
+    names = None if layout is None else [c.strip().split()[0] for c in layout.split(",")]
+    rows = csvlines.read_csv(spark, path, None if names is None else {c: (c.lower(),) for c in names}, ignoreCorruptFiles=ignore_corrupt)
+    names = names or rows.columns[:-3]
+    return csvlines.typed(rows, layout or ", ".join(f"{c} string" for c in names)), names
+
+
 def read_dir(spark: SparkSession, path: str, layout: str | None = None, ignore_corrupt: bool = True,
              bad_lines: str = "skip") -> DataFrame:
-    """All CSV files of a directory. Unreadable files are skipped; malformed lines
-    are skipped, kept in `_corrupt_record` ("keep") or an error ("fail")."""
-    mode = {"skip": "DROPMALFORMED", "keep": "PERMISSIVE", "fail": "FAILFAST"}[bad_lines]
-    reader = _csv(spark, mode=mode, ignoreCorruptFiles=ignore_corrupt)
-    if layout:
-        reader = reader.schema(layout + (", _corrupt_record string" if bad_lines == "keep" else ""))
-    return reader.csv(path)
+    """All CSV files of a directory, columns by header name. Unreadable files are skipped; malformed records
+    are skipped, kept in `_corrupt_record` ("keep") or an error ("fail"), whichever columns are used later."""
+    rows, names = _checked(spark, path, layout, ignore_corrupt)
+    bad = F.col("_reason").isNotNull()
+    if bad_lines == "skip":
+        return rows.where(~bad).select(*names)
+    if bad_lines == "keep":
+        return rows.select(*names, F.when(bad, F.col("_record")).alias("_corrupt_record"))
+    if bad_lines != "fail":
+        raise ValueError(f"bad_lines: {bad_lines}")
+    stop = F.raise_error(F.concat(F.lit("malformed record ("), "_reason", F.lit("): "), "_record")).cast("boolean")
+    return rows.where(F.when(bad, stop).otherwise(True)).select(*names)
+
+
+def read_dir_parts(spark: SparkSession, path: str, layout: str, ignore_corrupt: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The sound records of a directory, and the malformed ones with file and reason, from one reading."""
+    rows, names = _checked(spark, path, layout, ignore_corrupt)
+    rows = materialize(rows, "csv-records")
+    rejects = rows.where("_reason IS NOT NULL").select(F.col("_file").alias("file"), F.col("_record").alias("record"), F.col("_reason").alias("reason"))
+    return rows.where("_reason IS NULL").select(*names), rejects
 
 
 def read_first_available(spark: SparkSession, paths: list[str], max_rows: int | None = None,
@@ -122,7 +119,7 @@ def read_first_available(spark: SparkSession, paths: list[str], max_rows: int |
     """The first location that exists and holds rows."""
     for path in paths:
         try:
-            df = spark.read.format(fmt).option("header", True).load(path)
+            df = read_dir(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
         except AnalysisException:
             continue
         if not df.isEmpty():
@@ -151,5 +148,5 @@ def register_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> lis
 
 def ticker_dim(spark: SparkSession, path: str) -> DataFrame:
     """`ticker, sector` from a CSV file of symbols; exchange suffixes are removed."""
-    raw = _csv(spark).csv(path)
+    raw = csvlines.read_csv(spark, path, {c: (c,) for c in ("ticker", "sector")})
     return raw.select(C.clean_symbol(F.col("ticker")).alias("ticker"), F.trim("sector").alias("sector")).distinct()
