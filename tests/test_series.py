@@ -176,3 +176,29 @@ def test_one_second_of_a_hot_series_is_cut(spark, tie):
         split = series.features(rows, hot_rows=500, tie=tie)
         key = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.fillna(-1.0).collect())
         assert split.columns == plain.columns and key(split) == key(plain)
+
+
+@pytest.mark.parametrize("hot_rows", [None, 40])
+@pytest.mark.parametrize("same_time", [False, True])
+def test_last_before_equals_brute_force(spark, hot_rows, same_time):
+    """A hot key, ties within a side and between the sides, nulls, repeated rows."""
+    import random
+    from datetime import datetime, timedelta
+
+    from tidemark.operators import asof
+
+    draw, start = random.Random(3), datetime(2024, 1, 1)
+    times = lambda n: [start + timedelta(seconds=draw.choice([0, 1, 1, 5, 3_600]) * draw.randrange(40)) for _ in range(n)]
+    left = [(draw.choice("AAAB"), t, k) for k, t in enumerate(times(300))] + [("A", None, 900), (None, start, 901), ("C", start, 902)]
+    left += left[:3]
+    right = [(draw.choice("AAAB"), t, draw.randrange(9)) for t in times(200)] + [("A", None, 1), (None, start, 1)]
+    got = asof.last_before(spark.createDataFrame(left, "ticker string, t timestamp, n int"),
+                           spark.createDataFrame(right, "ticker string, s timestamp, v int"), "ticker", "t", "s", ("v",), same_time=same_time, hot_rows=hot_rows)
+    want = []
+    for k, t, n in left:
+        seen = [(s, v) for j, s, v in right if j == k and k and s and t and (s < t or same_time and s == t)]
+        want.append((k, t, n, *(max(seen) if seen else (None, None))))
+    key = lambda r: tuple(str(x) for x in r)
+    assert got.columns == ["ticker", "t", "n", "last_s", "last_v"] and sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Inner" not in plan or hot_rows

@@ -1,10 +1,8 @@
 """As-of join: for each row of one side the latest row of the other side before it, per key.
 
-Both sides are put into one union and every row is dealt to a piece of its key's time line. Inside a piece a window carries the last
-right row forward; over the borders of pieces only the last right row of each piece travels. So neither side is paired with the
-other, a look-back of any length costs the same, and a hot key is many pieces instead of one sort. A key's time line is cut by counts per
-period, refined from days to seconds only where a period holds too many rows; rows of one second are never cut, as they tie for
-the cut but not for the result.
+Both sides become one union, ordered in time, and a window carries the last right row forward. Neither side is paired with the
+other, so a look-back of any length costs the same. A hot key is cut into pieces of time; over the border of a piece only one right row
+travels: the last one of the pieces before.
 """
 
 from __future__ import annotations
@@ -12,31 +10,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
-
-#: Rows of a piece, about.
-PIECE_ROWS = 500_000
-GRAINS = ("day", "hour", "minute", "second")
-
-
-def time_pieces(rows: DataFrame, key: str, at: str, piece_rows: int, grains: tuple[str, ...] = GRAINS) -> DataFrame:
-    """rows with `_piece`, numbered in time for every key; a piece has about `piece_rows` rows, more only within one second."""
-    counts = rows.groupBy(key, F.date_trunc(grains[-1], at).alias("_t")).agg(F.count("*").alias("_n"))
-    for coarse, fine in zip(grains[:-1][::-1], grains[1:][::-1]):
-        # Periods that fit together become one; the others keep their finer parts.
-        period = Window.partitionBy(key, F.date_trunc(coarse, "_t"))
-        fits = F.sum("_n").over(period) <= piece_rows
-        counts = counts.withColumn("_p", F.when(fits, F.date_trunc(coarse, "_t")).otherwise(F.col("_t"))).groupBy(
-            key, F.col("_p").alias("_t")).agg(F.sum("_n").alias("_n"))
-    by_time = Window.partitionBy(key).orderBy("_t")
-    before = F.coalesce(F.sum("_n").over(by_time.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cuts = counts.select(key, "_t", F.floor(before / piece_rows).alias("_piece"))
-    cuts = materialize(cuts, "asof-cuts")
-    # A row's period is that of the coarsest grain at which the key has one.
-    tagged = rows
-    names = []
-    for k, grain in enumerate(grains):
-        own = cuts.select(F.col(key).alias("_k"), F.col("_t").alias("_at"), F.col("_piece").alias(f"_piece{k}"))
-        tagged = tagged.join(own, (F.col(key) == F.col("_k")) & (F.date_trunc(grain, at) == F.col("_at")), "left").drop("_k", "_at")
-        names.append(f"_piece{k}")
-    return tagged.withColumn("_piece", F.coalesce(*names)).drop(*names)
+from tidemark.operators.series import split_hot
+
+HOT_ROWS = 1_000_000
+
+
+def last_before(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str, values: tuple[str, ...] = (), prefix: str = "last_",
+                same_time: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """left(key, left_at, ...) with `<prefix><right_at>` and the right row's `values` at the latest right_at before left_at.
+
+    Of right rows of one key and time the one with the greatest values counts. `same_time` lets a right row of the very same time
+    count too. Rows whose key or time is null find nothing. One row comes out for each left row.
+    """
+    found = F.struct(F.col(right_at).cast("timestamp").alias("at"), *values)
+    one = right.where(F.col(key).isNotNull() & F.col(right_at).isNotNull()).groupBy(key, F.col(right_at).cast("timestamp").alias("_at")).agg(
+        F.max(found).alias("_right"))
+    kind = left.select(F.struct(*left.columns).alias("row")).schema["row"].dataType
+    own = left.select(key, F.col(left_at).cast("timestamp").alias("_at"), F.struct(*left.columns).alias("_left"))
+    none = F.lit(None).cast(one.schema["_right"].dataType)
+    # At one time the side that sorts first is seen by the other.
+    both = own.select(key, "_at", "_left", none.alias("_right"), F.lit(1.0 if same_time else 0.0).alias("_side")).unionByName(
+        one.select(key, "_at", F.lit(None).cast(kind).alias("_left"), "_right", F.lit(0.0 if same_time else 1.0).alias("_side")))
+    parts = [key]
+    if hot_rows is not None:
+        both = split_hot(both, key, "_at", 0, hot_rows, "hour", ("_side",))
+        parts.append("_piece")
+    earlier = Window.partitionBy(*parts).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    rows = both.withColumn("_seen", F.last("_right", ignorenulls=True).over(earlier))
+    if hot_rows is not None:
+        # The last right row of each piece; there are as many as pieces.
+        ends = both.where("_right IS NOT NULL").groupBy(key, "_piece").agg(F.max("_right").alias("_end"))
+        every = both.select(key, "_piece").distinct().join(ends, parts, "left")
+        before = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+        carried = every.withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).where("_carried IS NOT NULL").drop("_end")
+        rows = rows.join(carried, parts, "left").withColumn("_seen", F.coalesce("_seen", "_carried"))
+    out = [F.col("_seen.at").alias(f"{prefix}{right_at}"), *(F.col(f"_seen.{c}").alias(f"{prefix}{c}") for c in values)]
+    return rows.where("_left IS NOT NULL").select("_left.*", *out)

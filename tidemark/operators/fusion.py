@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import asof
+
 # Polarity from which a text explains an anomaly, and below which it says nothing.
 STRONG, NEUTRAL = 0.45, 0.10
 BREAKOUTS = ("volume_surge", "price_volume_spike")
@@ -76,11 +78,14 @@ def directional_accuracy(joined: DataFrame) -> DataFrame:
     )
 
 
-def sentiment_lead(events: DataFrame, anomalies: DataFrame, max_hours: int = 48) -> DataFrame:
-    """Hours from the last social post to the volume breakout it precedes."""
-    posts = events.filter(F.col("source_type") == "reddit").select("ticker", "event_ts").distinct()
+def sentiment_lead(events: DataFrame, anomalies: DataFrame, max_hours: int | None = 48, hot_rows: int | None = asof.HOT_ROWS) -> DataFrame:
+    """Hours from the last social post to the volume breakout it precedes, if it came at most `max_hours` before (None: ever)."""
+    posts = events.filter(F.col("source_type") == "reddit").select("ticker", "event_ts")
     broke = anomalies.filter(F.col("anomaly_type").isin(*BREAKOUTS)).select("ticker", "anomaly_date")
-    near = _near(broke, posts, max_hours, 0).filter(F.col("event_ts") < F.col("anomaly_date").cast("timestamp"))
+    found = asof.last_before(broke, posts, "ticker", "anomaly_date", "event_ts", hot_rows=hot_rows).withColumnRenamed("last_event_ts", "last_event")
     gap = F.unix_timestamp(F.col("anomaly_date").cast("timestamp")) - F.unix_timestamp("last_event")
-    return near.groupBy("ticker", "anomaly_date").agg(F.max("event_ts").alias("last_event")).withColumn(
-        "lead_hours", gap / 3600.0)
+    lead = found.filter(F.col("last_event").isNotNull()).withColumn("lead_hours", gap / 3600.0)
+    if max_hours is None:
+        return lead
+    first = F.col("anomaly_date").cast("timestamp") - F.make_dt_interval(hours=F.lit(max_hours))
+    return lead.filter(F.col("last_event") >= first)

@@ -254,7 +254,7 @@ def directional_accuracy(spark, d):
 @query
 def sentiment_lead(spark, d):
     stored = _anomalies(spark, d).withColumnRenamed("trade_date", "anomaly_date")
-    return publish(fusion.sentiment_lead(fx.sentiment(spark, d), stored, 24 * 90),
+    return publish(fusion.sentiment_lead(fx.sentiment(spark, d), stored, 24 * 90, hot_rows=60),
                    "ticker", "anomaly_date", "last_event", "lead_hours")
 
 

@@ -128,7 +128,8 @@ def _fields(record: Column, width: int) -> Column:
     layout = ", ".join(f"c{k} string" for k in range(width + 2))
     options = {"quote": '"', "escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1", "maxColumns": str(width + 20_480)}
     parsed = F.from_csv(F.concat(record, F.lit(f",{END}")), layout, options)
-    return F.array(*(parsed[f"c{k}"] for k in range(width + 2)))
+    # As a lambda's argument the record is parsed once, not once for each field.
+    return F.get(F.transform(F.array(parsed), lambda row: F.array(*(row[f"c{k}"] for k in range(width + 2)))), 0)
 
 
 def read_csv(spark: SparkSession, path: str, aliases: dict[str, tuple[str, ...]] | None = None, **options) -> DataFrame:
