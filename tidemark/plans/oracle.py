@@ -149,7 +149,8 @@ CTES = {
       QUALIFY row_number() OVER (PARTITION BY title, published_date ORDER BY fetched_at, link, doc_id) = 1""",
     "fx_flat_news": _explode("fx_clean_news", "*"),
     "fx_near": """SELECT a.ticker, a.anomaly_date, a.anomaly_type, a.anomaly_score, s.source_type, s.source_id, s.event_ts, s.sentiment_score
-      FROM fx_anom a JOIN fx_sentiment s ON a.ticker = s.ticker
+      FROM (SELECT *, unnest([anomaly_date - 1, anomaly_date, anomaly_date + 1]) AS day FROM fx_anom) a
+      JOIN (SELECT *, CAST(event_ts AS DATE) AS day FROM fx_sentiment) s ON a.ticker = s.ticker AND CAST(a.day AS DATE) = s.day
        AND s.event_ts BETWEEN CAST(a.anomaly_date AS TIMESTAMP) - INTERVAL 24 HOUR AND CAST(a.anomaly_date AS TIMESTAMP) + INTERVAL 24 HOUR""",
     "fx_context": """SELECT ticker, anomaly_date, n AS news_polarity, r AS retail_polarity, m AS max_polarity,
         CASE WHEN n >= 0.45 THEN 'news' WHEN r >= 0.45 THEN 'retail' WHEN coalesce(m, 0) < 0.1 THEN 'structural' ELSE 'unexplained' END AS context
@@ -195,6 +196,10 @@ CTES = {
 }
 
 
+# Read several times by one query, as by a range join and the rows it goes back to.
+STORED = {"fx_anom", "fx_sentiment", "fx_near"}
+
+
 def _sql(body: str, doubles: str = "", dates: str = "", times: str = "") -> str:
     """CTEs a query needs, the query, and the same presentation rules as `publish`."""
     fixes = [f"round({c} + 1e-10, 6) + 0.0 AS {c}" for c in doubles.split()]
@@ -209,7 +214,7 @@ def _sql(body: str, doubles: str = "", dates: str = "", times: str = "") -> str:
                 needed[name] = None
 
     visit(body)
-    head = "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in needed) + "\n" if needed else ""
+    head = "WITH " + ",\n".join(f"{n} AS {'MATERIALIZED ' if n in STORED else ''}({CTES[n]})" for n in needed) + "\n" if needed else ""
     star = f"* REPLACE ({', '.join(fixes)})" if fixes else "*"
     return f"{head}SELECT {star} FROM ({body})"
 
