@@ -4,13 +4,16 @@ Every tree is grown from the 256 rows of the whole series that have the
 smallest hashes of (seed, tree, row); means and deviations are of all rows. So
 the forest of a series does not depend on how its rows are dealt out. Rows that
 may be among the 256 of some tree are the pool of their series, of bounded
-size. Rows are scored in pieces: each piece gets a copy of the pool, grows the
-same forest from it and scores its own rows only. A task never holds more than
-one pool and one piece.
+size. A forest is grown once per series: with the rows of a short series, or
+from the pool of a long one, whose pieces then get the finished trees. A task
+never holds more than one pool or piece and one forest.
 """
 
 from __future__ import annotations
 
+import pickle
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -71,56 +74,75 @@ def _samples(pool: np.ndarray, row_hash: np.ndarray, trees: int, seed: int) -> n
     return np.stack(out)
 
 
-def _walk(sample: np.ndarray, rows: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Mean path length of `rows` over random trees grown from their samples.
-
-    All trees grow one level at a time. A node is split at a random value
-    between the extremes of a random column over its sample rows, and the
-    rows to score walk down along with the sample.
-    """
-    trees, size = sample.shape[:2]
-    depth_cap = int(np.ceil(np.log2(max(size, 2))))
-    in_node = np.zeros((trees, size), dtype=np.int64)
-    at_node = np.zeros((trees, len(rows)), dtype=np.int64)
-    length = np.zeros((trees, len(rows)))
-    open_rows = np.ones((trees, len(rows)), dtype=bool)
-    tree_of = np.arange(trees)[:, None]
-    for level in range(depth_cap + 1):
-        nodes = 2 ** level
-        flat = (tree_of * nodes + in_node)[in_node >= 0]
-        count = np.bincount(flat, minlength=trees * nodes).reshape(trees, nodes)
-        column = rng.integers(0, sample.shape[2], (trees, nodes))
-        value = np.take_along_axis(sample, column[tree_of, np.maximum(in_node, 0)][..., None], 2)[..., 0]
-        low = np.full(trees * nodes, np.inf)
-        high = np.full(trees * nodes, -np.inf)
-        np.fmin.at(low, flat, value[in_node >= 0])
-        np.fmax.at(high, flat, value[in_node >= 0])
-        low, high = low.reshape(trees, nodes), high.reshape(trees, nodes)
-        leaf = (count <= 1) | ~(high > low) | (level == depth_cap)
-        done = open_rows & leaf[tree_of, at_node]
-        length[done] = level + _path_norm(count)[tree_of, at_node][done]
-        open_rows &= ~done
-        if level == depth_cap:
-            break
-        spread = np.where(leaf, 0.0, high - low)
-        cut = np.where(leaf, 0.0, low) + rng.random((trees, nodes)) * spread
-        inner = (in_node >= 0) & ~leaf[tree_of, np.maximum(in_node, 0)]
-        right = value > cut[tree_of, np.maximum(in_node, 0)]
-        in_node = np.where(inner, 2 * in_node + right, -1)
-        walked = rows.T[column[tree_of, at_node], np.arange(len(rows))] > cut[tree_of, at_node]
-        at_node = np.where(open_rows, 2 * at_node + walked, 0)
-    return length.mean(axis=0)
-
-
-def _scores(sample: np.ndarray, rows: np.ndarray, seed: int, ticker_seed: int) -> np.ndarray:
-    """Anomaly score in (0, 1) of each row, near 1 where it is easy to isolate."""
-    path = np.empty(len(rows))
-    # Blocks bound the tree x row work arrays; an equal generator gives every block the same trees.
-    for start in range(0, len(rows), BLOCK):
-        rng = np.random.default_rng([seed, ticker_seed])
-        path[start:start + BLOCK] = _walk(sample, rows[start:start + BLOCK], rng)
-    norm = max(float(_path_norm(np.array([sample.shape[1]]))[0]), 1e-9)
-    return np.round(2.0 ** (-path / norm), DIGITS)
+@dataclass
+class Forest:
+    """Random trees as flat arrays (tree, node); the children of node i are 2i + 1 and 2i + 2. `length` is a leaf's path length."""
+
+    column: np.ndarray
+    cut: np.ndarray
+    leaf: np.ndarray
+    length: np.ndarray
+    sample: int
+
+    @classmethod
+    def grown(cls, sample: np.ndarray, rng: np.random.Generator) -> Forest:
+        """From samples (tree, row, column). All trees grow one level at a time; a node is split at a random value between the
+        extremes of a random column over its rows."""
+        trees, size, columns = sample.shape
+        depth = int(np.ceil(np.log2(max(size, 2))))
+        every = 2 ** (depth + 1) - 1
+        out = cls(np.zeros((trees, every), dtype=np.int64), np.zeros((trees, every)), np.ones((trees, every), dtype=bool), np.zeros((trees, every)), size)
+        values = np.ascontiguousarray(sample.transpose(0, 2, 1)).ravel()  # (tree, column, row)
+        place = (np.arange(trees)[:, None] * columns * size + np.arange(size)).ravel()  # of column 0
+        tree, node = np.repeat(np.arange(trees), size), np.zeros(trees * size, dtype=np.int64)
+        for level in range(depth + 1):
+            nodes, first = 2 ** level, 2 ** level - 1
+            flat = tree * nodes + node
+            count = np.bincount(flat, minlength=trees * nodes)
+            column = rng.integers(0, columns, trees * nodes)
+            value = values.take(place + column.take(flat) * size)
+            low, high = np.full(trees * nodes, np.inf), np.full(trees * nodes, -np.inf)
+            np.minimum.at(low, flat, value)
+            np.maximum.at(high, flat, value)
+            leaf = (count <= 1) | ~(high > low) | (level == depth)
+            spread = np.where(leaf, 0.0, high - low)
+            cut = np.where(leaf, 0.0, low) + rng.random(trees * nodes) * spread
+            at = slice(first, first + nodes)
+            for array, own in ((out.column, column), (out.cut, cut), (out.leaf, leaf), (out.length, level + _path_norm(count))):
+                array[:, at] = own.reshape(trees, nodes)
+            inner = ~leaf.take(flat)
+            right = value > cut.take(flat)
+            tree, place, node = tree[inner], place[inner], (2 * node + right)[inner]
+        return out
+
+    def scores(self, rows: np.ndarray) -> np.ndarray:
+        """Anomaly score in (0, 1) of each row, near 1 where it is easy to isolate."""
+        trees, every = self.column.shape
+        column, cut, leaf, length = (x.ravel() for x in (self.column, self.cut, self.leaf, self.length))
+        depth, path = (every + 1).bit_length() - 2, np.empty(len(rows))
+        for start in range(0, len(rows), BLOCK):  # blocks bound the tree x row work arrays
+            block = rows[start:start + BLOCK]
+            values, n = np.ascontiguousarray(block.T).ravel(), len(block)
+            base = np.arange(trees).repeat(n) * every
+            row = np.tile(np.arange(n), trees)
+            total, at = np.zeros(n), base
+            for _ in range(depth + 1):
+                done = leaf.take(at)
+                total += np.bincount(row[done], weights=length.take(at[done]), minlength=n)
+                at, base, row = at[~done], base[~done], row[~done]
+                right = values.take(column.take(at) * n + row) > cut.take(at)
+                at = 2 * at - base + 1 + right
+            path[start:start + BLOCK] = total / trees
+        norm = max(float(_path_norm(np.array([self.sample]))[0]), 1e-9)
+        return np.round(2.0 ** (-path / norm), DIGITS)
+
+    def packed(self) -> bytes:
+        return pickle.dumps((self.column.astype(np.int8), self.cut, np.packbits(self.leaf), self.length.astype(np.float32), self.sample))
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Forest:
+        column, cut, leaf, length, size = pickle.loads(data)
+        return cls(column.astype(np.int64), cut, np.unpackbits(leaf, count=cut.size).astype(bool).reshape(cut.shape), length.astype(float), size)
 
 
 CARRIED = ["ticker", "trade_date", "close_price", "volume", *FEATURES]
@@ -172,31 +194,39 @@ def forest_scores(featured: DataFrame, trees: int = 100, seed: int = SEED, pool_
         return pd.Series(_in_pool(row_hash.to_numpy(), n.to_numpy(), trees, seed))
 
     sized = rows.join(stats, "ticker").withColumn("_pieces", F.ceil(F.col("_n") / piece).cast("int"))
-    # With one piece a row is itself in the pool; else the pool is copied to every piece.
-    marked = sized.withColumns({
-        "_own": F.lit(True), "_pool": (F.col("_pieces") == 1),
-        "_piece": F.pmod(F.xxhash64("trade_date", F.lit(seed + 1)), F.col("_pieces")).cast("int"),
-    })
-    pool = (
-        sized.filter(F.col("_pieces") > 1).filter(in_pool("_hash", "_n"))
-        .withColumns({"_own": F.lit(False), "_pool": F.lit(True)})
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
-    )
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def scaled(pdf: pd.DataFrame) -> np.ndarray:
         x = np.empty((len(pdf), len(FEATURES)))
         for k, c in enumerate(FEATURES):
             std = pdf[f"_s_{c}"].iloc[0]
             x[:, k] = (pdf[c].to_numpy(float) - pdf[f"_m_{c}"].iloc[0]) / (std if std else 1.0)
-        in_pool, own = pdf["_pool"].to_numpy(bool), pdf["_own"].to_numpy(bool)
-        mine = pdf.loc[own, CARRIED]
-        if mine.empty:
-            return mine.assign(raw_score=pd.Series(dtype=float))
-        sample = _samples(x[in_pool], pdf["_hash"].to_numpy()[in_pool], trees, seed)
-        return mine.assign(raw_score=_scores(sample, x[own], seed, int(pdf["_seed"].iloc[0])))
-
-    groups = _spread(marked.unionByName(pool), "ticker", "_piece").groupBy("ticker", "_piece")
-    return groups.applyInPandas(run, _output(featured, "raw_score double"))
+        return x
+
+    def grown(pdf: pd.DataFrame) -> Forest:
+        rng = np.random.default_rng([seed, int(pdf["_seed"].iloc[0])])
+        made = Forest.grown(_samples(scaled(pdf), pdf["_hash"].to_numpy(), trees, seed), rng)
+        made.length = made.length.astype(np.float32).astype(float)  # as a forest that was sent to pieces
+        return made
+
+    def alone(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf[CARRIED].assign(raw_score=grown(pdf).scores(scaled(pdf)))
+
+    def send(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"ticker": pdf["ticker"].iloc[:1], "_pieces": pdf["_pieces"].iloc[:1], "_forest": [grown(pdf).packed()]})
+
+    def apart(pdf: pd.DataFrame, forest: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty:
+            return pdf.reindex(columns=CARRIED).assign(raw_score=pd.Series(dtype=float))
+        return pdf[CARRIED].assign(raw_score=Forest.unpacked(bytes(forest["_forest"].iloc[0])).scores(scaled(pdf)))
+
+    shape = _output(featured, "raw_score double")
+    small = _spread(sized.filter(F.col("_pieces") == 1), "ticker").groupBy("ticker").applyInPandas(alone, shape)
+    # Of a longer series the forest is grown once, from its pool, and goes to every piece.
+    large = sized.filter(F.col("_pieces") > 1)
+    forests = large.filter(in_pool("_hash", "_n")).groupBy("ticker").applyInPandas(send, "ticker string, _pieces int, _forest binary")
+    forests = forests.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).groupBy("ticker", "_piece")
+    pieces = large.withColumn("_piece", F.pmod(F.xxhash64("trade_date", "_hash"), F.col("_pieces")).cast("int")).groupBy("ticker", "_piece")
+    return small.unionByName(pieces.cogroup(forests).applyInPandas(apart, shape))
 
 
 def detect_isoforest_long(featured: DataFrame, trees: int = 100, contamination: float = CONTAMINATION,
