@@ -29,6 +29,27 @@ def test_dates(spark, text, want):
     assert one(spark, text, C.to_naive_ts) == want
 
 
+def test_references_are_decoded_as_the_library_does(spark):
+    """Every name with and without semicolon, code points of every kind, and drawn texts, without a Python worker."""
+    import html
+    import random
+    from html import entities
+
+    from pyspark.sql import functions as F
+
+    draw = random.Random(5)
+    texts = [f"a&{n}{end}" for n in entities.html5 for end in ("", "b", " ")]
+    points = [*range(0x110), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0xFFFF, 0x10000, 0x1F600, 0x1FFFF, 0x10FFFF, 0x110000, 10 ** 12, 10 ** 60]
+    texts += [f"{a}{p:{kind}}{b}" for p in points for a, kind in (("&#", "d"), ("&#x", "x"), ("&#X", "X"), ("&#000", "d"), ("&#x00", "x")) for b in (";", "", "z")]
+    texts += ["".join(draw.choice(["&", "amp", "lt;", "#", "x", "12", ";", " ", "notit;", "<", "é", "\n"]) for _ in range(draw.randrange(12))) for _ in range(3_000)]
+    texts += ["", "&", "&&amp;&", "&amp;amp;", "&" + "a" * 40 + ";"]
+    out = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", C.decode_references(F.col("t")).alias("t"))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = dict(out.collect())
+    wrong = [(t, got[k], html.unescape(t)) for k, t in enumerate(texts) if got[k] != html.unescape(t)]
+    assert not wrong, wrong[:5]
+
+
 def test_html_entities_beyond_the_basic_ones(spark):
     assert one(spark, " <p>a &eacute;&nbsp;&#8364; &lt;b&gt; &amp;lt;</p> ", C.clean_html) == "a é\xa0€ <b> &lt;"
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import html
+import json
+from functools import lru_cache
+from html import entities
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 GENERAL = "GENERAL"
 
@@ -73,15 +74,54 @@ def has_value(text: Column) -> Column:
     return text.isNotNull() & (F.length(F.trim(text)) > 0)
 
 
-@F.pandas_udf(T.StringType())
-def _decode_entities(text: pd.Series) -> pd.Series:
-    # Spark has no decoder for the full HTML5 entity table; this one call is all that runs in Python.
-    return text.map(html.unescape, na_action="ignore")
+#: What counts as a character reference, as in HTML: decimal, hexadecimal or by name, the semicolon optional.
+REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+REPLACED = "\ufffd"
+
+
+@lru_cache(maxsize=1)
+def _entities() -> tuple[str, str, str]:
+    """Names with their characters and code points below 0xA0 as the standard library decodes them, in JSON, and a pattern of the names
+    that need no semicolon, the longest first."""
+    open_names = sorted((n for n in entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+    low = {str(n): html.unescape(f"&#{n};") for n in range(0xA0)}
+    return json.dumps(entities.html5), json.dumps(low), "^(" + "|".join(open_names) + ")"
+
+
+def _code_point(n: Column) -> Column:
+    """The character of a code point given as decimal(38, 0); null is one too large to be held."""
+    low = F.try_element_at(F.from_json(F.lit(_entities()[1]), "map<string,string>"), n.cast("string"))
+    own = F.decode(F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0")), "UTF-32")
+    nothing = n.between(0xFDD0, 0xFDEF) | ((n % 0x10000) >= 0xFFFE)
+    return (F.when(n.isNull() | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), REPLACED).when(n < 0xA0, low)
+            .when(nothing, "").otherwise(own))
+
+
+def _decoded(reference: Column) -> Column:
+    """One character reference as text; a name that is unknown stays as it is."""
+    names = F.from_json(F.lit(_entities()[0]), "map<string,string>")
+    name = F.substring(reference, 2, 40)
+    digits = F.regexp_extract(reference, r"^&#([0-9]+)", 1)
+    # Leading zeros do not make a number too large.
+    hexadecimal = F.regexp_extract(reference, r"^&#[xX]0*([0-9a-fA-F]*)", 1)
+    of_hex = F.when(F.length(hexadecimal) <= 8, F.conv(F.concat(F.lit("0"), hexadecimal), 16, 10).cast("decimal(38,0)"))
+    start = F.regexp_extract(name, _entities()[2], 1)
+    by_start = F.concat(F.try_element_at(names, start), F.substr(name, F.length(start) + 1))
+    return (F.when(digits != "", _code_point(F.concat(F.lit("0"), F.regexp_replace(digits, "^0+", "")).try_cast("decimal(38,0)")))
+            .when(reference.rlike("^&#[xX]"), _code_point(of_hex))
+            .otherwise(F.coalesce(F.try_element_at(names, name), F.when(start != "", by_start), reference)))
+
+
+def decode_references(text: Column) -> Column:
+    """Text with its character references decoded: what stands between them and what they stand for, in turn."""
+    between, found = F.split(text, REFERENCE, -1), F.regexp_extract_all(text, F.lit(REFERENCE), 0)
+    joined = F.transform(between, lambda part, k: F.concat(part, F.coalesce(F.get(F.transform(F.slice(found, k + 1, 1), _decoded), 0), F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(joined, "")).otherwise(text)
 
 
 def clean_html(markup: Column) -> Column:
     """Drop tags, decode entities, strip surrounding white space."""
-    return F.regexp_replace(_decode_entities(F.regexp_replace(markup, r"<[^>]+>", "")), r"^\s+|\s+$", "")
+    return F.regexp_replace(decode_references(F.regexp_replace(markup, r"<[^>]+>", "")), r"^\s+|\s+$", "")
 
 
 def sanitize_text(text: Column, limit: int) -> Column:

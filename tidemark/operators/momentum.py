@@ -78,6 +78,22 @@ def momentum_matrix(momentum: DataFrame, window: int, dates: list[str] | None =
     )
 
 
+#: End dates that a wide table may have as columns.
+MOST_COLUMNS = 2_000
+
+
+def momentum_pivot(momentum: DataFrame, window: int, most: int = MOST_COLUMNS) -> DataFrame:
+    """One row per sector and one column per end date, named by the day, with the mean score.
+
+    First the dates, by a job that brings at most `most` + 1 of them; more raise. Then one aggregate into rows of that width.
+    """
+    day = F.date_format("end_date", "yyyy-MM-dd").alias("day")
+    days = momentum.filter((F.col("window_days") == window) & F.col("end_date").isNotNull()).select(day).distinct().orderBy("day").limit(most + 1).collect()
+    if len(days) > most:
+        raise ValueError(f"more than {most} end dates; narrow the span or use momentum_matrix, which is long")
+    return momentum_matrix(momentum, window, [r["day"] for r in days])
+
+
 def latest_per_sector(momentum: DataFrame, window: int) -> DataFrame:
     """The newest row of every sector, by rising score."""
     row = F.max_by(F.struct("end_date", "momentum_score", "avg_sentiment", "ticker_count"), "end_date").alias("r")

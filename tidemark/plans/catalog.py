@@ -472,6 +472,13 @@ def strict_momentum(spark, d):
     return publish(momentum.all_momentum(daily, strict=True), *MOMENTUM_COLUMNS)
 
 
+@query
+def momentum_pivot(spark, d):
+    """Sector by end date, wide: a column for each day of the last year."""
+    last = _momentum(spark, d).filter(F.col("end_date") >= F.lit("1998-01-01").cast("date"))
+    return publish(momentum.momentum_pivot(last, 30))
+
+
 @query
 def momentum_matrix(spark, d):
     return publish(momentum.momentum_matrix(_momentum(spark, d), 30))

@@ -385,6 +385,8 @@ def oracle() -> dict[str, str]:
         q[f"sector_momentum_{n}"] = _mom(_momentum("fx_sector_day", n, False))
     q["all_momentum"] = q["ordered_momentum"] = _mom("SELECT * FROM fx_mom")
     q["strict_momentum"] = _mom(" UNION ALL ".join(_momentum("fx_sector_day", n, True) for n in (30, 60, 90)))
+    q["momentum_pivot"] = _sql("""SELECT * FROM (PIVOT (SELECT sector, strftime(end_date, '%Y-%m-%d') AS day, momentum_score FROM fx_mom
+        WHERE window_days = 30 AND end_date >= DATE '1998-01-01') ON day USING round(avg(momentum_score) + 1e-10, 6) + 0.0 GROUP BY sector)""")
     q["momentum_matrix"] = _sql("SELECT sector, end_date, avg(momentum_score) AS momentum_score FROM fx_mom WHERE window_days = 30 GROUP BY ALL",
                                 "momentum_score", "end_date")
     q["latest_momentum"] = _mom("SELECT * FROM fx_mom WHERE end_date = (SELECT max(end_date) FROM fx_mom)")
