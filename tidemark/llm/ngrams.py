@@ -50,6 +50,8 @@ HASH_BYTES, COUNTED, BLOCK_ROWS, SKETCH, MARKS = 1 << 20, 1 << 21, 500_000, 1 <<
 SEEN = 1 << 17
 #: How often an n-gram must come in one step of a task to be counted as frequent.
 OFTEN = 3
+#: Rows of a column up to which every two of them are held against the bounds before any of them counts.
+ASSUMED_OPEN = 512
 #: Rows from which a column is split into pieces, by the sketch of frequent buckets.
 LONG_ROWS = 1 << 17
 #: Least and most bits of a row's sketch; bytes of sketches and rows in a piece of those around one class; parts in which the rows
@@ -313,14 +315,20 @@ def _columns(frame: pd.DataFrame, *more: tuple[str, str]) -> tuple[np.ndarray, .
 
 def _pairs(frame: pd.DataFrame) -> pd.DataFrame:
     """Pairs of classes (a, b) that share columns of this block of which a is the smallest class; ok: in how many of them the
-    bounds allow a link, many: whether one of them has further rows."""
+    bounds allow a link, many: whether in one of them they allow one of b with another class than a."""
     key, cid, n, left = _columns(frame)
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
     count = np.diff(np.append(first, len(key)))
     split = len(frame) > 0 and int(frame["piece"].iloc[0]) >= 0
     a, b = np.repeat(first, count), np.arange(len(key))
-    ok = similar(np.minimum(left[a], left[b]), n[a], n[b])
-    many = (count.repeat(count) > 2) | split
+    allowed = lambda a, b: similar(np.minimum(left[a], left[b]), n[a], n[b])
+    ok, many = allowed(a, b), (count.repeat(count) > ASSUMED_OPEN) | split
+    for f, c in zip(first.tolist(), count.tolist()):
+        if 2 < c <= ASSUMED_OPEN and not split:
+            own = np.arange(f + 1, f + c)
+            both = allowed(own[:, None], own[None, :])
+            np.fill_diagonal(both, False)
+            many[own] = both.any(axis=1)
     keep = (a != b) & (ok | many)
     a, b, ok, many = a[keep], b[keep], ok[keep], many[keep]
     pairs = pd.DataFrame({"a": cid[a], "b": cid[b], "ok": ok.astype(np.int32), "many": many.astype(np.int32)})
@@ -331,7 +339,7 @@ def _in_doubt(frame: pd.DataFrame) -> pd.DataFrame:
     """(a, cid) of the columns of this block whose rows lie in several components: their smallest class, and each row with
     one of another component and a size that may link. A piece of long columns is given rows of two components, if the whole column has
     them, and all its rows are taken."""
-    key, cid, n, _, comp = _columns(frame, ("comp", "<i8"))
+    key, cid, n, left, comp = _columns(frame, ("comp", "<i8"))
     if not len(key):
         return pd.DataFrame({"a": cid, "cid": cid})
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -347,6 +355,15 @@ def _in_doubt(frame: pd.DataFrame) -> pd.DataFrame:
         low = np.searchsorted(own + size, own - (-PART * size // WHOLE))
         high = np.searchsorted(own + size, own + WHOLE * size // PART, side="right") - 1
         keep = keep[changes[high] > changes[low]]
+        # Short columns are held against all bounds.
+        own = np.sort(keep)
+        edges = np.append(np.flatnonzero(np.diff(column[own], prepend=-1)), len(own)).tolist()
+        kept = np.ones(len(own), dtype=bool)
+        for f, t in zip(edges[:-1], edges[1:]):
+            if t - f <= ASSUMED_OPEN:
+                x, y = own[f:t, None], own[None, f:t]
+                kept[f:t] = (similar(np.minimum(left[x], left[y]), n[x], n[y]) & (comp[x] != comp[y])).any(axis=1)
+        keep = own[kept]
     return pd.DataFrame({"a": a[keep], "cid": cid[keep]}).drop_duplicates()
 
 
@@ -374,7 +391,8 @@ def may_link(x: np.ndarray, y: np.ndarray, a, b):
 
 def _around(frame: pd.DataFrame) -> pd.DataFrame:
     """Pairs (at, a, b) of rows that the sketches leave possible and that connect the components of the rows around one class `at`, as a
-    forest; of two different pieces, only pairs between them. Pairs in `no` failed before."""
+    forest; of two different pieces, only pairs between them. Pairs in `no` failed before. And (at, a, a) of all rows of pairs that
+    may take the place of one that fails."""
     i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
     frame = frame.sort_values(["at", "n", "cid"])
     around, cid, comp, n, piece = (frame[c].to_numpy().astype(np.int64) for c in ("at", "cid", "comp", "n", "piece"))
@@ -384,6 +402,7 @@ def _around(frame: pd.DataFrame) -> pd.DataFrame:
     # Components by class `at`; joined ones get one number.
     _, joined = np.unique(np.stack([around, comp]), axis=1, return_inverse=True)
     joined = joined.ravel()
+    before, near = joined.copy(), np.zeros(len(cid), dtype=bool)
     # Runs of one class and one width; the rows of twice the width follow them, since sizes that may link differ by less.
     edges = np.append(np.flatnonzero(np.diff(around, prepend=~around[:1]) | np.diff(width, prepend=~width[:1])), len(around)).tolist()
     for slack in (SAFE, 0.0):  # what is surely similar first: of the rest less is left to try, and less fails
@@ -396,13 +415,17 @@ def _around(frame: pd.DataFrame) -> pd.DataFrame:
             last = np.searchsorted(n[a:end], n[a:b] * WHOLE // PART, side="right").tolist()
             for r in range(a, b):
                 to = np.arange(r + 1, max(r + 1, a + last[r - a]))
-                keep = joined[to] != joined[r]
+                keep = (before[to] != before[r]) if slack else (joined[to] != joined[r])
                 if i != j:
                     keep &= piece[to] != piece[r]
                 to = to[keep]
                 if not len(to):
                     continue
                 differ = np.bitwise_count(x[to - a] ^ x[r - a]).sum(axis=-1, dtype=np.int64)
+                if slack:
+                    may = similar((n[to] + n[r] - differ) // 2, n[to], n[r])
+                    near[to[may]] = True
+                    near[r] |= bool(may.any())
                 possible = similar((n[to] + n[r] - np.ceil(differ * (1 + slack)).astype(np.int64)) // 2, n[to], n[r])
                 if no[r] is not None and len(no[r]):
                     possible &= ~np.isin(cid[to], no[r])
@@ -413,6 +436,7 @@ def _around(frame: pd.DataFrame) -> pd.DataFrame:
                     if joined[s] != joined[r]:
                         found.append((int(around[r]), int(cid[r]), int(cid[s])))
                         joined[joined == joined[s]] = joined[r]
+    found += zip(around[near].tolist(), cid[near].tolist(), cid[near].tolist())
     return pd.DataFrame(found, columns=["at", "a", "b"], dtype="int64")
 
 
@@ -542,15 +566,16 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
             F.first("n").alias("n"), *(F.first(k).alias(k) for k in values))
         return materialize(found, name)
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        return materialize(_linked(pairs, of_classes(pairs, "ngram-sets", {"row": lambda _, row: packed(row)})), "ngram-links")
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        return of_classes(pairs, "ngram-sets", {"row": lambda _, row: packed(row)})
 
     # Each class with two others first; most groups are connected by that.
     kept = of_classes(stars, "ngram-sketches", {
         "sketch": lambda _, row: sketch_of(row), "first": lambda cid, row: _first(cid, row, sketch.value)[0].tobytes()})
     best = stars.where("ok > 0").groupBy("b").agg(F.min("a").alias("_low"), F.max(F.struct("ok", "a")).alias("_most"))
     tried = best.select("b", F.explode(F.array_distinct(F.array("_low", "_most.a"))).alias("a")).select("a", "b")
-    links = linked(materialize(_possible(tried, kept), "ngram-tried"))
+    tried = materialize(_possible(tried, kept), "ngram-tried")
+    links = materialize(_linked(tried, sets_of(tried)), "ngram-links")
     comps = materialize(components(links), "ngram-components")
 
     # Rows around the smallest class of columns that lie in several components yet.
@@ -567,7 +592,7 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
     around = dealt.groupBy("block", "piece").applyInPandas(_in_doubt, "a long, cid long").distinct()
     around = materialize(around, "ngram-around")
 
-    now, across, failed = around, False, None
+    now, across, failed, rows_of = around, False, None, None
     while True:
         rows_at = now.join(placed_rows(F.octet_length("sketch").alias("bytes")), "cid").select("a", "cid", "comp", "bytes")
         pieces = F.greatest(F.ceil(F.sum("bytes") / PIECE_BYTES), F.ceil(F.count("*") / PIECE_ROWS)).cast("int")
@@ -586,9 +611,12 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
                 F.pmod(F.xxhash64("a"), F.lit(buckets)).alias("bucket"), F.least("piece", "_other").alias("i"), F.greatest("piece", "_other").alias("j"),
                 F.col("a").alias("at"), "cid", "comp", "n", "piece", "sketch", "no")
             found = materialize(own.groupBy("bucket", "i", "j").applyInPandas(_around, "at long, a long, b long"), "ngram-others")
-            if not found.isEmpty():
-                good = linked(materialize(found.select("a", "b").distinct(), "ngram-others"))
-                bad = materialize(found.join(good, ["a", "b"], "left_anti"), "ngram-failed")
+            pairs = found.where("a <> b")
+            if not pairs.isEmpty():
+                # Whole rows of all that may be asked for in this phase, from one pass over the texts.
+                rows_of = rows_of or sets_of(found)
+                good = materialize(_linked(pairs.select("a", "b").distinct(), rows_of), "ngram-links")
+                bad = materialize(pairs.join(good, ["a", "b"], "left_anti"), "ngram-failed")
                 links = links.unionByName(good)
                 comps = materialize(components(links), "ngram-components")
                 if not bad.isEmpty():
@@ -602,7 +630,7 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
         elif across:
             break
         else:
-            now, across = around, True
+            now, across, rows_of = around, True, None
 
     placed = classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     lowest = placed.groupBy("comp").agg(F.min("low").alias("component_id"))
