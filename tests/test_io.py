@@ -272,3 +272,35 @@ def test_intraday_anomalies_meet_the_sentiment_of_their_day(spark):
     found = spark.sql("SELECT 'A' AS ticker, timestamp'2024-01-02 10:05:00' AS trade_date UNION ALL SELECT 'A', timestamp'2024-01-02 15:00:00'")
     daily = spark.sql("SELECT 'A' AS ticker, date'2024-01-02' AS event_day, 0.5D AS daily_sentiment")
     assert [r.sentiment_avg for r in align.correlate_daily(found, daily).collect()] == [0.5, 0.5]
+
+
+def test_point_loads_skip_row_groups(spark, tmp_path, sf):
+    """Of the row groups of a clustered store nine in ten can't hold a ticker, by their statistics; a Bloom filter is there as well."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = f"{tmp_path}/clustered"
+    bars = fx.bars(spark, sf).repartition(4)
+    many = bars.crossJoin(spark.range(20).withColumnRenamed("id", "k")).withColumn("ticker", F.concat("ticker", F.lit("-"), "k")).drop("k")
+    sinks.write_clustered(many, path, "ticker", ["trade_date"], row_group_bytes=16 << 10, keys=1_000)
+    wanted, held, groups, filters = "S1-7", 0, 0, 0
+    for file in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index("ticker")
+        for k in range(meta.num_row_groups):
+            stats = meta.row_group(k).column(at).statistics
+            groups, held = groups + 1, held + (stats.min <= wanted <= stats.max)
+    assert groups >= 20 and 1 <= held <= groups / 10
+    got = readers.read_ticker(spark, path, " s1-7.NS")
+    assert got.count() == bars.where("ticker = 'S1'").count() and "PushedFilters: [IsNotNull(ticker), EqualTo(ticker,S1-7)]" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_interrupted_swap_keeps_the_data(spark, tmp_path):
+    path, rows = f"{tmp_path}/t", spark.range(5)
+    assert sinks.write_if_nonempty(rows, path) and spark.read.parquet(path).count() == 5
+    os.rename(path, path + "._old")  # as after the first of both steps
+    assert not sinks.write_if_nonempty(rows.limit(0), path) and spark.read.parquet(path).count() == 5
+    os.makedirs(path + "._old")  # as after the second
+    assert sinks.write_if_nonempty(spark.read.parquet(path).where("id < 2"), path) and spark.read.parquet(path).count() == 2
+    assert sorted(os.listdir(tmp_path)) == ["t"]

@@ -440,7 +440,8 @@ def symbol_universe(spark, d):
 
 @query
 def dataset_status(spark, d):
-    names = ["customer", "documents", "events", "lineitem", "nation", "orders", "pages", "part", "region", "supplier"]
+    names = ["benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part",
+             "region", "supplier"]
     return publish(sinks.dataset_status(spark, {n: f"{d}/{n}.parquet" for n in names}))
 
 
@@ -895,9 +896,9 @@ def read_first_available(spark, d):
 
 @query
 def read_ticker(spark, d):
-    """Point load of one symbol from a dataset partitioned by year; ticker filter and columns reach the scan."""
+    """Point load of one symbol from a dataset clustered by ticker; ticker filter and columns reach the scan."""
     path = f"{shared_folder(spark)}/bars-{uuid.uuid4().hex}"
-    sinks.write_dataset(fx.bars(spark, d).withColumn("year", F.year("trade_date")), path, partition_by=["year"])
+    sinks.write_clustered(fx.bars(spark, d).withColumn("year", F.year("trade_date")), path, "ticker", ["trade_date"])
     return publish(readers.read_ticker(spark, path, " s1.NS"), "ticker", "trade_date", "close_price", "year")
 
 

@@ -379,7 +379,8 @@ def oracle() -> dict[str, str]:
       UNION SELECT ticker FROM fx_sentiment""")
     q["dataset_status"] = _sql(" UNION ALL ".join(
         f"SELECT '{n}' AS dataset, CAST(1 AS BIGINT) AS files, count(*) AS rows, count(*) > 0 AS ready FROM {n}" for n in
-        ("customer", "documents", "events", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")))
+        ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region",
+         "supplier")))
 
     for n in (30, 60, 90):
         q[f"sector_momentum_{n}"] = _mom(_momentum("fx_sector_day", n, False))

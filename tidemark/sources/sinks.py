@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
-
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", files: int | None = None,
                   partition_by: Iterable[str] = (), header: bool = True) -> None:
@@ -31,13 +30,51 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", files: int | N
     writer.save(path)
 
 
+def write_clustered(df: DataFrame, path: str, key: str, order: Iterable[str] = (), row_group_bytes: int = 8 << 20, keys: int = 1_000_000) -> None:
+    """Parquet for point loads: rows ranged and sorted by key, then `order`, in small row groups with a Bloom filter on the key.
+
+    A load of one key reads the row groups whose range holds it; statistics and filter rule out the others. The ranges are over
+    key and order, so a key with very many rows is spread over several files.
+    """
+    by = [key, *order]
+    options = {"parquet.block.size": str(row_group_bytes), "parquet.page.size.row.check.min": "10", "parquet.block.size.row.check.min": "100",
+               f"parquet.bloom.filter.enabled#{key}": "true", f"parquet.bloom.filter.expected.ndv#{key}": str(keys)}
+    df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").options(**options).parquet(path)
+
+
+def _swap(spark: SparkSession, path: str, staged: str | None = None) -> None:
+    """Puts a staged folder in the place of `path` by renaming. What an interrupted swap left is set right first."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, old = hadoop.Path(path), hadoop.Path(path.rstrip("/") + "._old")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(old):
+        if files.exists(target):  # it was interrupted after the second step
+            files.delete(old, True)
+        else:  # between the steps: the old data are all there is
+            files.rename(old, target)
+    if staged is None:
+        return
+    if files.exists(target) and not files.rename(target, old) or not files.rename(hadoop.Path(staged), target):
+        raise OSError(f"cannot put {staged} in the place of {path}")
+    files.delete(old, True)
+
+
 def write_if_nonempty(df: DataFrame, path: str, **options) -> bool:
-    """Overwrite only when there are rows. The result is computed once, into the
-    shared folder, so a plan that reads `path` itself is safe too."""
-    staged = materialize(df, "staged")
-    if staged.isEmpty():
+    """Overwrite only when there are rows.
+
+    The result is written once, beside the target, and takes its place by renaming; so a plan that reads `path` itself is safe, and
+    after an interruption `path` holds the old data or the new ones.
+    """
+    spark = df.sparkSession
+    _swap(spark, path)
+    staged = f"{path.rstrip('/')}._new-{uuid.uuid4().hex}"
+    write_dataset(df, staged, **options)
+    written = spark.read.format(options.get("fmt", "parquet")).schema(df.schema).load(staged)
+    if written.isEmpty():
+        at = spark._jvm.org.apache.hadoop.fs.Path(staged)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
         return False
-    write_dataset(staged, path, **options)
+    _swap(spark, path, staged)
     return True
 
 
