@@ -522,6 +522,47 @@ def ordered_momentum(spark, d):
     return publish(views.ordered(_momentum(spark, d), ["sector", "window_days", "end_date"]), *MOMENTUM_COLUMNS)
 
 
+# --- pages: what one page shows, from one call ----------------------------------------------------------
+
+YEAR = ("1996-01-01", "1996-12-31")
+
+
+@query
+def page_overview(spark, d):
+    """The newest anomalies of a span and a kind, with the span's key figures beside them."""
+    page = views.overview(fx.bars(spark, d), fx.sentiment(spark, d), _stored(spark, d), _momentum(spark, d), fx.dim(spark, d), *YEAR, "volume_surge")
+    recent = page["recent"].select(*ANOMALY_COLUMNS)
+    return publish(recent.join(page["kpis"].select("stocks_tracked", "avg_sentiment", "mood", "anomalies"), how="cross"))
+
+
+@query
+def page_ticker(spark, d):
+    """Candles of one ticker with its summary and the day's sentiment and anomaly."""
+    page = views.ticker_detail("S1", fx.bars(spark, d), fx.sentiment(spark, d), _stored(spark, d))
+    candles = page["candles"].select("ticker", "trade_date", "close_price")
+    day = page["daily_sentiment"].select(F.col("ticker"), F.col("event_day").alias("trade_date"), "daily_sentiment", "article_count")
+    flagged = page["anomalies"].select("ticker", F.col("anomaly_date").alias("trade_date"), "anomaly_type")
+    summary = page["summary"].select("ticker", "latest_close", "high", "low")
+    return publish(candles.join(day, ["ticker", "trade_date"], "left").join(flagged, ["ticker", "trade_date"], "left").join(summary, "ticker"))
+
+
+@query
+def page_heatmap(spark, d):
+    """Every cell of the sector heat map with the newest score of its sector."""
+    page = views.heatmap(_momentum(spark, d), fx.bars(spark, d), _stored(spark, d), fx.dim(spark, d), 30)
+    latest = page["latest"].select("sector", F.col("end_date").alias("latest_date"), F.col("momentum_score").alias("latest_score"))
+    return publish(page["matrix"].join(latest, "sector"))
+
+
+@query
+def page_replay(spark, d):
+    """Prices of a basket in a span, the first being 100, with the anomalies of the same days."""
+    page = views.replay(fx.bars(spark, d), _stored(spark, d), ["S1", "S2", "S3", "S5"], *YEAR)
+    flagged = page["anomalies"].select("ticker", F.col("anomaly_date").alias("trade_date"), "anomaly_type")
+    relative = page["relative"].select("ticker", "trade_date", "close_price", "normalized_return")
+    return publish(relative.join(flagged, ["ticker", "trade_date"], "left"))
+
+
 # --- text --------------------------------------------------------------------------------------------
 
 @query

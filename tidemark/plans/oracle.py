@@ -400,6 +400,26 @@ def oracle() -> dict[str, str]:
     q["top_tickers"] = _sql("""SELECT ticker, count(*) AS article_count, avg(sentiment_score) AS avg_sentiment FROM fx_sentiment GROUP BY ticker
       ORDER BY article_count DESC, ticker LIMIT 10""", "avg_sentiment")
 
+    span = "BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"
+    q["page_overview"] = _sql(f"""SELECT r.*, k.* FROM (SELECT {_ANOM} FROM fx_stored WHERE anomaly_date {span} AND anomaly_type = 'volume_surge'
+        ORDER BY anomaly_date DESC, anomaly_score DESC, ticker LIMIT 10) r,
+      (SELECT greatest((SELECT count(*) FROM fx_dim), (SELECT count(DISTINCT ticker) FROM fx_bars WHERE trade_date {span})) AS stocks_tracked, m AS avg_sentiment,
+          CASE WHEN m > 0.05 THEN 'Bullish' WHEN m < -0.05 THEN 'Bearish' ELSE 'Neutral' END AS mood,
+          (SELECT count(*) FROM fx_stored WHERE anomaly_date {span} AND anomaly_type = 'volume_surge') AS anomalies
+        FROM (SELECT avg(sentiment_score) AS m FROM fx_sentiment WHERE event_date {span})) k""", f"{_ANOM_D} avg_sentiment", _ANOM_T)
+    q["page_ticker"] = _sql("""SELECT p.ticker, p.trade_date, p.close_price, daily_sentiment, article_count, anomaly_type, latest_close, high, low
+      FROM (SELECT * FROM fx_bars WHERE ticker = 'S1' QUALIFY row_number() OVER (ORDER BY trade_date DESC) <= 500) p
+      LEFT JOIN fx_daily d ON p.ticker = d.ticker AND p.trade_date = d.event_day LEFT JOIN fx_stored a ON p.ticker = a.ticker AND p.trade_date = a.anomaly_date,
+      (SELECT arg_max(close_price, trade_date) AS latest_close, max(high_price) AS high, min(low_price) AS low FROM fx_bars WHERE ticker = 'S1')""",
+        "close_price daily_sentiment latest_close high low", "trade_date")
+    q["page_heatmap"] = _sql("""SELECT sector, end_date, avg(momentum_score) AS momentum_score, any_value(latest_date) AS latest_date, any_value(latest_score) AS latest_score
+      FROM fx_mom JOIN (SELECT sector, end_date AS latest_date, momentum_score AS latest_score FROM fx_mom WHERE window_days = 30
+        QUALIFY row_number() OVER (PARTITION BY sector ORDER BY end_date DESC) = 1) USING (sector) WHERE window_days = 30 GROUP BY sector, end_date""",
+        "momentum_score latest_score", "end_date latest_date")
+    q["page_replay"] = _sql(f"""SELECT b.ticker, b.trade_date, b.close_price, b.close_price / first_close * 100 AS normalized_return, anomaly_type
+      FROM (SELECT *, first_value(close_price) OVER ({_W}) AS first_close FROM fx_bars WHERE ticker IN ('S1', 'S2', 'S3', 'S5') AND trade_date {span}) b
+      LEFT JOIN fx_stored a ON b.ticker = a.ticker AND b.trade_date = a.anomaly_date WHERE first_close > 0""", "close_price normalized_return", "trade_date")
+
     q["text_events"] = _sql("SELECT * FROM fx_texts", "", "event_date")
     q["tokenize"] = _sql("""SELECT doc_id, len(w) AS words, len(kept) AS kept, array_to_string(kept, ' ') AS text FROM fx_kept""")
     q["term_tfidf"] = _sql("""SELECT doc_id, term, tf, df, idf, tf * idf AS tfidf FROM fx_terms JOIN (
