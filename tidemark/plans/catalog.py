@@ -522,6 +522,35 @@ def ordered_momentum(spark, d):
     return publish(views.ordered(_momentum(spark, d), ["sector", "window_days", "end_date"]), *MOMENTUM_COLUMNS)
 
 
+# --- stored tables -------------------------------------------------------------------------------------
+
+@query
+def write_fixed_files(spark, d):
+    """A dataset as three files."""
+    path = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    sinks.write_dataset(fx.bars(spark, d), path, files=3)
+    return publish(sinks.dataset_status(spark, {"bars": path}))
+
+
+@query
+def append_batches(spark, d):
+    """Two fetches appended in one column order, below the days they came."""
+    path, posts = f"{shared_folder(spark)}/appended-{uuid.uuid4().hex}", fx.posts(spark, d).select("selftext", "post_id", "subreddit", "conv_id")
+    first = F.col("conv_id") % 3 > 0
+    sinks.append_batch(posts.where(first), path, ["post_id", "subreddit", "flair", "selftext"], "2024-01-01")
+    sinks.append_batch(posts.where(~first), path, ["post_id", "subreddit", "flair", "selftext"], "2024-01-02")
+    return publish(spark.read.parquet(path), "ingest_date", "post_id", "subreddit")
+
+
+@query
+def stored_tables(spark, d):
+    """Stored tables as views of their names, one of which joins two of them."""
+    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    sinks.write_dataset(fx.sentiment(spark, d), f"{root}/sentiment_scores")
+    readers.register_tables(spark, root)
+    return publish(spark.table("daily_ticker_sentiment"))
+
+
 # --- pages: what one page shows, from one call ----------------------------------------------------------
 
 YEAR = ("1996-01-01", "1996-12-31")
@@ -606,14 +635,23 @@ def sentiment_by_ticker(spark, d):
     return publish(out)
 
 
+def _scorer(text: str) -> tuple[float, float]:
+    """A user's scorer: share of upper-case letters, and the digit share."""
+    return sum(c.isupper() for c in text) / len(text), sum(c.isdigit() for c in text) / len(text)
+
+
 @query
 def score_partitions(spark, d):
-    """A user's scorer in Arrow batches: share of upper-case letters, and the digit share."""
-    def scorer(text: str) -> tuple[float, float]:
-        return sum(c.isupper() for c in text) / len(text), sum(c.isdigit() for c in text) / len(text)
-
+    """A user's scorer, batch by batch."""
     docs = fx.table(spark, d, "documents").select("doc_id", "text")
-    return publish(sentiment.score_partitions(docs, scorer), "doc_id", "sentiment_score", "sentiment_label", "confidence")
+    return publish(sentiment.score_partitions(docs, _scorer), "doc_id", "sentiment_score", "sentiment_label", "confidence")
+
+
+@query
+def score_udf(spark, d):
+    """The same scorer as a column."""
+    docs = fx.table(spark, d, "documents").select("doc_id", sentiment.score_udf(_scorer)("text").alias("s"))
+    return publish(docs.select("doc_id", "s.*"))
 
 
 # --- cleaning ----------------------------------------------------------------------------------------

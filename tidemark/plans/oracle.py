@@ -400,6 +400,14 @@ def oracle() -> dict[str, str]:
     q["top_tickers"] = _sql("""SELECT ticker, count(*) AS article_count, avg(sentiment_score) AS avg_sentiment FROM fx_sentiment GROUP BY ticker
       ORDER BY article_count DESC, ticker LIMIT 10""", "avg_sentiment")
 
+    share = "len(regexp_extract_all(text, '{}')) / length(text)::DOUBLE"
+    q["score_partitions"] = q["score_udf"] = _sql(f"""SELECT doc_id, sentiment_score, {_label('sentiment_score')} AS sentiment_label, confidence FROM (
+        SELECT doc_id, CASE WHEN length(text) > 0 THEN {share.format('\\p{Lu}')} ELSE 0.0 END AS sentiment_score,
+               CASE WHEN length(text) > 0 THEN {share.format('[0-9]')} ELSE 0.0 END AS confidence FROM documents)""", "sentiment_score confidence")
+    q["write_fixed_files"] = _sql("SELECT 'bars' AS dataset, CAST(3 AS BIGINT) AS files, count(*) AS rows, count(*) > 0 AS ready FROM fx_bars")
+    q["append_batches"] = _sql("SELECT CASE WHEN conv_id % 3 > 0 THEN '2024-01-01' ELSE '2024-01-02' END AS ingest_date, post_id, subreddit FROM fx_posts")
+    q["stored_tables"] = q["daily_ticker_sentiment"]
+
     span = "BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"
     q["page_overview"] = _sql(f"""SELECT r.*, k.* FROM (SELECT {_ANOM} FROM fx_stored WHERE anomaly_date {span} AND anomaly_type = 'volume_surge'
         ORDER BY anomaly_date DESC, anomaly_score DESC, ticker LIMIT 10) r,
