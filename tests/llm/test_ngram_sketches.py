@@ -18,12 +18,13 @@ def top(parent, x):
 
 
 def connected(frame, found):
-    """Whether two classes around `at` are connected by components and found pairs."""
+    """Whether two classes around `at` are connected by components and found links."""
     parent = {}
     for at, cid, comp in frame[["at", "cid", "comp"]].itertuples(index=False):
         parent[top(parent, (at, cid))] = top(parent, (at, "comp", comp))
-    for at, a, b in found:
-        parent[top(parent, (at, a))] = top(parent, (at, b))
+    place = dict(zip(frame["cid"], frame["at"]))
+    for a, b in found:
+        parent[top(parent, (place[a], a))] = top(parent, (place[b], b))
     return lambda at, a, b: top(parent, (at, a)) == top(parent, (at, b))
 
 
@@ -37,22 +38,18 @@ def test_forests_lose_no_link():
             row, other = base[:m].copy(), int(rng.integers(0, m // 4 + 1))
             row[rng.choice(m, other, replace=False)] = rng.integers(0, 1 << 63, other, dtype=np.uint64)
             rows.append((at, at * 100 + k, int(rng.integers(0, 12)), np.unique(row)))
-    frame = pd.DataFrame([{"i": 0, "j": 0, "at": a, "cid": c, "comp": p, "n": len(r), "piece": 0, "sketch": sketch_of(r), "no": None} for a, c, p, r in rows])
-    links = {(x[0], x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[2] != y[2]
-             and similar(len(np.intersect1d(x[3], y[3])), len(x[3]), len(y[3]))}
-    every = _around(frame).to_numpy().tolist()
-    found = [x for x in every if x[1] != x[2]]
-    # All rows of links are named, for those that a failing pair makes needed.
-    assert {(x[0], x[1]) for x in every if x[1] == x[2]} >= {(at, c) for at, a, b in links for c in (a, b)}
-    assert links and len(found) < len(rows) and all(connected(frame, found)(*link) for link in links)
+    frame = pd.DataFrame([{"i": 0, "j": 0, "at": a, "cid": c, "comp": p, "n": len(r), "piece": 0, "sketch": sketch_of(r), "row": ngrams.packed(r)}
+                          for a, c, p, r in rows])
+    whole = {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and similar(len(np.intersect1d(x[3], y[3])), len(x[3]), len(y[3]))}
+    comp = {x[1]: x[2] for x in rows}
+    links = {(a // 100, a, b) for a, b in whole if comp[a] != comp[b]}
+    assert links and set(map(tuple, ngrams._near(frame).to_numpy().tolist())) >= {(at, c) for at, a, b in links for c in (a, b)}
+    found = _around(frame).to_numpy().tolist()
+    assert len(found) < len(rows) and {tuple(sorted(x)) for x in found} <= whole and all(connected(frame, found)(*link) for link in links)
     two = frame.assign(piece=frame["cid"] % 2)
     parts = [two[two["piece"] == 0].assign(i=0, j=0), two[two["piece"] == 1].assign(i=1, j=1), two.assign(i=0, j=1)]
     joint = [x for part in parts for x in _around(part).to_numpy().tolist()]
     assert all(connected(frame, joint)(*link) for link in links)
-    # Pairs that failed are not proposed again, and others are in their place.
-    at, a, b = found[0]
-    again = _around(frame.assign(no=[[b] if (t, c) == (at, a) else [a] if (t, c) == (at, b) else None for t, c in zip(frame["at"], frame["cid"])]))
-    assert not {(at, a, b), (at, b, a)} & set(map(tuple, again.to_numpy().tolist()))
 
 
 @pytest.mark.parametrize("rows_a_piece", [4_096, 40])

@@ -10,10 +10,10 @@ and whatever it says, the bounds hold. Overlaps of the pairs that remain are cou
 Groups of near copies are not paired off. First every row meets two classes only: of the smallest classes of its columns the
 smallest, and the one with which it shares most columns; most groups are connected by that. Then components are known, and only columns
 whose rows lie in several of them count: the rows around a smallest class are compared with each other, in pieces of bounded size,
-and a union-find inside the piece passes over what is connected already, so a piece gives at most one pair fewer than it has rows.
-Those pairs are verified on whole rows; where one fails, the rows around its smallest class are compared once more without it. At last
-rows of different pieces are compared in the same way. So every link that matters for the components is found, without all pairs
-inside a group.
+so no group is paired off. A first comparison by sketches names the rows that may link to another component; whole rows of these few
+are then brought into the pieces, where pairs are verified and a union-find passes over what is connected already. So a piece gives
+fewer links than it has rows. At last rows of different pieces are compared in the same way. So every link that matters for the
+components is found, without all pairs inside a group.
 
 Rows are compared by sketches: the parity of a row's hashes in each of about 4n buckets. Two rows differ in at least as many
 columns as their sketches differ in bits, which bounds the overlap from above.
@@ -35,7 +35,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import forget, in_chunks, table
@@ -54,11 +54,9 @@ OFTEN = 3
 ASSUMED_OPEN = 512
 #: Rows from which a column is split into pieces, by the sketch of frequent buckets.
 LONG_ROWS = 1 << 17
-#: Least and most bits of a row's sketch; bytes of sketches and rows in a piece of those around one class; parts in which the rows
+#: Least and most bits of a row's sketch; bytes and rows in a piece of those around one class; parts in which the rows
 #: around one class meet their number of pieces.
-LEAST_BITS, MOST_BITS, PIECE_BYTES, PIECE_ROWS, SALTS = 256, 1 << 17, 4 << 20, 4_096, 16
-#: Share by which two sketches may differ more in pairs that are taken first.
-SAFE = 0.06
+LEAST_BITS, MOST_BITS, PIECE_BYTES, PIECE_ROWS, SALTS = 256, 1 << 17, 8 << 20, 4_096, 16
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 IS_SPACE = np.zeros(256, dtype=bool)
@@ -389,55 +387,61 @@ def may_link(x: np.ndarray, y: np.ndarray, a, b):
     return similar((a + b - differ) // 2, a, b) & similar(np.minimum(a, b), a, b)
 
 
-def _around(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs (at, a, b) of rows that the sketches leave possible and that connect the components of the rows around one class `at`, as a
-    forest; of two different pieces, only pairs between them. Pairs in `no` failed before. And (at, a, a) of all rows of pairs that
-    may take the place of one that fails."""
+def _comparisons(frame: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(r, to, differ): for each row of a group, sorted by (at, n, cid), the later rows around the same class `at` whose size and sketch allow
+    a link, whose component differs and, of two different pieces, whose piece does; and by how many bits their sketches differ."""
     i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-    frame = frame.sort_values(["at", "n", "cid"])
-    around, cid, comp, n, piece = (frame[c].to_numpy().astype(np.int64) for c in ("at", "cid", "comp", "n", "piece"))
-    sketch, no = frame["sketch"].tolist(), frame["no"].tolist()
+    around, comp, n, piece = (frame[c].to_numpy().astype(np.int64) for c in ("at", "comp", "n", "piece"))
+    sketch = frame["sketch"].tolist()
     width = np.array([len(x) // 8 for x in sketch])
-    found: list[tuple[int, int, int]] = []
-    # Components by class `at`; joined ones get one number.
-    _, joined = np.unique(np.stack([around, comp]), axis=1, return_inverse=True)
-    joined = joined.ravel()
-    before, near = joined.copy(), np.zeros(len(cid), dtype=bool)
     # Runs of one class and one width; the rows of twice the width follow them, since sizes that may link differ by less.
     edges = np.append(np.flatnonzero(np.diff(around, prepend=~around[:1]) | np.diff(width, prepend=~width[:1])), len(around)).tolist()
-    for slack in (SAFE, 0.0):  # what is surely similar first: of the rest less is left to try, and less fails
-        for at, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-            w, end = int(width[a]), b
-            x = np.frombuffer(b"".join(sketch[a:b]), dtype="<u8").reshape(-1, w)
-            if b < len(around) and around[b] == around[a] and width[b] == 2 * w:
-                end = edges[at + 2]
-                x = np.vstack([x, folded(np.frombuffer(b"".join(sketch[b:end]), dtype="<u8").reshape(-1, 2 * w))])
-            last = np.searchsorted(n[a:end], n[a:b] * WHOLE // PART, side="right").tolist()
-            for r in range(a, b):
-                to = np.arange(r + 1, max(r + 1, a + last[r - a]))
-                keep = (before[to] != before[r]) if slack else (joined[to] != joined[r])
-                if i != j:
-                    keep &= piece[to] != piece[r]
-                to = to[keep]
-                if not len(to):
-                    continue
+    for at, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        w, end = int(width[a]), b
+        x = np.frombuffer(b"".join(sketch[a:b]), dtype="<u8").reshape(-1, w)
+        if b < len(around) and around[b] == around[a] and width[b] == 2 * w:
+            end = edges[at + 2]
+            x = np.vstack([x, folded(np.frombuffer(b"".join(sketch[b:end]), dtype="<u8").reshape(-1, 2 * w))])
+        last = np.searchsorted(n[a:end], n[a:b] * WHOLE // PART, side="right").tolist()
+        for r in range(a, b):
+            to = np.arange(r + 1, max(r + 1, a + last[r - a]))
+            keep = comp[to] != comp[r]
+            if i != j:
+                keep &= piece[to] != piece[r]
+            to = to[keep]
+            if len(to):
                 differ = np.bitwise_count(x[to - a] ^ x[r - a]).sum(axis=-1, dtype=np.int64)
-                if slack:
-                    may = similar((n[to] + n[r] - differ) // 2, n[to], n[r])
-                    near[to[may]] = True
-                    near[r] |= bool(may.any())
-                possible = similar((n[to] + n[r] - np.ceil(differ * (1 + slack)).astype(np.int64)) // 2, n[to], n[r])
-                if no[r] is not None and len(no[r]):
-                    possible &= ~np.isin(cid[to], no[r])
-                to, differ = to[possible], differ[possible]
-                to = to[np.argsort(differ, kind="stable")]
-                for k in np.sort(np.unique(joined[to], return_index=True)[1]).tolist():
-                    s = int(to[k])
-                    if joined[s] != joined[r]:
-                        found.append((int(around[r]), int(cid[r]), int(cid[s])))
-                        joined[joined == joined[s]] = joined[r]
-    found += zip(around[near].tolist(), cid[near].tolist(), cid[near].tolist())
-    return pd.DataFrame(found, columns=["at", "a", "b"], dtype="int64")
+                may = similar((n[to] + n[r] - differ) // 2, n[to], n[r])
+                if may.any():
+                    yield r, to[may], differ[may]
+
+
+def _near(frame: pd.DataFrame) -> pd.DataFrame:
+    """(at, cid) of the rows that the sketches leave a possible link to another component."""
+    frame = frame.sort_values(["at", "n", "cid"])
+    near = np.zeros(len(frame), dtype=bool)
+    for r, to, _ in _comparisons(frame):
+        near[r] = near[to] = True
+    return frame.loc[near, ["at", "cid"]]
+
+
+def _around(frame: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) that connect the components of the rows around one class, as a forest; each is verified on whole rows."""
+    frame = frame.sort_values(["at", "n", "cid"])
+    cid, n, rows = frame["cid"].to_numpy(), frame["n"].to_numpy(), frame["row"].tolist()
+    # Components by class `at`; joined ones get one number.
+    _, joined = np.unique(frame[["at", "comp"]].to_numpy(), axis=0, return_inverse=True)
+    joined, found = joined.ravel(), []
+    for r, to, differ in _comparisons(frame):
+        own = None
+        for s in to[np.argsort(differ, kind="stable")].tolist():
+            if joined[s] == joined[r]:
+                continue
+            own = unpacked(rows[r]) if own is None else own
+            if similar(len(np.intersect1d(own, unpacked(rows[s]), assume_unique=True)), n[r], n[s]):
+                found.append((int(cid[r]), int(cid[s])))
+                joined[joined == joined[s]] = joined[r]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def packed(row: np.ndarray) -> bytes:
@@ -445,8 +449,8 @@ def packed(row: np.ndarray) -> bytes:
     return row.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
-def unpacked(data: pa.Scalar) -> np.ndarray:
-    part = np.frombuffer(data.as_buffer(), dtype=np.uint8).reshape(-1, 6)
+def unpacked(data: bytes | pa.Buffer) -> np.ndarray:
+    part = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
     out = np.zeros((len(part), 8), dtype=np.uint8)
     out[:, :6] = part
     return out.view("<u8").ravel()
@@ -461,7 +465,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("_ra"), batch.column("_rb")):
-                x, y = unpacked(x), unpacked(y)
+                x, y = unpacked(x.as_buffer()), unpacked(y.as_buffer())
                 keep.append(similar(len(np.intersect1d(x, y)), len(x), len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -592,45 +596,40 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
     around = dealt.groupBy("block", "piece").applyInPandas(_in_doubt, "a long, cid long").distinct()
     around = materialize(around, "ngram-around")
 
-    now, across, failed, rows_of = around, False, None, None
-    while True:
-        rows_at = now.join(placed_rows(F.octet_length("sketch").alias("bytes")), "cid").select("a", "cid", "comp", "bytes")
+    def in_pieces(rows: DataFrame, size: Column, across: bool | None, *more: DataFrame):
+        """Rows (a, cid) around classes with several components yet, grouped by two pieces each: of one with itself, with others if
+        `across`, with both if it is None. `more` brings further columns by class."""
+        at = rows.join(placed_rows(size.alias("bytes")), "cid").select("a", "comp", "bytes")
         pieces = F.greatest(F.ceil(F.sum("bytes") / PIECE_BYTES), F.ceil(F.count("*") / PIECE_ROWS)).cast("int")
-        doubt = rows_at.groupBy("a").agg(pieces.alias("pieces"), F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("rows"))
+        doubt = at.groupBy("a").agg(pieces.alias("pieces"), F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("rows"))
         doubt = materialize(doubt.where("_low <> _high" + (" AND pieces > 1" if across else "")), "ngram-doubt")
-        again = None
-        if size := doubt.agg(F.sum("rows")).first()[0]:
-            # Small ones share a task's step; a bucket has about as many rows as a piece.
-            buckets = max(8, size // PIECE_ROWS)
-            salted = doubt.select("a", "pieces", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-            own = now.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int")).join(salted, ["a", "salt"]).drop("salt")
-            own = own.join(placed_rows("sketch"), "cid").withColumn("piece", F.pmod(F.xxhash64("cid", F.lit("piece")), "pieces").cast("int"))
-            own = own.join(failed, "cid", "left") if failed is not None else own.withColumn("no", F.lit(None).cast("array<bigint>"))
-            other = F.filter(F.sequence(F.lit(0), F.col("pieces") - 1), lambda k: k != F.col("piece")) if across else F.array("piece")
-            own = own.withColumn("_other", F.explode(other)).select(
-                F.pmod(F.xxhash64("a"), F.lit(buckets)).alias("bucket"), F.least("piece", "_other").alias("i"), F.greatest("piece", "_other").alias("j"),
-                F.col("a").alias("at"), "cid", "comp", "n", "piece", "sketch", "no")
-            found = materialize(own.groupBy("bucket", "i", "j").applyInPandas(_around, "at long, a long, b long"), "ngram-others")
-            pairs = found.where("a <> b")
-            if not pairs.isEmpty():
-                # Whole rows of all that may be asked for in this phase, from one pass over the texts.
-                rows_of = rows_of or sets_of(found)
-                good = materialize(_linked(pairs.select("a", "b").distinct(), rows_of), "ngram-links")
-                bad = materialize(pairs.join(good, ["a", "b"], "left_anti"), "ngram-failed")
-                links = links.unionByName(good)
+        in_all = doubt.agg(F.sum("rows")).first()[0]
+        if not in_all:
+            return None
+        # Small ones share a task's step; a bucket has about as many rows as a piece.
+        buckets = max(8, in_all // PIECE_ROWS)
+        salted = doubt.select("a", "pieces", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        own = rows.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int")).join(salted, ["a", "salt"]).drop("salt")
+        own = own.join(placed_rows("sketch"), "cid").withColumn("piece", F.pmod(F.xxhash64("cid", F.lit("piece")), "pieces").cast("int"))
+        for frame in more:
+            own = own.join(frame, "cid")
+        every = F.sequence(F.lit(0), F.col("pieces") - 1)
+        other = F.array("piece") if across is False else every if across is None else F.filter(every, lambda k: k != F.col("piece"))
+        own = own.withColumn("_other", F.explode(other)).withColumn("bucket", F.pmod(F.xxhash64("a"), F.lit(buckets)))
+        own = own.withColumns({"i": F.least("piece", "_other"), "j": F.greatest("piece", "_other")}).withColumnRenamed("a", "at")
+        return own.drop("_other", "pieces").groupBy("bucket", "i", "j")
+
+    # Rows that may link to another component, by sketches; whole rows of these; links, within pieces and then between them.
+    groups = in_pieces(around, F.octet_length("sketch"), None)
+    if groups is not None:
+        near = groups.applyInPandas(_near, "at long, cid long").distinct()
+        near = materialize(near.select(F.col("at").alias("a"), "cid"), "ngram-near")
+        whole = sets_of(near.select("a", F.col("cid").alias("b"))).select("cid", "row")
+        for across in (False, True):
+            groups = in_pieces(near, F.octet_length("sketch") + 6 * F.col("n"), across, whole)
+            if groups is not None:
+                links = links.unionByName(materialize(groups.applyInPandas(_around, "a long, b long").distinct(), "ngram-links"))
                 comps = materialize(components(links), "ngram-components")
-                if not bad.isEmpty():
-                    # Once more around the smallest classes of the pairs that failed, without these.
-                    both = bad.select(F.col("a").alias("cid"), "b").union(bad.select("b", "a"))
-                    both = both if failed is None else both.union(failed.select("cid", F.explode("no")))
-                    failed = materialize(both.groupBy("cid").agg(F.collect_set("b").alias("no")), "ngram-failed")
-                    again = now.join(bad.select(F.col("at").alias("a")).distinct(), "a", "left_semi")
-        if again is not None:
-            now = again
-        elif across:
-            break
-        else:
-            now, across, rows_of = around, True, None
 
     placed = classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     lowest = placed.groupBy("comp").agg(F.min("low").alias("component_id"))
