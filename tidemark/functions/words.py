@@ -19,7 +19,8 @@ NEGATORS = ("not", "no", "never", "cannot", "without")
 NEGATION_FACTOR = -0.5
 # Fixed values end.
 
-# Small general lexicon of our own: word -> (polarity, subjectivity). Replace it by passing a frame.
+# Small general lexicon, put together by hand: word -> (polarity, subjectivity). For some common words the values are those usual in
+# public English polarity lexicons. Replace it by passing a frame.
 LEXICON = {
     "good": (0.7, 0.6), "great": (0.8, 0.75), "best": (1.0, 0.3), "better": (0.5, 0.5), "strong": (0.43, 0.73),
     "positive": (0.23, 0.55), "optimistic": (0.5, 0.7), "confident": (0.5, 0.83), "bullish": (0.6, 0.7),
