@@ -282,3 +282,11 @@ def test_pages(spark, sf):
     lookup = anomaly.lookup_anomalies(stored, "S1", 7)
     assert lookup.count() == 7
     stored.unpersist()
+
+
+def test_a_mean_of_just_the_band_is_neutral(spark):
+    words = spark.createDataFrame([("bad", -0.8, 1.0), ("fine", 0.5, 0.1), ("flat", 0.0, 0.4)], "word string, polarity double, subjectivity double")
+    docs = spark.createDataFrame([(1, "bad fine flat"), (2, "flat fine bad"), (3, "bad bad fine"), (4, "none")], "doc_id long, text string")
+    got = {r.doc_id: (r.sentiment_score, r.sentiment_label, r.confidence) for r in sentiment.lexicon_sentiment(docs, words).collect()}
+    assert got[1] == got[2] == (-0.1, "neutral", 0.5)
+    assert got[3][1] == "negative" and got[4] == (0.0, "neutral", 0.0)

@@ -73,6 +73,10 @@ def default_lexicon(spark: SparkSession) -> DataFrame:
         [(word, p, s) for word, (p, s) in W.LEXICON.items()], "word string, polarity double, subjectivity double")
 
 
+#: Units of 1 in which lexicon values are added up: nine decimals of a value count.
+UNITS = 1_000_000_000
+
+
 def lexicon_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "doc_id", text: str = "text",
                       negators: Iterable[str] = W.NEGATORS) -> DataFrame:
     """Mean polarity and subjectivity of the lexicon words of each text.
@@ -80,13 +84,20 @@ def lexicon_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "doc_id", te
     A word right after a negator counts with -0.5 of its polarity. Texts
     without any lexicon word score (0, neutral, 0). The words of a text stay
     in one task until partial aggregation has made one row of them.
+
+    Sums are of whole units, and one division makes the mean: it does not
+    depend on the order of the words, and a mean of just 0.1 is not above 0.1.
     """
     tokens = words_of(F.col(text))
     pairs = F.arrays_zip(tokens.alias("word"), F.concat(F.array(F.lit("")), tokens).alias("previous"))
     hits = df.select(key, F.inline(pairs)).join(small(lexicon), "word")
     negated = F.col("previous").isin(*negators)
     polarity = F.col("polarity") * F.when(negated, W.NEGATION_FACTOR).otherwise(1.0)
-    scores = hits.groupBy(key).agg(F.avg(polarity).alias("score"), F.avg("subjectivity").alias("subjectivity"))
+
+    def mean(value: Column) -> Column:
+        return F.sum(F.round(value * UNITS).cast("long")) / (F.count(value) * UNITS)
+
+    scores = hits.groupBy(key).agg(mean(polarity).alias("score"), mean(F.col("subjectivity")).alias("subjectivity"))
     rest = [c for c in df.columns if c != text]
     return df.select(*rest).join(scores, key, "left").select(
         *rest,
