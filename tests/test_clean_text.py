@@ -290,3 +290,10 @@ def test_a_mean_of_just_the_band_is_neutral(spark):
     got = {r.doc_id: (r.sentiment_score, r.sentiment_label, r.confidence) for r in sentiment.lexicon_sentiment(docs, words).collect()}
     assert got[1] == got[2] == (-0.1, "neutral", 0.5)
     assert got[3][1] == "negative" and got[4] == (0.0, "neutral", 0.0)
+
+
+def test_copies_of_a_text_keep_the_neutral_band(spark):
+    words = spark.createDataFrame([("bad", -0.8, 1.0), ("fine", 0.5, 0.1), ("flat", 0.0, 0.4)], "word string, polarity double, subjectivity double")
+    news = spark.createDataFrame([("1", "bad fine", "flat", "S1, S2", dt.date(2024, 1, 1))] * 2, "link string, title string, summary string, matched_tickers string, published_date date")
+    rows = sentiment.sentiment_by_ticker(news, None, words).collect()
+    assert sorted((r.ticker, r.sentiment_score, r.sentiment_label) for r in rows) == [("S1", -0.1, "neutral")] * 2 + [("S2", -0.1, "neutral")] * 2
