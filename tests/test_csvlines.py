@@ -107,3 +107,21 @@ def test_empty_files_and_folders(spark, tmp_path):
     with open(f"{tmp_path}/e/b.csv", "w") as file:
         file.write("id,n\n")
     assert csvlines.read_csv(spark, f"{tmp_path}/e", NAMES).count() == 0
+
+
+def test_records_are_put_together_where_their_lines_lie(spark, tmp_path):
+    rows = [(k, f"first {k}\nsecond, \"quoted\"\n\nlast") for k in range(300)]
+    with open(tmp_path / "a.csv", "w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(["id", "text"])
+        writer.writerows(rows)
+    lines = csvlines._lines(spark, str(tmp_path / "a.csv"))
+    splits = csvlines._splits(lines)
+    parts = csvlines._records(lines, splits)
+    assert parts.count() == len(rows) + 1
+    assert csvlines._records(lines, splits, 1).collect()[0].value == "id,text"
+    got = csvlines.read_csv(spark, str(tmp_path / "a.csv"), {c: (c,) for c in ("id", "text")})
+    assert sorted((int(r.id), r.text) for r in got.collect()) == rows
+    # Nothing of the size of the text is shuffled: lines meet the splits, and records the headers, by broadcast.
+    plan = got._jdf.queryExecution().simpleString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
