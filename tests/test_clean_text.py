@@ -297,3 +297,13 @@ def test_copies_of_a_text_keep_the_neutral_band(spark):
     news = spark.createDataFrame([("1", "bad fine", "flat", "S1, S2", dt.date(2024, 1, 1))] * 2, "link string, title string, summary string, matched_tickers string, published_date date")
     rows = sentiment.sentiment_by_ticker(news, None, words).collect()
     assert sorted((r.ticker, r.sentiment_score, r.sentiment_label) for r in rows) == [("S1", -0.1, "neutral")] * 2 + [("S2", -0.1, "neutral")] * 2
+
+
+def test_layouts_are_tried_where_their_separators_are(spark):
+    texts = ["2024-01-02", "2024-01-02 03:04:05", "2024-01-02 03:04:05-05:00", "2024-01-02T03:04:05", "2024-01-02t03:04:05z", "2024-01-02T03:04:05.123456",
+             "Tue, 2 Jan 2024 03:04:05 +0530", "2 jan 2024 03:04:05 GMT", "", " ", None, "soon: 2024", "2024-01-02T", "2024-01-02 03:04:05.5"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    every = F.coalesce(*[C._parse(F.col("t"), layout) for layout in C.TIME_FORMATS])
+    assert df.where(~every.eqNullSafe(C.to_naive_ts(F.col("t")))).collect() == []
+    tried = {t: [x for x in C.TIME_FORMATS if df.where(F.col("t") == t).select(C._may_be(F.col("t"), x)).first()[0]] for t in texts[:6:5]}
+    assert tried == {texts[0]: [C.TIME_FORMATS[0]], texts[5]: [C.TIME_FORMATS[5]]}
