@@ -72,6 +72,22 @@ def test_split_hot_series_equals_plain_window(spark, sf, hot_rows, grain):
     assert pieces.select("_piece").distinct().count() > 1
 
 
+def test_a_map_of_many_cells_is_not_sent_to_every_task(spark):
+    rows = series.BROADCAST_CELLS + 20_000
+    hours = F.timestamp_seconds(F.floor(F.col("id") / 40) * 3_600)
+    ticks = spark.range(rows).select((F.col("id") % 40).cast("string").alias("ticker"), hours.alias("trade_date"), F.col("id").cast("double").alias("close_price"))
+    cut = series.daily_return(ticks, hot_rows=30)
+    assert "Broadcast" not in cut._jdf.queryExecution().simpleString()
+    assert cut.exceptAll(series.daily_return(ticks)).isEmpty() and cut.count() == rows
+
+
+def test_tasks_of_a_window_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(series, "TASK_ROWS", 1_000)
+    ticks = spark.range(20_000).select((F.col("id") % 400).cast("string").alias("ticker"), F.timestamp_seconds("id").alias("trade_date"), F.col("id").cast("double").alias("close_price"))
+    cut = series.daily_return(ticks, hot_rows=30)
+    assert cut.rdd.getNumPartitions() == 20 and cut.exceptAll(series.daily_return(ticks)).isEmpty()
+
+
 def test_split_needs_room_for_the_look_back(spark, sf):
     with pytest.raises(ValueError):
         series.features(fx.intraday(spark, sf), hot_rows=5)
