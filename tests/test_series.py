@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import anomaly, momentum, series
+from tidemark.operators import anomaly, forest, momentum, series
 from tidemark.plans import fixtures as fx
 
 DAY = dt.date(2024, 1, 1)
@@ -88,6 +88,19 @@ def test_tasks_of_a_window_follow_the_rows(spark, monkeypatch):
     assert cut.rdd.getNumPartitions() == 20 and cut.exceptAll(series.daily_return(ticks)).isEmpty()
 
 
+def test_strict_features_are_computed_once(spark, sf):
+    plan = series.strict_features(fx.bars(spark, sf))._jdf.queryExecution().simpleString()
+    assert "Window" not in plan and "lineitem" not in plan
+
+
+def test_tasks_of_the_forest_follow_the_rows(spark, sf, monkeypatch):
+    featured = series.full_windows(fx.bars(spark, sf)).localCheckpoint()
+    want = {tuple(r) for r in forest.forest_scores(featured, 5).collect()}
+    monkeypatch.setattr(forest, "SCORED_ROWS", 100)
+    dealt = forest.forest_scores(featured, 5, rows=5_000)
+    assert dealt.where("raw_score > 0").rdd.getNumPartitions() >= 50 and {tuple(r) for r in dealt.collect()} == want
+
+
 def test_split_needs_room_for_the_look_back(spark, sf):
     with pytest.raises(ValueError):
         series.features(fx.intraday(spark, sf), hot_rows=5)
