@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import language, mixing, ngrams, pieces, toxicity
 from tidemark.llm.common import FOLDS
+from tidemark.operators.align import small
 from tidemark.session import materialize
 
 #: A text of n bytes may take RATE times the usual phrases per byte, and DEVIATIONS of the deviation that such a rate has over n
@@ -59,20 +60,22 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group that n-gram links connect, and all documents without words."""
-    joined = ngrams.join(docs.select("doc_id", "text")).where("n_shingles = 0 OR doc_id <=> component_id")
-    joined = materialize(joined.select(F.col("doc_id").alias("kept")).distinct(), "pipeline-kept")
+    joined = ngrams.join(docs.select("doc_id", "text")).withColumn("stays", F.expr("n_shingles = 0 OR doc_id <=> component_id"))
+    # What goes, and the ids of several rows, are the smaller parts: the texts of the others are not shuffled.
+    ids = materialize(joined.groupBy(F.col("doc_id").alias("other")).agg(F.max("stays").alias("stays")), "pipeline-ids")
+    several = docs.groupBy(F.col("doc_id").alias("other")).agg(F.count("*").alias("rows")).where("rows > 1")
+    several = materialize(several, "pipeline-several")
     own = as_one(docs, F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
-    kept = own.join(joined, F.col("id").eqNullSafe(F.col("kept")), "left_semi")
-    return kept.dropDuplicates(["id", "text"]).select(f"{ONE}.*")
+    kept = own.join(small(ids.where("NOT stays")), F.col("id").eqNullSafe(F.col("other")), "left_anti")
+    again = small(several.select(F.col("other").alias("again"), "rows"))
+    kept = kept.join(again, F.col("id").eqNullSafe(F.col("again")), "left")
+    copies = kept.where("rows IS NOT NULL").dropDuplicates(["id", "text"])
+    return kept.where("rows IS NULL").select(f"{ONE}.*").unionByName(copies.select(f"{ONE}.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
-    mixed = mixing.mix(docs.select("doc_id", "text", "source"))
-    times = mixed.groupBy(F.col("doc_id").alias("taken")).agg(F.max("times").alias("times")).where("times > 0")
-    times = materialize(times, "pipeline-times")
-    taken = as_one(docs, F.col("doc_id").alias("id")).join(times, F.col("id").eqNullSafe(F.col("taken")))
-    return taken.select(ONE, F.explode(F.sequence(F.lit(1), F.col("times")))).select(f"{ONE}.*")
+    return mixing.repeated(as_one(docs, "doc_id", "text", "source"), ONE).select(f"{ONE}.*")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -153,3 +153,14 @@ def test_empty_documents_of_a_capped_source_are_not_taken_more_often_than_allowe
     rows = [(i, "" if i % 2 else "one two three", "en", "capped") for i in range(20)] + [(100 + i, "w " * 500, "en", f"x{i}") for i in range(3)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
     assert all(r.times <= 2 for r in got)
+
+
+@pytest.mark.parametrize("stage", ["mix_sources", "near_duplicates"])
+def test_texts_stay_where_they_are(spark, sf, stage):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are not tiny
+    try:
+        plan = getattr(corpus_pipeline, stage)(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)._jdf.queryExecution().simpleString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan
