@@ -272,3 +272,20 @@ def test_telling_words_count_wherever_they_stand_in_a_block():
     for filler in (2, 200):
         own, _ = html_text.features(html_text.parse(f"<html><body><p>{'plain text here ' * filler}{word} end.</p></body></html>"))
         assert any(html_text.SPEECH[word] in f for f in own)
+
+
+def test_words_that_come_again_are_kept_when_what_is_kept_is_full(monkeypatch):
+    import sentencepiece
+
+    path = public_tokenizers.path(pieces.MODEL)
+    own, lib = pieces.Pieces(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 20_000)
+    made, unit = [], own.unit
+    monkeypatch.setattr(own, "unit", lambda u: made.append(u) or unit(u))
+    for k in range(300):
+        text = f"always {'x' * (k % 7)}q{k} again▁▁{k}"
+        ids = lib.encode(text) + [lib.eos_id()]
+        assert own.digest(text)[::2] == (len(ids), hashlib.sha256(lib.decode(ids).encode()).hexdigest())
+        assert own.held <= 20_000 // 2 + 1_000 and own.encode(text) == ids[:-1]
+    # Once for all digests, and each time for encode, which keeps nothing.
+    assert made.count(" always") == 300 + 1

@@ -5,8 +5,8 @@ unique: of the pieces that the automaton finds at that end, longest first, it is
 the prefix before it. Two pieces may follow each other if undoing their merges, latest first, never shows a pair that
 would have been merged earlier. The ids are read backwards from the last prefix.
 
-Words can be encoded apart where no piece holds both characters at a boundary; what words gave is kept up to a number of bytes and
-dropped at the end of a task.
+Words can be encoded apart where no piece holds both characters at a boundary. What words gave is kept in two halves of a number of
+bytes: when one is full the other is dropped, but for the words that came again. All is dropped at the end of a task.
 Characters without a piece become byte pieces. Runs of spaces, whose pieces all have one score,
 take the longest pieces from the left, as the library does.
 
@@ -31,8 +31,8 @@ from tidemark.llm.common import in_chunks, release, resident, table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Letters, or anything else, each with the spaces before it.
-UNITS = regex.compile(rf"{SPACE}*[\p{{L}}\p{{M}}]+|{SPACE}*[^\p{{L}}\p{{M}}{SPACE}]+|{SPACE}+")
-WORDS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+UNITS = regex.compile(r" *[\p{L}\p{M}]+| *[^\p{L}\p{M} ]+| +")
+WORDS = regex.compile(" *[^ ]+| +")
 LETTER = regex.compile(r"[\p{L}\p{M}]")
 #: About how many bytes the words that a task keeps take, the longest of them, and the pairs of pieces that it keeps.
 CACHE_BYTES, CACHED_CHARS, PAIRS = 24 << 20, 48, 100_000
@@ -62,6 +62,8 @@ class Pieces:
         self.pair: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.follows: dict[int, bool] = {}
+        self.name = [str(i) for i in ids]
+        self.special = {*self.byte, *self.control, self.unknown}
         reached = [i for i in normal if len(self.text[i]) == 1]
         for i in merged:
             if split := self._split(i):
@@ -82,6 +84,7 @@ class Pieces:
     def clear(self) -> None:
         """Drops what was kept of the texts so far."""
         self.cache: dict[str, str] = {}
+        self.older: dict[str, str] = {}
         self.odd: dict[str, str] = {}
         self.held = 0
         self.follows.clear()
@@ -159,7 +162,7 @@ class Pieces:
         return ids
 
     def unit(self, unit: str) -> list[int]:
-        word = unit.lstrip(SPACE)
+        word = unit.lstrip(" ")
         n = len(unit) - len(word)
         if not word:
             return self.spaces(n)
@@ -172,11 +175,13 @@ class Pieces:
             return self.spaces(n) + ids[1:]
         return self.spaces(n - 1) + ids
 
+    def apart(self, text: str | None) -> list[str]:
+        """The units of a text, with plain spaces; those of most texts take a byte a character."""
+        return self.units.findall(" " + text.replace(SPACE, " ")) if text else []
+
     def encode(self, text: str | None) -> list[int]:
         """Ids without the end id."""
-        if not text:
-            return []
-        return [i for u in self.units.findall(SPACE + text.replace(" ", SPACE)) for i in self.unit(u)]
+        return [i for u in self.apart(text) for i in self.unit(u)]
 
     def surface(self, ids: list[int]) -> str:
         """Text of ids, spaces kept."""
@@ -198,25 +203,29 @@ class Pieces:
 
     def named(self, unit: str) -> str:
         """The ids of a unit in decimal. Keeps them, and in `odd` what the unit decodes to where that is not itself."""
-        ids = self.unit(unit)
-        names = " ".join(map(str, ids))
-        back = self.surface(ids)
-        if back != unit.replace(SPACE, " "):
-            self.odd[unit] = back
-        if len(unit) <= CACHED_CHARS and self.held < CACHE_BYTES:
-            self.held += 250 + 2 * len(unit) + len(names)
+        names = self.older.get(unit)
+        if names is None:
+            ids = self.unit(unit)
+            names = " ".join([self.name[i] for i in ids])
+            # Pieces alone are the unit's own characters.
+            if not self.special.isdisjoint(ids) and (back := self.surface(ids)) != unit:
+                self.odd[unit] = back
+        if len(unit) <= CACHED_CHARS and self.held < CACHE_BYTES // 2:
+            self.held += 180 + 2 * len(unit) + len(names)
             self.cache[unit] = names
         return names
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids with the end id, sha256 of the ids in decimal, sha256 of the text decoded from them."""
-        if self.held >= CACHE_BYTES or len(self.odd) >= PAIRS:
+        if len(self.odd) >= PAIRS:
             self.clear()
-        get, units = self.cache.get, self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        elif self.held >= CACHE_BYTES // 2:
+            self.older, self.cache, self.held = self.cache, {}, 0
+        get, units = self.cache.get, self.apart(text)
         names = " ".join([get(u) or self.named(u) for u in units] + [str(self.end)])
-        if not self.odd.keys().isdisjoint(units):
+        if self.odd and not self.odd.keys().isdisjoint(units):
             units = [self.odd.get(u, u) for u in units]
-        back = "".join(units).replace(SPACE, " ")
+        back = "".join(units)
         return (names.count(" ") + 1, hashlib.sha256(names.encode()).hexdigest(),
                 hashlib.sha256((back[1:] if back[:1] == " " else back).encode()).hexdigest())
 
