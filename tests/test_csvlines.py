@@ -125,3 +125,14 @@ def test_records_are_put_together_where_their_lines_lie(spark, tmp_path):
     # Nothing of the size of the text is shuffled: lines meet the splits, and records the headers, by broadcast.
     plan = got._jdf.queryExecution().simpleString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("ticker, quoted", [("A", False), ('"A, B"', True)])
+def test_a_record_is_parsed_once_whatever_is_asked_of_its_fields(spark, tmp_path, ticker, quoted):
+    with open(tmp_path / "a.csv", "w") as out:
+        out.write(f"Date,Ticker,Close\n2024-01-02,{ticker},1.5\nDate,x,2\n")
+    got = readers.read_prices(spark, str(tmp_path / "a.csv"))
+    assert [(str(r.trade_date), r.ticker, r.close_price) for r in got.collect()] == [("2024-01-02", ticker.strip('"'), 1.5)]
+    # The condition on the date stays above the parsing, records of one line take one reading, and lines without quotes no CSV parser.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("from_csv(") == quoted and plan.count("parquet") == 3
