@@ -15,8 +15,11 @@ from tidemark.functions.clean import has_value
 from tidemark.operators.align import small
 from tidemark.operators.clean import build_text, drop_general
 from tidemark.operators.tagging import explode_tickers
+from tidemark.session import materialize
 
 BUCKETS = 4096
+#: Bytes of text whose words a task counts.
+TASK_TEXT = 16 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -54,15 +57,19 @@ def hashing_tfidf(df: DataFrame, text: str = "text", buckets: int = BUCKETS) ->
 def term_tfidf(df: DataFrame, key: str = "doc_id", text: str = "text", smooth: bool = False) -> DataFrame:
     """Exact TF-IDF per document and word: tf * ln((N + 1) / (df + 1)), plus 1 in the log's place when smoothed.
 
-    Counts combine map-side. The word table is a vocabulary; where it is too
+    Texts are dealt by their key, in tasks that follow their bytes, and words are
+    counted where their text lies: texts are shorter than their counted words. The counts are
+    written once, for the word table and for its join. That table is a vocabulary; where it is too
     big to broadcast, AQE splits the words that occur in very many documents.
     """
-    words = df.select(key, F.explode(words_of(F.col(text))).alias("term"))
+    rows, size = df.agg(F.count("*"), F.sum(F.octet_length(text))).first()
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // TASK_TEXT))
+    words = df.select(key, text).repartition(tasks, key).select(key, F.explode(words_of(F.col(text))).alias("term"))
     tf = words.filter(~F.col("term").isin(*W.STOP_WORDS)).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    freq = tf.groupBy("term").agg(F.count("*").alias("df"))
-    total = df.agg(F.count("*").alias("n")).scalar()
-    idf = F.log((total + 1) / (F.col("df") + 1)) + (1.0 if smooth else 0.0)
-    return tf.join(freq.withColumn("idf", idf), "term").select(
+    tf = materialize(tf, "term-counts")
+    freq = materialize(tf.groupBy("term").agg(F.count("*").alias("df")), "terms")
+    idf = F.log((F.lit(rows) + 1) / (F.col("df") + 1)) + (1.0 if smooth else 0.0)
+    return tf.join(small(freq.withColumn("idf", idf)), "term").select(
         key, "term", "tf", "df", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
