@@ -28,3 +28,10 @@ def test_words_are_counted_once_where_their_text_lies(spark, plans):
     got = {(r.doc_id, r.term, r.tf, r.df) for r in out.collect()}
     assert got == {(1, "b", 2, 2), (2, "b", 1, 2), (2, "c", 2, 1)} and {round(r.idf, 6) for r in out.collect()} == {0.510826, 0.916291}
     assert sum(p.count("split(") for p in [*plans, plan(out)]) == 1
+
+
+def test_stored_or_dynamic_aggregates_bars_once(spark, sf, plans):
+    out = catalog.stored_or_dynamic(spark, sf)
+    assert sum(p.count("min_by(") for p in [*plans, plan(out)]) == 1
+    # Nor are the features of the outliers computed again for the tickers that have none.
+    assert "sma_20" not in plan(out)
