@@ -35,3 +35,11 @@ def test_stored_or_dynamic_aggregates_bars_once(spark, sf, plans):
     assert sum(p.count("min_by(") for p in [*plans, plan(out)]) == 1
     # Nor are the features of the outliers computed again for the tickers that have none.
     assert "sma_20" not in plan(out)
+
+
+def test_wide_momentum_is_computed_once(spark, plans):
+    rows = [("A", 30, "2024-01-02", 1.0), ("A", 60, "2024-01-02", 9.0), ("B", 30, "2024-01-03", 2.0)]
+    frame = spark.createDataFrame(rows, "sector string, window_days int, end_date string, momentum_score double")
+    out = momentum.momentum_pivot(frame.withColumn("end_date", frame.end_date.cast("date")), 30)
+    assert sorted(map(tuple, out.collect())) == [("A", 1.0, None), ("B", None, 2.0)]
+    assert len(plans) == 1 and "LogicalRDD" not in plan(out) and "parquet" in plan(out)
