@@ -3,7 +3,7 @@
 import pytest
 
 from tidemark.operators import momentum, sentiment
-from tidemark.plans import catalog
+from tidemark.plans import catalog, jobs
 
 
 @pytest.fixture
@@ -43,3 +43,16 @@ def test_wide_momentum_is_computed_once(spark, plans):
     out = momentum.momentum_pivot(frame.withColumn("end_date", frame.end_date.cast("date")), 30)
     assert sorted(map(tuple, out.collect())) == [("A", 1.0, None), ("B", None, 2.0)]
     assert len(plans) == 1 and "LogicalRDD" not in plan(out) and "parquet" in plan(out)
+
+
+def test_jobs_parse_landed_bars_once(spark, tmp_path, monkeypatch):
+    paths, seen = jobs.Paths(str(tmp_path)), []
+    (tmp_path / "raw/prices").mkdir(parents=True)
+    days = "\n".join(f"2024-01-{k:02d},A,{100 + 30 * (k == 25)},{k},101,99" for k in range(1, 29))
+    (tmp_path / "raw/prices/a.csv").write_text(f"Date,Ticker,Close,Volume,High,Low\n{days}\n")
+    write = jobs.sinks.write_dataset
+    monkeypatch.setattr(jobs.sinks, "write_dataset", lambda df, *args, **kw: seen.append(plan(df)) or write(df, *args, **kw))
+    out = jobs.run_anomalies(spark, paths)["anomalies"]
+    assert "2024-01-25" in {str(r.anomaly_date) for r in out.collect()}
+    # What counts and windows start from is typed already.
+    assert len(seen) == 1 and "split(" not in seen[0]
