@@ -37,11 +37,12 @@ def rate_bound(docs: DataFrame, sample: tuple) -> Column:
     size = F.octet_length("text")
     new = docs.where(usual(docs) & F.col("lang").isNotNull()).select("doc_id", "text", "lang", size.alias("size"))
     rates = language.identify(new, sample, keep=("lang", "size")).where("lang_pred = lang")
-    mean = rates.agg(F.sum(F.col("phrase_rate") * F.col("size")) / F.sum("size")).first()[0]
+    mean = rates.agg(F.try_divide(F.sum(F.col("phrase_rate") * F.col("size")), F.sum("size"))).first()[0]
     if mean is None:
         return F.lit(1.0)
     spread = rates.agg(F.sqrt(F.avg((F.col("phrase_rate") - mean) ** 2 * F.col("size")))).first()[0]
-    return F.least(F.lit(1.0), RATE * mean + DEVIATIONS * spread / F.sqrt(size))
+    # No division fails for an empty text; its bound is the largest.
+    return F.least(F.lit(1.0), RATE * mean + F.try_divide(F.lit(DEVIATIONS * spread), F.sqrt(size)))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
