@@ -68,6 +68,44 @@ def test_a_hot_group_of_near_copies_equals_brute_force(spark, monkeypatch, rows_
     assert got == brute_components(rows) and 1 < len({c for _, _, c in got}) < 300
 
 
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_little_reaches_the_driver(spark, monkeypatch, broadcast_rows):
+    """Neither a row for each frequent n-gram or marked class, nor the salted classes of a broadcast."""
+    monkeypatch.setattr(ngrams, "BROADCAST_ROWS", broadcast_rows, raising=False)
+    draw, base, sent, plans = random.Random(2), [f"w{i}" for i in range(40)], [], []
+    texts = [" ".join(f"x{draw.randrange(12)}" if draw.random() < 0.08 else w for w in base) for _ in range(300)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    of, collect, to_pandas, stored = type(docs), type(docs).collect, type(docs).toPandas, ngrams.materialize
+    with monkeypatch.context() as m:
+        m.setattr(of, "collect", lambda df: sent.append(len(got := collect(df))) or got)
+        m.setattr(of, "toPandas", lambda df: sent.append(len(got := to_pandas(df))) or got)
+        m.setattr(ngrams, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString().split("\n")) or stored(df, name))
+        found = join(docs)
+    assert max(sent) <= 256 and sorted(map(tuple, found.collect())) == brute_components(rows)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-|*"))
+    salted = 0
+    for plan in plans:
+        above = []
+        for line in plan:
+            above = [x for x in above if depth(x) < depth(line)] + [line]
+            if "Generate" in line and "[salt#" in line:
+                salted += 1
+                assert "SortMergeJoin" in [x for x in above if "Join" in x or "BroadcastExchange" in x][-1]
+    assert bool(salted) == (broadcast_rows == 0)
+
+
+def test_sketches_come_to_the_driver_as_bytes(spark):
+    draw = random.Random(3)
+    want = np.zeros(1 << 12, dtype=np.uint8)
+    for at in draw.sample(range(1 << 12), 900):
+        want[at] = draw.randrange(1, 250)
+    rows = [(int(at), int(want[at])) for at in np.flatnonzero(want)]
+    frame = spark.createDataFrame(rows, "at long, n long")
+    assert np.array_equal(ngrams._array(frame, 1 << 12, lambda n: n), want)
+    assert not ngrams._array(frame.limit(0), 1 << 12, lambda n: n).any()
+
+
 def test_long_columns_in_pieces_give_the_same_components(spark):
     """A hot group of distinct near copies: no task holds a whole column, and no link is lost."""
     base = [f"w{i}" for i in range(60)]

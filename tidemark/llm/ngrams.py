@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import forget, in_chunks, table
+from tidemark.operators.align import BROADCAST_ROWS
 from tidemark.session import materialize
 
 N = 5
@@ -46,6 +47,8 @@ N = 5
 PART, WHOLE = 75, 100
 #: Bytes of text hashed at once, n-grams counted at once, rows of a column block, buckets of the two fixed-size sketches.
 HASH_BYTES, COUNTED, BLOCK_ROWS, SKETCH, MARKS = 1 << 20, 1 << 21, 500_000, 1 << 20, 1 << 20
+#: Parts in which a sketch comes to the driver, each as bytes.
+PARTS = 256
 #: Classes that a task remembers, lest it passes a row on again and again.
 SEEN = 1 << 17
 #: How often an n-gram must come in one step of a task to be counted as frequent.
@@ -132,6 +135,23 @@ def first_part(n: int) -> int:
     return n - -(-PART * n // WHOLE) + 1
 
 
+def _array(rows: DataFrame, size: int, values: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """`size` bytes: values(n) at the places of rows (at, n) and 0 elsewhere; a place comes once at most. They reach the driver as
+    PARTS rows of bytes, however many places there are."""
+    width = size // PARTS
+
+    def packed_part(frame: pd.DataFrame) -> pd.DataFrame:
+        part = np.zeros(width, dtype=np.uint8)
+        part[frame["at"].to_numpy() % width] = values(frame["n"].to_numpy())
+        return pd.DataFrame({"part": frame["part"].iloc[:1], "data": [part.tobytes()]})
+
+    parts = rows.select((F.col("at") / width).cast("int").alias("part"), "at", "n").groupBy("part").applyInPandas(packed_part, "part int, data binary")
+    out = np.zeros((PARTS, width), dtype=np.uint8)
+    for part, data in parts.collect():
+        out[part] = np.frombuffer(data, dtype=np.uint8)
+    return out.ravel()
+
+
 def _hash_pass(docs: DataFrame) -> DataFrame:
     """(doc_id, n, cid) of every row, and with kind 1 the frequent buckets of each step: (cid: bucket, n: count)."""
     data = docs.select("doc_id", docs["text"].alias("_text"))
@@ -513,9 +533,8 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
     spark = docs.sparkSession
     hashed = materialize(_hash_pass(docs), "ngram-rows")
     members = hashed.where("kind = 0").drop("kind")
-    often = hashed.where("kind = 1").groupBy("cid").agg(F.sum("n").alias("n")).toPandas()  # at most SKETCH rows
-    level = np.zeros(SKETCH, dtype=np.uint8)
-    level[often["cid"].to_numpy()] = np.log2(often["n"].to_numpy(dtype=np.float64)).astype(np.uint8) if len(often) else 0
+    often = hashed.where("kind = 1").groupBy(F.col("cid").alias("at")).agg(F.sum("n").alias("n"))  # at most SKETCH rows
+    level = _array(often, SKETCH, lambda n: np.log2(n.astype(np.float64)).astype(np.uint8))
     classes = members.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"))
     total = classes.agg(F.sum("n")).first()[0] or 0
     blocks = max(8, total // 4 // BLOCK_ROWS)
@@ -546,10 +565,9 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
 
     def of_classes(pairs: DataFrame, name: str, values: dict[str, Callable[[int, np.ndarray], bytes]]) -> DataFrame:
         """(cid, n, values of the row) of the classes in pairs; a bitmap of fixed size spares most others."""
-        marks = np.zeros(MARKS, dtype=bool)
         both = pairs.select(F.col("a").alias("cid")).union(pairs.select("b"))
-        marks[both.select(F.pmod("cid", F.lit(MARKS)).alias("m")).distinct().toPandas()["m"].to_numpy(dtype=np.int64)] = True
-        marked = spark.sparkContext.broadcast(marks)
+        places = both.select(F.pmod("cid", F.lit(MARKS)).alias("at")).distinct().withColumn("n", F.lit(1))
+        marked = spark.sparkContext.broadcast(_array(places, MARKS, lambda n: n).astype(bool))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             forget()
@@ -603,13 +621,17 @@ def join(docs: DataFrame, long_rows: int = LONG_ROWS) -> DataFrame:
         pieces = F.greatest(F.ceil(F.sum("bytes") / PIECE_BYTES), F.ceil(F.count("*") / PIECE_ROWS)).cast("int")
         doubt = at.groupBy("a").agg(pieces.alias("pieces"), F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("rows"))
         doubt = materialize(doubt.where("_low <> _high" + (" AND pieces > 1" if across else "")), "ngram-doubt")
-        in_all = doubt.agg(F.sum("rows")).first()[0]
+        in_all, of_them = doubt.agg(F.sum("rows"), F.count("*")).first()
         if not in_all:
             return None
         # Small ones share a task's step; a bucket has about as many rows as a piece.
         buckets = max(8, in_all // PIECE_ROWS)
-        salted = doubt.select("a", "pieces", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        own = rows.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int")).join(salted, ["a", "salt"]).drop("salt")
+        if of_them <= BROADCAST_ROWS:
+            own = rows.join(F.broadcast(doubt.select("a", "pieces")), "a")
+        else:
+            # Spark would judge these by the size of what is stored, and broadcast SALTS times that.
+            salted = doubt.select("a", "pieces", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")).hint("merge")
+            own = rows.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int")).join(salted, ["a", "salt"]).drop("salt")
         own = own.join(placed_rows("sketch"), "cid").withColumn("piece", F.pmod(F.xxhash64("cid", F.lit("piece")), "pieces").cast("int"))
         for frame in more:
             own = own.join(frame, "cid")
